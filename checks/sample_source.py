@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.dates import date_bounds, date_dimension
 from starmart.operators.dims import account_rows, agent_rows, product_rows
-from starmart.operators.facts import shape_pipeline
+from starmart.operators.dedup import first_per_key
+from starmart.operators.facts import first_order, shape_pipeline
 from starmart.operators.lookup import table_rows
-from starmart.operators.resolve import Dimensions, Resolved, resolve_keys
+from starmart.operators.resolve import Dimensions, Resolved, fact_columns, resolve_keys
 from starmart.operators.scd import scd2_initialize
 
 # The stages of the sample source.
@@ -20,24 +21,29 @@ STAGES = {1: "Prospecting", 2: "Engaging", 3: "Lost", 4: "Won", 5: "On Hold"}
 RUN_DATE = "1998-12-22"
 
 
-def pipeline_from(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """Sales pipeline rows from order lines and their orders."""
-    flag, open_line = F.col("l_returnflag"), F.col("l_linestatus") == "O"
-    stage = (
+def stage_of_line() -> Column:
+    """Deal stage of an order line; 9 is a stage the stage table does not have."""
+    flag = F.col("l_returnflag")
+    return (
         F.when(F.col("l_quantity") == 50, 9)
         .when((F.col("l_linestatus") == "F") & (flag == "A"), 4)
         .when((F.col("l_linestatus") == "F") & (flag == "R"), 3)
         .when(flag == "A", 1)
         .when(flag == "R", 2)
         .otherwise(5)
+        .cast("bigint")
     )
-    part = F.col("l_partkey")
+
+
+def pipeline_from(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Sales pipeline rows from order lines and their orders."""
+    part, open_line = F.col("l_partkey"), F.col("l_linestatus") == "O"
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("opportunityid"),
         F.when(part % 101 == 5, None).otherwise(F.col("l_suppkey")).alias("salesagentid"),
         F.when(part % 103 == 5, part + 1_000_000).otherwise(part).alias("productid"),
         F.col("o_custkey").alias("accountid"),
-        stage.cast("bigint").alias("dealstageid"),
+        stage_of_line().alias("dealstageid"),
         F.when(open_line & (F.col("l_linenumber") == 7), None)
         .otherwise(F.least("o_orderdate", "l_shipdate").cast("date"))
         .alias("engagedate"),
@@ -126,15 +132,18 @@ class Sample:
 
     @cached_property
     def dealstages(self) -> DataFrame:
-        rows = [(k, v) for k, v in STAGES.items()]
-        return self.spark.createDataFrame(rows, "dealstageid BIGINT, stagename STRING")
+        rows = F.array(*[F.struct(F.lit(k).cast("bigint").alias("dealstageid"), F.lit(v).alias("stagename"))
+                         for k, v in STAGES.items()])
+        return self.spark.range(1).select(F.inline(rows))
 
     @cached_property
     def stage_feed(self) -> DataFrame:
-        """Stage names as seen on every pipeline row, upper case before 1998."""
-        names = F.create_map(*[x for k, v in STAGES.items() for x in (F.lit(k), F.lit(v))])
-        seen = self.salespipeline.select(
-            "dealstageid", F.try_element_at(names, F.col("dealstageid").cast("int")).alias("stagename"), "updated_at"
+        """Stage names as seen on every order line, upper case before 1998."""
+        names = F.create_map(*[F.lit(x) for k, v in STAGES.items() for x in (k, v)])
+        seen = self.raw("lineitem").select(
+            stage_of_line().alias("dealstageid"),
+            F.try_element_at(names, stage_of_line().cast("int")).alias("stagename"),
+            F.col("l_shipdate").alias("updated_at"),
         )
         old = F.col("updated_at") < F.lit("1998-01-01").cast("timestamp_ntz")
         return seen.filter(F.col("stagename").isNotNull()).withColumn(
@@ -185,12 +194,17 @@ class Sample:
 
     @cached_property
     def factsource(self) -> DataFrame:
-        return shape_pipeline(self.salespipeline, self.dealstages)
+        return shape_pipeline(self.salespipeline, self.dealstages, len(STAGES))
 
     @cached_property
     def resolved(self) -> Resolved:
         return resolve_keys(self.factsource, self.dimensions())
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        first = first_per_key(self.resolved.facts, "opportunityid", first_order())
+        return fact_columns(first)
+
     # Inputs of incremental runs.
     @cached_property
     def productchanges(self) -> DataFrame:

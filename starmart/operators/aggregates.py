@@ -79,14 +79,15 @@ def star_aggregate(
     """
     small = [j for j in joins if j.small(max_broadcast)]
     large = [j for j in joins if not j.small(max_broadcast)]
-    out = facts
+    # A name both sides have, such as a partition column of the facts, means the dimension's.
+    out = facts.drop(*[c for j in joins for c in j.columns])
     for i, j in enumerate(small):
         side = j.dim.select(F.col(j.dim_key).alias(f"_s{i}"), *j.columns)
         out = out.join(F.broadcast(side), F.col(j.fact_key) == F.col(f"_s{i}"))
     labels = [c.alias(n) for n, c in group.items()]
     if not large:
         return out.groupBy(*labels).agg(*_direct(measures))
-    held = [c for j in small for c in j.columns] + [c for c in group if c in facts.columns]
+    held = [c for j in small for c in j.columns] + [c for c in group if c in out.columns]
     keys = list(dict.fromkeys([j.fact_key for j in large] + held))
     out = out.groupBy(*keys).agg(*_partial(measures))
     for i, j in enumerate(large):

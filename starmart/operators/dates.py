@@ -12,14 +12,18 @@ DEFAULT_FIRST_DATE = "2015-01-01"
 DEFAULT_LAST_DATE = "2030-12-31"
 
 
-def date_bounds(pipeline: DataFrame) -> DataFrame:
-    """One row ``(lo, hi)`` in DATE; both ends fall back together when either is missing."""
-    found = pipeline.agg(
+def seen_dates(pipeline: DataFrame) -> DataFrame:
+    """One row ``(lo, hi)``: first engagement and last event date, NULL where there is none."""
+    return pipeline.agg(
         F.min("engagedate").alias("lo"),
         F.max(event_date(F.col("closedate"), F.col("engagedate"))).alias("hi"),
     )
+
+
+def date_bounds(pipeline: DataFrame) -> DataFrame:
+    """``seen_dates`` with the default range when either end is missing."""
     usable = F.col("lo").isNotNull() & F.col("hi").isNotNull()
-    return found.select(
+    return seen_dates(pipeline).select(
         F.when(usable, F.col("lo")).otherwise(F.lit(DEFAULT_FIRST_DATE).cast("date")).alias("lo"),
         F.when(usable, F.col("hi")).otherwise(F.lit(DEFAULT_LAST_DATE).cast("date")).alias("hi"),
     )
@@ -46,7 +50,13 @@ def date_dimension(bounds: DataFrame) -> DataFrame:
     )
 
 
-def extend_bounds(existing: DataFrame, bounds: DataFrame) -> DataFrame:
-    """One row covering both the dates already in a date dimension and new ``bounds``."""
-    have = existing.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    return have.unionByName(bounds).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+def extended_dates(dates: DataFrame, pipeline: DataFrame) -> DataFrame:
+    """A date dimension grown to cover the dates of new pipeline rows as well."""
+    have = dates.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    both = have.unionByName(seen_dates(pipeline)).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return date_dimension(
+        both.select(
+            F.coalesce("lo", F.lit(DEFAULT_FIRST_DATE).cast("date")).alias("lo"),
+            F.coalesce("hi", F.lit(DEFAULT_LAST_DATE).cast("date")).alias("hi"),
+        )
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions import duration_days, event_date, stage_rate
 from starmart.operators.dedup import first_per_key
-from starmart.operators.lookup import BROADCAST_ROWS
+from starmart.operators.lookup import BROADCAST_ROWS, lookup, table_rows
 from starmart.schemas import FACT_COLUMNS
 
 MODES = ("insert_only", "insert_if_absent", "upsert")
@@ -15,13 +15,19 @@ _TIE_BREAKS = ("updated_at", "productkey", "salesagentkey", "datekey", "closeval
                "durationdays", "accountkey", "expectedsuccessrate")
 
 
-def shape_pipeline(pipeline: DataFrame, stages: DataFrame) -> DataFrame:
-    """Rows usable as facts: required keys and an event date present, measures derived."""
+def shape_pipeline(pipeline: DataFrame, stages: DataFrame, stage_count: int | None = None) -> DataFrame:
+    """Rows usable as facts: required keys and an event date present, measures derived.
+
+    ``stages`` has one row per stage; it is counted here unless ``stage_count`` is given.
+    """
     event = event_date(F.col("closedate"), F.col("engagedate"))
     usable = pipeline.dropna(
         subset=["accountid", "productid", "salesagentid", "dealstageid"]
     ).filter(event.isNotNull())
-    return usable.join(stages, "dealstageid", "left").select(
+    if stage_count is None:
+        stage_count = table_rows({"stages": stages})["stages"]
+    names = stages.select(F.col("dealstageid").alias("_stage"), "stagename")
+    return lookup(usable, names, "dealstageid", "_stage", stage_count).select(
         *pipeline.columns,
         duration_days(F.col("engagedate"), F.col("closedate")).alias("durationdays"),
         stage_rate(F.col("stagename")).alias("expectedsuccessrate"),
