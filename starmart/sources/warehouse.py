@@ -174,8 +174,7 @@ class Warehouse:
         parts = PARTITIONED.get(name, ())
         if parts:
             # Partition files of a useful size: hot months are split, small ones are joined.
-            df = df.select(*columns, *parts)
-            df = self.spark.sql(f"SELECT /*+ REBALANCE({', '.join(parts)}) */ * FROM {{df}}", df=df)
+            df = df.select(*columns, *parts).hint("rebalance", *parts)
         else:
             df = df.select(*columns)
         seen = Observation()
