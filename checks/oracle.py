@@ -111,6 +111,16 @@ SELECT user_id AS accountid, event_id AS seq, ts AS changed_at,
     "latest_change": """
 SELECT accountid, op, balance FROM (SELECT l.*, row_number() OVER (PARTITION BY accountid ORDER BY changed_at DESC, seq DESC) AS rn FROM changelog l) x WHERE rn = 1""",
     "balances": "SELECT c_custkey AS accountid, CAST(c_acctbal AS DECIMAL(18,2)) AS balance FROM customer",
+    # The pipeline as a change log: stage 3 deletes, everything else is set to stage 4.
+    "last_rows": """
+SELECT * FROM (SELECT s.*, CASE WHEN dealstageid = 3 THEN 'D' ELSE 'U' END AS op, row_number() OVER (PARTITION BY opportunityid ORDER BY updated_at DESC NULLS LAST,
+  productid DESC NULLS LAST, salesagentid DESC NULLS LAST, accountid DESC NULLS LAST, closevalue DESC NULLS LAST, engagedate DESC NULLS LAST, closedate DESC NULLS LAST,
+  CASE WHEN dealstageid = 3 THEN 'D' ELSE 'U' END DESC) AS rn FROM salespipeline s) WHERE rn = 1""",
+    "won_rows": """
+SELECT f.opportunityid, d.datekey, a.accountid AS accountkey, p.productsk AS productkey, g.salesagentid AS salesagentkey, CAST(4 AS BIGINT) AS dealstagekey, f.closevalue,
+  CAST(date_diff('day', engagedate, closedate) AS INT) AS durationdays, CAST(100.0 AS DOUBLE) AS expectedsuccessrate
+  FROM last_rows f JOIN dimdate d ON coalesce(f.closedate, f.engagedate) = d.date JOIN dimaccount a ON f.accountid = a.accountid
+  JOIN dimproduct p ON f.productid = p.productid JOIN dimsalesagent g ON f.salesagentid = g.salesagentid WHERE f.op = 'U'""",
     # Two-run warehouse: a snapshot, then everything.
     "products1": "SELECT row_number() OVER (ORDER BY productid) AS productsk, productid FROM products WHERE updated_at <= TIMESTAMP '2024-01-15 00:00:00'",
     "changed2": """
@@ -281,6 +291,11 @@ SELECT CAST(q.productsk AS BIGINT) AS productsk, r.productid, r.productname, r.s
   UNION ALL SELECT CAST(c.productsk AS BIGINT), r.productid, CASE WHEN r.productid % 10 = 0 THEN concat(r.productname, ' (v2)') ELSE r.productname END, r.seriesname, r.price, r.pricerange,
     CASE WHEN c.is_new THEN DATE '1900-01-01' ELSE DATE '2024-02-01' END, CAST(NULL AS DATE), TRUE FROM changed2 c JOIN productrows r ON c.productid = r.productid""",
     "stream_incremental": "SELECT {fact} FROM factsalesperformance",
+    "archive_load": "SELECT opportunityid, datekey, CASE WHEN datekey < 19980101 THEN 'archived' ELSE 'kept' END AS part FROM factsalesperformance",
+    "ranged_load": "SELECT * FROM dimaccount",
+    "changelog_load": """
+SELECT {fact} FROM factsalesperformance f WHERE opportunityid NOT IN (SELECT opportunityid FROM last_rows WHERE op = 'D') AND opportunityid NOT IN (SELECT opportunityid FROM won_rows)
+  UNION ALL SELECT {fact} FROM won_rows""",
 }
 
 

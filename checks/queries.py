@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.sample_source import RUN_DATE, STAGES, Sample, pipeline_from
+from checks.sample_source import RUN_DATE, Sample, pipeline_from
 from starmart.functions import change_window, parse_date, parse_instant, scale_price, suffix_once
 from starmart.operators import quality
 from starmart.operators.aggregates import SALES_MEASURES, Join, calendar, monthly_sales, star_aggregate
@@ -27,7 +27,13 @@ from starmart.operators.resolve import (
     resolve_keys,
 )
 from starmart.operators.scd import insert_if_absent, scd1_upsert, scd2_apply, scd2_changes, scd2_initialize
-from starmart.plans import LoadOptions, incremental_load, initial_load, refresh_monthly
+from starmart.plans import (
+    apply_pipeline_changes,
+    archive_facts,
+    incremental_load,
+    initial_load,
+    refresh_monthly,
+)
 from starmart.sources.readers import key_range, page, range_edges
 from starmart.sources.warehouse import Warehouse
 from starmart.streaming.incremental import file_stream, stream_incremental
@@ -157,7 +163,8 @@ def _changes(s: Sample) -> DataFrame:
 
 
 def _versions(s: Sample) -> DataFrame:
-    return scd2_apply(s.dimproduct, _changes(s), RUN_DATE, first_version_from=RUN_DATE)
+    bound = 2 * s.rows["product"]
+    return scd2_apply(s.dimproduct, _changes(s), RUN_DATE, first_version_from=RUN_DATE, change_rows=bound)
 
 
 def _version_rows(s: Sample) -> int:
@@ -477,6 +484,40 @@ def monthly_touched(s: Sample) -> DataFrame:
     return _two_runs(s).table("factsalesmonthlyaggregate")
 
 
+@query
+def changelog_load(s: Sample) -> DataFrame:
+    """A loaded warehouse after every pipeline row came again as a change: lost deals are
+    deleted, all others won."""
+    wh = _full(s)
+    changes = s.salespipeline.withColumn("op", F.when(F.col("dealstageid") == 3, "D").otherwise("U"))
+    changes = changes.withColumn("dealstageid", F.lit(4).cast("bigint"))
+    order = ["updated_at", "productid", "salesagentid", "accountid", "closevalue", "engagedate", "closedate", "op"]
+    apply_pipeline_changes(s.source(), wh, changes, order, "2024-02-02T00:00:00")
+    return fact_columns(wh.table("factsalesperformance"))
+
+
+@query
+def archive_load(s: Sample) -> DataFrame:
+    """Facts and archived facts after the months before 1998 were archived."""
+    wh = _full(s)
+    archive_facts(wh, 199801, "2024-02-02T00:00:00")
+    columns = ["opportunityid", "datekey"]
+    kept = wh.table("factsalesperformance").select(*columns, F.lit("kept").alias("part"))
+    return kept.unionByName(wh.table("factsarchive").select(*columns, F.lit("archived").alias("part")))
+
+
+@query
+def ranged_load(s: Sample) -> DataFrame:
+    """Accounts loaded range by range; the second attempt writes only the ranges the first did not."""
+    wh = Warehouse(s.spark, shared_folder(s.spark))
+    rows, run_ts = s.dimaccount, "2024-02-01T00:00:00"
+    ranges = range_edges(s.accounts, "accountid", 4)
+    wh.write_in_ranges("dimaccount", rows, "ranged", run_ts, "accountid", ranges[:2])
+    entries = wh.write_in_ranges("dimaccount", rows, "ranged", run_ts, "accountid", ranges)
+    wh.commit("ranged", run_ts, entries, {})
+    return wh.table("dimaccount")
+
+
 @query
 def stream_incremental_query(s: Sample) -> DataFrame:
     """The whole pipeline arriving as a stream of order lines into an empty warehouse."""

@@ -14,9 +14,24 @@ from starmart.operators.facts import first_order, shape_pipeline
 from starmart.operators.lookup import table_rows
 from starmart.operators.resolve import Dimensions, Resolved, fact_columns, resolve_keys
 from starmart.operators.scd import scd2_initialize
+from starmart.sources.readers import spread_small
 
 # The stages of the sample source.
 STAGES = {1: "Prospecting", 2: "Engaging", 3: "Lost", 4: "Won", 5: "On Hold"}
+# Columns of the given tables.
+RAW_DDL = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 # Day an incremental run is simulated on.
 RUN_DATE = "1998-12-22"
 
@@ -64,7 +79,7 @@ class Sample:
         self.spark, self.sf_dir = spark, sf_dir
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self.spark.read.schema(RAW_DDL[table]).parquet(f"{self.sf_dir}/{table}.parquet")
 
     def _changed_at(self, key: str):
         day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col(key) % 30).cast("int"))
@@ -152,7 +167,8 @@ class Sample:
 
     @cached_property
     def salespipeline(self) -> DataFrame:
-        return pipeline_from(self.raw("lineitem"), self.raw("orders"))
+        lines = spread_small(self.raw("lineitem"), "l_orderkey")
+        return pipeline_from(lines, self.raw("orders"))
 
     def source(self) -> dict[str, DataFrame]:
         names = ("accounts", "sectors", "products", "productseries", "salesagents", "salesmanagers",
@@ -170,7 +186,7 @@ class Sample:
 
     @cached_property
     def dimproduct(self) -> DataFrame:
-        return scd2_initialize(product_rows(self.products, self.productseries))
+        return scd2_initialize(product_rows(self.products, self.productseries), rows=self.rows["product"])
 
     @cached_property
     def dimsalesagent(self) -> DataFrame:

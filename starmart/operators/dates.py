@@ -13,10 +13,11 @@ DEFAULT_LAST_DATE = "2030-12-31"
 
 
 def seen_dates(pipeline: DataFrame) -> DataFrame:
-    """One row ``(lo, hi)``: first engagement and last event date, NULL where there is none."""
+    """One row ``(lo, hi, rows)``: first engagement, last event date (NULL where there is none), size."""
     return pipeline.agg(
         F.min("engagedate").alias("lo"),
         F.max(event_date(F.col("closedate"), F.col("engagedate"))).alias("hi"),
+        F.count(F.lit(1)).alias("rows"),
     )
 
 
@@ -50,10 +51,10 @@ def date_dimension(bounds: DataFrame) -> DataFrame:
     )
 
 
-def extended_dates(dates: DataFrame, pipeline: DataFrame) -> DataFrame:
-    """A date dimension grown to cover the dates of new pipeline rows as well."""
+def extended_dates(dates: DataFrame, seen: DataFrame) -> DataFrame:
+    """A date dimension grown to cover one-row ``seen(lo, hi)`` as well."""
     have = dates.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    both = have.unionByName(seen_dates(pipeline)).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    both = have.unionByName(seen.select("lo", "hi")).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     return date_dimension(
         both.select(
             F.coalesce("lo", F.lit(DEFAULT_FIRST_DATE).cast("date")).alias("lo"),

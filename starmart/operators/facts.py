@@ -66,8 +66,8 @@ def new_facts(
 ) -> DataFrame:
     """Only the rows an appending load adds.
 
-    ``batch_rows``, where known and small, sends the batch's keys to the existing table: that
-    is then scanned for one column and neither sorted nor shuffled.
+    ``batch_rows``, the size of ``resolved`` where it is known and small, sends the batch's keys
+    to the existing table: that is then scanned for one column and neither sorted nor shuffled.
     """
     if mode == "insert_only":
         return resolved.select(*FACT_COLUMNS)

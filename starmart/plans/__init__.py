@@ -1,8 +1,16 @@
 """Loads of a whole warehouse."""
 
+from starmart.plans.changelog import apply_pipeline_changes, archive_facts
 from starmart.plans.incremental import incremental_load
 from starmart.plans.initial import initial_load
 from starmart.plans.monthly import refresh_monthly
 from starmart.plans.options import LoadOptions
 
-__all__ = ["LoadOptions", "incremental_load", "initial_load", "refresh_monthly"]
+__all__ = [
+    "LoadOptions",
+    "apply_pipeline_changes",
+    "archive_facts",
+    "incremental_load",
+    "initial_load",
+    "refresh_monthly",
+]

@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from starmart.functions import change_window
 from starmart.operators.aggregates import in_months, monthly_sales, refresh_months
-from starmart.operators.dates import extended_dates
+from starmart.operators.dates import extended_dates, seen_dates
 from starmart.operators.dedup import first_per_key, latest_per_key
 from starmart.operators.dims import account_rows, agent_rows, product_rows, stage_rows
 from starmart.operators.facts import new_facts, newest_order, shape_pipeline, with_month
 from starmart.operators.lookup import table_rows
-from starmart.operators.resolve import KEY_FLAGS, fact_columns, resolve_keys
+from starmart.operators.resolve import KEY_FLAGS, Resolved, resolve_keys
 from starmart.operators.scd import scd1_upsert, scd2_apply, scd2_changes
 from starmart.plans.initial import dimensions_of
 from starmart.plans.options import LoadOptions, batch_name, logged
+from starmart.schemas import FACT_COLUMNS
 from starmart.sources.warehouse import MARKED_TABLES, Entry, Warehouse
 
 FACT = "factsalesperformance"
@@ -42,23 +45,26 @@ def incremental_load(
     if wh.committed(batch):
         return
     with logged(wh, batch, run_ts):
-        marks = wh.marks()
+        back = timedelta(seconds=options.overlap_seconds)
+        marks = {t: (datetime.fromisoformat(m) - back).isoformat() for t, m in wh.marks().items()}
         window = {
             t: src[t].filter(change_window(F.col("updated_at"), marks[t], run_ts)) for t in MARKED_TABLES if t in src
         }
         if fact_batch is not None:
             window["salespipeline"] = fact_batch
+        facts = window.pop("salespipeline")
         read = table_rows(window)
+        seen = seen_dates(facts).first()
+        read["salespipeline"] = seen["rows"]
 
         done = _load_dimensions(src, wh, window, read, run_ts, batch, options)
-        fact_entry, rejects, months = _load_facts(src, wh, window["salespipeline"], read, done, batch, options)
-        if fact_entry is not None:
-            done[FACT] = fact_entry
-        if rejects is not None:
-            done["factrejects"] = rejects
+        if _outside(wh, seen):
+            span = wh.spark.range(1).select(F.lit(seen["lo"]).alias("lo"), F.lit(seen["hi"]).alias("hi"))
+            done["dimdate"] = wh.write("dimdate", extended_dates(wh.table("dimdate"), span), batch)
+        done, months = _load_facts(src, wh, facts, read, done, batch, options)
         months = sorted({*months, *_months_of_moved_agents(wh, done)})
         if months:
-            done[MONTHLY] = _refresh_aggregate(wh, done, months, batch, options)
+            done[MONTHLY] = refresh_aggregate(wh, done, months, batch, options)
         moved = MARKED_TABLES if fact_batch is None else [t for t in MARKED_TABLES if t != "salespipeline"]
         wh.commit(batch, run_ts, list(done.values()), {t: run_ts for t in moved})
 
@@ -83,50 +89,62 @@ def _load_dimensions(
         newest = latest_per_key(rows, "productid", ["updated_at"]).drop("updated_at")
         dim = wh.table("dimproduct")
         first_from = run_date if options.first_version_from == "run_date" else options.first_version_from
-        new["dimproduct"] = scd2_apply(dim, scd2_changes(dim, newest), run_date, first_version_from=first_from)
+        new["dimproduct"] = scd2_apply(
+            dim,
+            scd2_changes(dim, newest),
+            run_date,
+            first_version_from=first_from,
+            change_rows=read["products"],
+        )
     if read["salesagents"]:
         rows = agent_rows(window["salesagents"], src["salesmanagers"], src["locations"], "updated_at")
         new["dimsalesagent"] = scd1_upsert(wh.table("dimsalesagent"), rows, "salesagentid", ["updated_at"])
     new["dimdealstage"] = scd1_upsert(wh.table("dimdealstage"), stage_rows(src["dealstages"]), "stageid")
-    if read["salespipeline"]:
-        new["dimdate"] = extended_dates(wh.table("dimdate"), window["salespipeline"])
     return {name: wh.write(name, df, batch) for name, df in new.items()}
 
 
+def _outside(wh: Warehouse, seen: Row) -> bool:
+    """Do the dates seen reach beyond the date dimension?"""
+    days = [d for d in (seen["lo"], seen["hi"]) if d is not None]
+    have = wh.table("dimdate").agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    return bool(days) and (have["lo"] is None or min(days) < have["lo"] or max(days) > have["hi"])
+
+
 def _load_facts(
     src: Mapping[str, DataFrame],
     wh: Warehouse,
     rows: DataFrame,
     read: Mapping[str, int],
-    done: Mapping[str, Entry],
+    done: dict[str, Entry],
     batch: str,
     options: LoadOptions,
-) -> tuple[Entry | None, Entry | None, list[int]]:
+) -> tuple[dict[str, Entry], list[int]]:
     """Facts of the window and of earlier rejects, the remaining rejects, and the months touched."""
     waiting = wh.rows("factrejects")
-    if not (read["salespipeline"] or waiting):
-        return None, None, []
+    n = read["salespipeline"] + waiting
+    if not n:
+        return done, []
     kept = wh.table("factrejects").drop(*KEY_FLAGS.values())
     shaped = shape_pipeline(rows, src["dealstages"]).select(*kept.columns)
-    dims = dimensions_of(wh, done)
     how = {"product": "as_of", "bounds": options.bounds, "emit": options.emit, **options.sizes}
-    resolved = resolve_keys(shaped.unionByName(kept), dims, **how)
+    flagged = resolve_keys(shaped.unionByName(kept), dimensions_of(wh, done), **how).flagged
+    # The batch is resolved once; facts, rejects and months are all taken from the result.
+    resolved = Resolved(wh.stage("resolved", flagged, batch))
     # A row read again after having been rejected is kept once.
     rejects = wh.write("factrejects", resolved.rejects.distinct(), batch)
 
-    existing, n = wh.table(FACT), read["salespipeline"] + waiting
+    existing = wh.table(FACT)
     if options.fact_mode == "upsert":
         entry = _upsert(wh, existing, resolved.facts, n, batch, options)
     else:
         added = new_facts(existing, resolved.facts, options.fact_mode, n, options.max_broadcast)
         entry = wh.write(FACT, with_month(added), batch, action="append")
-    entry = Entry(FACT, entry.action, entry.path, entry.months, read["salespipeline"], entry.rows_written,
-                  rejects.rows_written)
-    months = entry.months or _months(wh.read(FACT, [entry]))
-    return entry, rejects, list(months)
+    entry = replace(entry, rows_read=read["salespipeline"], rows_rejected=rejects.rows_written)
+    months = entry.months or months_of(wh.read(FACT, [entry]))
+    return {**done, FACT: entry, "factrejects": rejects}, list(months)
 
 
-def _months(facts: DataFrame) -> list[int]:
+def months_of(facts: DataFrame) -> list[int]:
     """Months present, from partition columns; the calendar bounds the list."""
     found = facts.select((F.col("year") * 100 + F.col("month")).alias("m")).distinct()
     return sorted(r.m for r in found.collect())
@@ -135,15 +153,30 @@ def _months(facts: DataFrame) -> list[int]:
 def _upsert(
     wh: Warehouse, existing: DataFrame, resolved: DataFrame, n: int, batch: str, options: LoadOptions
 ) -> Entry:
-    """Rewrite the months that lose or gain a row; the other months keep their files."""
     newest = with_month(first_per_key(resolved, "opportunityid", newest_order()))
     keys = resolved.select("opportunityid").distinct()
+    return rewrite_months(wh, existing, keys, n, newest, batch, options)
+
+
+def rewrite_months(
+    wh: Warehouse,
+    existing: DataFrame,
+    keys: DataFrame,
+    n: int,
+    added: DataFrame,
+    batch: str,
+    options: LoadOptions,
+) -> Entry:
+    """Take the opportunities ``keys`` (at most ``n``) out of the facts and put ``added`` in.
+
+    Only months that lose or gain a row are written again; the others keep their files.
+    """
     keys = F.broadcast(keys) if n <= options.max_broadcast else keys
     losing = existing.join(keys, "opportunityid", "left_semi")
-    months = _months(losing.select("year", "month").unionByName(newest.select("year", "month")))
+    months = months_of(losing.select("year", "month").unionByName(added.select("year", "month")))
     rest = existing.filter(in_months(F.col("year"), F.col("month"), months)).join(keys, "opportunityid", "left_anti")
-    columns = [*fact_columns(newest).columns, "year", "month"]
-    content = rest.select(*columns).unionByName(newest.select(*columns))
+    columns = [*FACT_COLUMNS, "year", "month"]
+    content = rest.select(*columns).unionByName(added.select(*columns))
     return wh.write(FACT, content, batch, action="append", months=months)
 
 
@@ -160,17 +193,17 @@ def _months_of_moved_agents(wh: Warehouse, done: Mapping[str, Entry]) -> list[in
     )
     if moved.isEmpty():
         return []
-    return _months(_facts_after(wh, done).join(moved, "salesagentkey", "left_semi"))
+    return months_of(facts_after(wh, done).join(moved, "salesagentkey", "left_semi"))
 
 
-def _facts_after(wh: Warehouse, done: Mapping[str, Entry]) -> DataFrame:
+def facts_after(wh: Warehouse, done: Mapping[str, Entry]) -> DataFrame:
     return wh.read(FACT, [*wh.live(FACT), *([done[FACT]] if FACT in done else [])])
 
 
-def _refresh_aggregate(
+def refresh_aggregate(
     wh: Warehouse, done: Mapping[str, Entry], months: list[int], batch: str, options: LoadOptions
 ) -> Entry:
     dims = dimensions_of(wh, done)
-    touched = _facts_after(wh, done).filter(in_months(F.col("year"), F.col("month"), months)).drop("year", "month")
+    touched = facts_after(wh, done).filter(in_months(F.col("year"), F.col("month"), months)).drop("year", "month")
     again = monthly_sales(touched, dims.date, dims.agent, dims.rows["agent"], max_broadcast=options.max_broadcast)
     return wh.write(MONTHLY, refresh_months(wh.table(MONTHLY), again, months), batch)

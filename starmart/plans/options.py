@@ -17,6 +17,7 @@ class LoadOptions:
     emit: product key in facts, ``sk`` (version) | ``natural``
     first_version_from: start of the first version of a new product; ``run_date`` for the run's day
     marks_after_full: ``reset`` rereads everything in the next incremental run, ``run_ts`` does not
+    overlap_seconds: read this much before the mark again, for rows committed late at the source
     """
 
     fact_mode: str = "insert_if_absent"
@@ -24,6 +25,7 @@ class LoadOptions:
     emit: str = "sk"
     first_version_from: str = BEGINNING
     marks_after_full: str = "reset"
+    overlap_seconds: int = 0
     max_broadcast: int = BROADCAST_ROWS
     slice_rows: int = SLICE_ROWS
 

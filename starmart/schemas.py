@@ -38,6 +38,9 @@ WAREHOUSE_DDL = {
     "factsalesperformance": "opportunityid STRING, datekey INT, accountkey BIGINT, productkey BIGINT, "
     "salesagentkey BIGINT, dealstagekey BIGINT, closevalue DECIMAL(18,2), durationdays INT, "
     "expectedsuccessrate DOUBLE",
+    "factsarchive": "opportunityid STRING, datekey INT, accountkey BIGINT, productkey BIGINT, "
+    "salesagentkey BIGINT, dealstagekey BIGINT, closevalue DECIMAL(18,2), durationdays INT, "
+    "expectedsuccessrate DOUBLE",
     "factsalesmonthlyaggregate": "year INT, month INT, region STRING, dealstagekey BIGINT, "
     "totaldealcount BIGINT, totalclosevalue DOUBLE, avgdealvalue DOUBLE, avgdurationdays DOUBLE, "
     "expectedsuccessrate DOUBLE",

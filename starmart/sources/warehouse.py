@@ -21,6 +21,7 @@ from pyspark.sql.types import IntegerType, StringType, StructType
 from starmart.functions import parse_instant
 from starmart.operators.aggregates import in_months
 from starmart.schemas import WAREHOUSE_DDL, empty_table, schema_of
+from starmart.sources.readers import key_range
 
 LOG_DDL = (
     "seq BIGINT, batch_id STRING, table_name STRING, action STRING, path STRING, months ARRAY<INT>, "
@@ -28,7 +29,7 @@ LOG_DDL = (
 )
 MARKED_TABLES = ("accounts", "products", "salesagents", "salespipeline")
 NO_MARK = "1970-01-01T00:00:00"
-PARTITIONED = {"factsalesperformance": ("year", "month")}
+PARTITIONED = {"factsalesperformance": ("year", "month"), "factsarchive": ("year", "month")}
 
 
 @dataclass(frozen=True)
@@ -133,19 +134,23 @@ class Warehouse:
         datetime.fromisoformat(text)
 
     # --- tables -------------------------------------------------------------
-    def table(self, name: str) -> DataFrame:
-        """The table as last committed; typed and empty if never loaded."""
-        return self.read(name, self._live()["tables"].get(name, []))
+    def table(self, name: str, lineage: bool = False) -> DataFrame:
+        """The table as last committed; typed and empty if never loaded.
+
+        ``lineage`` adds the ``batch`` that wrote each row.
+        """
+        return self.read(name, self._live()["tables"].get(name, []), lineage)
 
     def rows(self, name: str) -> int:
         return sum(e.rows_written or 0 for e in self._live()["tables"].get(name, []))
 
-    def read(self, name: str, entries: Sequence[Entry]) -> DataFrame:
+    def read(self, name: str, entries: Sequence[Entry], lineage: bool = False) -> DataFrame:
         """The rows in the directories of ``entries``, less months a later entry replaced."""
         extra = [c for c in PARTITIONED.get(name, ()) if c not in schema_of(name).fieldNames()]
         if not entries:
+            types = {c: "int" for c in extra} | ({"batch": "string"} if lineage else {})
             empty = empty_table(self.spark, name)
-            return empty.withColumns({c: F.lit(None).cast("int") for c in extra}) if extra else empty
+            return empty.withColumns({c: F.lit(None).cast(t) for c, t in types.items()}) if types else empty
         schema = schema_of(name)
         for c in extra:
             schema = schema.add(c, IntegerType())
@@ -160,7 +165,7 @@ class Warehouse:
             if e.months and older:
                 replaced = F.col("batch").isin(older) & in_months(F.col("year"), F.col("month"), e.months)
                 df = df.filter(~replaced)
-        return df.drop("batch")
+        return df if lineage else df.drop("batch")
 
     def live(self, name: str) -> list[Entry]:
         return list(self._live()["tables"].get(name, []))
@@ -182,6 +187,44 @@ class Warehouse:
         df.write.mode("overwrite").partitionBy(*parts).parquet(path)
         return Entry(name, action, path, tuple(months) or None, rows_written=seen.get["rows"])
 
+    def stage(self, name: str, df: DataFrame, batch_id: str) -> DataFrame:
+        """``df`` written once and read back, for a load that uses it several times."""
+        path = f"{self.root}/_staging/{name}/batch={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def write_in_ranges(
+        self,
+        name: str,
+        df: DataFrame,
+        batch_id: str,
+        run_ts: str,
+        key: str,
+        ranges: Sequence[tuple[int | None, int | None]],
+    ) -> list[Entry]:
+        """Write a table load one key range after the other, noting each in the log.
+
+        If the load is cut short, running it again with the same ranges writes only those
+        not noted.  The entries replace the table once they are committed.
+        """
+        noted = {
+            (r.path, r.message): r.rows_written
+            for r in self.log()
+            .filter((F.col("batch_id") == batch_id) & (F.col("table_name") == name) & (F.col("action") == "part"))
+            .select("path", "message", "rows_written")
+            .collect()
+        }
+        entries = []
+        for i, (low, high) in enumerate(ranges):
+            part, span = f"{batch_id}part{i:05d}", f"({low}, {high}]"
+            path = f"{self.root}/{name}/batch={part}"
+            rows = noted.get((path, span))
+            if rows is None:
+                rows = self.write(name, key_range(df, key, low, high), part).rows_written
+                self._append(batch_id, run_ts, [Entry(name, "part", path, rows_written=rows, message=span)])
+            entries.append(Entry(name, "append" if i else "replace", path, rows_written=rows))
+        return entries
+
     def create_all(self, batch_id: str = "create", run_ts: str = NO_MARK) -> None:
         """Every table, empty and typed; existing content is replaced (truncate)."""
         entries = []
