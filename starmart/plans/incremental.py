@@ -18,14 +18,11 @@ from starmart.operators.facts import new_facts, newest_order, shape_pipeline, wi
 from starmart.operators.lookup import table_rows
 from starmart.operators.resolve import KEY_FLAGS, Resolved, resolve_keys
 from starmart.operators.scd import scd1_upsert, scd2_apply, scd2_changes
-from starmart.plans.initial import dimensions_of
+from starmart.plans.initial import FACT, MONTHLY, dimensions_of
 from starmart.plans.options import LoadOptions, batch_name, logged
 from starmart.schemas import FACT_COLUMNS
 from starmart.sources.warehouse import MARKED_TABLES, Entry, Warehouse
 
-FACT = "factsalesperformance"
-MONTHLY = "factsalesmonthlyaggregate"
-
 
 def incremental_load(
     src: Mapping[str, DataFrame],
@@ -100,7 +97,7 @@ def _load_dimensions(
         rows = agent_rows(window["salesagents"], src["salesmanagers"], src["locations"], "updated_at")
         new["dimsalesagent"] = scd1_upsert(wh.table("dimsalesagent"), rows, "salesagentid", ["updated_at"])
     new["dimdealstage"] = scd1_upsert(wh.table("dimdealstage"), stage_rows(src["dealstages"]), "stageid")
-    return {name: wh.write(name, df, batch) for name, df in new.items()}
+    return wh.write_all(new, batch)
 
 
 def _outside(wh: Warehouse, seen: Row) -> bool:
@@ -131,14 +128,16 @@ def _load_facts(
     # The batch is resolved once; facts, rejects and months are all taken from the result.
     resolved = Resolved(wh.stage("resolved", flagged, batch))
     # A row read again after having been rejected is kept once.
-    rejects = wh.write("factrejects", resolved.rejects.distinct(), batch)
-
+    writes = {"factrejects": resolved.rejects.distinct()}
     existing = wh.table(FACT)
     if options.fact_mode == "upsert":
+        written = wh.write_all(writes, batch)
         entry = _upsert(wh, existing, resolved.facts, n, batch, options)
     else:
         added = new_facts(existing, resolved.facts, options.fact_mode, n, options.max_broadcast)
-        entry = wh.write(FACT, with_month(added), batch, action="append")
+        written = wh.write_all({**writes, FACT: with_month(added)}, batch, {FACT: "append"})
+        entry = written[FACT]
+    rejects = written["factrejects"]
     entry = replace(entry, rows_read=read["salespipeline"], rows_rejected=rejects.rows_written)
     months = entry.months or months_of(wh.read(FACT, [entry]))
     return {**done, FACT: entry, "factrejects": rejects}, list(months)

@@ -16,6 +16,9 @@ from starmart.operators.scd import scd2_initialize
 from starmart.plans.options import LoadOptions, batch_name, logged
 from starmart.sources.warehouse import MARKED_TABLES, NO_MARK, Entry, Warehouse
 
+FACT = "factsalesperformance"
+MONTHLY = "factsalesmonthlyaggregate"
+
 
 def dimensions_of(wh: Warehouse, entries: Mapping[str, Entry]) -> Dimensions:
     """Dimensions as written by a running load, falling back to the committed ones."""
@@ -62,25 +65,24 @@ def initial_load(
             "dimsalesagent": agent_rows(src["salesagents"], src["salesmanagers"], src["locations"]),
             "dimdealstage": stage_rows(src["dealstages"]),
         }
-        done = {name: wh.write(name, df, batch) for name, df in dims.items()}
+        done = wh.write_all(dims, batch)
         loaded = dimensions_of(wh, done)
 
         shaped = shape_pipeline(src["salespipeline"], src["dealstages"])
         resolved = resolve_keys(shaped, loaded, product="current", emit=options.emit, **options.sizes)
         first = first_per_key(resolved.facts, "opportunityid", first_order())
-        facts = wh.write("factsalesperformance", with_month(fact_columns(first)), batch)
-        rejects = wh.write("factrejects", resolved.rejects.distinct(), batch)
+        facts = {
+            FACT: with_month(fact_columns(first)),
+            "factrejects": resolved.rejects.distinct(),
+        }
+        done |= wh.write_all(facts, batch)
         monthly = monthly_sales(
-            wh.read("factsalesperformance", [facts]),
+            wh.read(FACT, [done[FACT]]),
             loaded.date,
             loaded.agent,
             loaded.rows["agent"],
             max_broadcast=options.max_broadcast,
         )
-        done |= {
-            "factsalesperformance": facts,
-            "factrejects": rejects,
-            "factsalesmonthlyaggregate": wh.write("factsalesmonthlyaggregate", monthly, batch),
-        }
+        done[MONTHLY] = wh.write(MONTHLY, monthly, batch)
         mark = run_ts if options.marks_after_full == "run_ts" else NO_MARK
         wh.commit(batch, run_ts, list(done.values()), {t: mark for t in MARKED_TABLES})

@@ -10,10 +10,12 @@ Spark can write to will do.  One writer at a time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
@@ -34,7 +36,7 @@ PARTITIONED = {"factsalesperformance": ("year", "month"), "factsarchive": ("year
 
 @dataclass(frozen=True)
 class Entry:
-    """One line of the load log."""
+    """One line of the load log.  ``path`` is relative to the warehouse."""
 
     table_name: str
     action: str
@@ -158,7 +160,7 @@ class Warehouse:
         df = (
             self.spark.read.schema(schema)
             .option("basePath", f"{self.root}/{name}")
-            .parquet(*[e.path for e in entries])
+            .parquet(*[f"{self.root}/{e.path}" for e in entries])
         )
         for i, e in enumerate(entries):
             older = [x.batch for x in entries[:i]]
@@ -174,7 +176,7 @@ class Warehouse:
         self, name: str, df: DataFrame, batch_id: str, action: str = "replace", months: Sequence[int] = ()
     ) -> Entry:
         """Write one table load (not yet visible) and count its rows on the way."""
-        path = f"{self.root}/{name}/batch={batch_id}"
+        path = f"{name}/batch={batch_id}"
         columns = [df[f.name].cast(f.dataType).alias(f.name) for f in schema_of(name)]
         parts = PARTITIONED.get(name, ())
         if parts:
@@ -184,9 +186,24 @@ class Warehouse:
             df = df.select(*columns)
         seen = Observation()
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        df.write.mode("overwrite").partitionBy(*parts).parquet(path)
+        df.write.mode("overwrite").partitionBy(*parts).parquet(f"{self.root}/{path}")
         return Entry(name, action, path, tuple(months) or None, rows_written=seen.get["rows"])
 
+    def write_all(
+        self, frames: Mapping[str, DataFrame], batch_id: str, actions: Mapping[str, str] | None = None
+    ) -> dict[str, Entry]:
+        """Write loads that do not depend on one another side by side: small ones fill few cores."""
+        if not frames:
+            return {}
+        actions = actions or {}
+
+        def one(item: tuple[str, DataFrame]) -> Entry:
+            return self.write(item[0], item[1], batch_id, actions.get(item[0], "replace"))
+
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            written = list(pool.map(inheritable_thread_target(self.spark)(one), frames.items()))
+        return dict(zip(frames, written))
+
     def stage(self, name: str, df: DataFrame, batch_id: str) -> DataFrame:
         """``df`` written once and read back, for a load that uses it several times."""
         path = f"{self.root}/_staging/{name}/batch={batch_id}"
@@ -217,7 +234,7 @@ class Warehouse:
         entries = []
         for i, (low, high) in enumerate(ranges):
             part, span = f"{batch_id}part{i:05d}", f"({low}, {high}]"
-            path = f"{self.root}/{name}/batch={part}"
+            path = f"{name}/batch={part}"
             rows = noted.get((path, span))
             if rows is None:
                 rows = self.write(name, key_range(df, key, low, high), part).rows_written
@@ -227,13 +244,8 @@ class Warehouse:
 
     def create_all(self, batch_id: str = "create", run_ts: str = NO_MARK) -> None:
         """Every table, empty and typed; existing content is replaced (truncate)."""
-        entries = []
-        for name in WAREHOUSE_DDL:
-            empty = empty_table(self.spark, name)
-            for c in PARTITIONED.get(name, ()):
-                empty = empty.withColumn(c, F.lit(None).cast("int"))
-            entries.append(self.write(name, empty, batch_id))
-        self.commit(batch_id, run_ts, entries, {t: NO_MARK for t in MARKED_TABLES})
+        entries = self.write_all({name: self.read(name, []) for name in WAREHOUSE_DDL}, batch_id)
+        self.commit(batch_id, run_ts, list(entries.values()), {t: NO_MARK for t in MARKED_TABLES})
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in WAREHOUSE_DDL}
