@@ -205,7 +205,7 @@ def asof_closed(s: Sample) -> DataFrame:
 
 @query
 def fact_resolved_as_of(s: Sample) -> DataFrame:
-    """Incremental resolution with the reference's choices: half-open bounds, natural key."""
+    """Incremental resolution with half-open bounds and the natural product key."""
     dims = s.dimensions(_versions(s))
     rows = {**s.rows, "product": _version_rows(s)}
     dims = Dimensions(dims.date, dims.account, dims.product, dims.agent, dims.stage, rows)

@@ -36,13 +36,13 @@ def apply_pipeline_changes(
         return
     with logged(wh, batch, run_ts):
         n = changes.count()
-        latest = wh.stage("changes", latest_per_key(changes, "opportunityid", newest_by), batch)
+        latest = wh.stage("changes", latest_per_key(changes, "opportunityid", newest_by))
         gone = latest.filter("op = 'D'").select("opportunityid")
         kept = wh.table("factrejects").drop(*KEY_FLAGS.values())
         shaped = shape_pipeline(latest.filter("op <> 'D'").drop("op"), src["dealstages"]).select(*kept.columns)
         how = {"product": "as_of", "bounds": options.bounds, "emit": options.emit, **options.sizes}
         flagged = resolve_keys(shaped, dimensions_of(wh, {}), **how).flagged
-        resolved = Resolved(wh.stage("resolved", flagged, batch))
+        resolved = Resolved(wh.stage("resolved", flagged))
         waiting = wh.table("factrejects").join(gone, "opportunityid", "left_anti")
         rejects = wh.write("factrejects", waiting.unionByName(resolved.rejects).distinct(), batch)
         added = with_month(resolved.facts)

@@ -126,7 +126,7 @@ def _load_facts(
     how = {"product": "as_of", "bounds": options.bounds, "emit": options.emit, **options.sizes}
     flagged = resolve_keys(shaped.unionByName(kept), dimensions_of(wh, done), **how).flagged
     # The batch is resolved once; facts, rejects and months are all taken from the result.
-    resolved = Resolved(wh.stage("resolved", flagged, batch))
+    resolved = Resolved(wh.stage("resolved", flagged))
     # A row read again after having been rejected is kept once.
     writes = {"factrejects": resolved.rejects.distinct()}
     existing = wh.table(FACT)

@@ -204,9 +204,12 @@ class Warehouse:
             written = list(pool.map(inheritable_thread_target(self.spark)(one), frames.items()))
         return dict(zip(frames, written))
 
-    def stage(self, name: str, df: DataFrame, batch_id: str) -> DataFrame:
-        """``df`` written once and read back, for a load that uses it several times."""
-        path = f"{self.root}/_staging/{name}/batch={batch_id}"
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written once and read back, for a load that uses it several times.
+
+        The next load overwrites it.
+        """
+        path = f"{self.root}/_staging/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
