@@ -46,7 +46,7 @@ def main() -> None:
         REGISTERED[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - start, 3)
 
-    run("dim_account")  # starts the executor threads and the code generator
+    run("monthly_aggregate")  # not counted: starts the threads and warms the code generator
     times = {name: run(name) for name in HEADLINE}
     spark.stop()
     print(json.dumps({

@@ -155,7 +155,7 @@ class Sample:
     def stage_feed(self) -> DataFrame:
         """Stage names as seen on every order line, upper case before 1998."""
         names = F.create_map(*[F.lit(x) for k, v in STAGES.items() for x in (k, v)])
-        seen = self.raw("lineitem").select(
+        seen = spread_small(self.raw("lineitem"), "l_orderkey").select(
             stage_of_line().alias("dealstageid"),
             F.try_element_at(names, stage_of_line().cast("int")).alias("stagename"),
             F.col("l_shipdate").alias("updated_at"),
