@@ -56,7 +56,7 @@ def initial_load(
     Product keys are those of the current (only) version; of repeated opportunities the first
     is kept.  Readers see the old warehouse until the commit at the end.
     """
-    batch = batch_id or batch_name(run_ts)
+    batch = wh.fresh_batch(batch_id or f"full{batch_name(run_ts)}")
     with logged(wh, batch, run_ts):
         dims = {
             "dimdate": date_dimension(date_bounds(src["salespipeline"])),

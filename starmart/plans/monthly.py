@@ -11,7 +11,7 @@ def refresh_monthly(
     wh: Warehouse, run_ts: str, batch_id: str | None = None, options: LoadOptions = LoadOptions()
 ) -> None:
     """Full refresh; readers see either the old aggregate or the new one, never an empty table."""
-    batch = batch_id or f"monthly{batch_name(run_ts)}"
+    batch = wh.fresh_batch(batch_id or f"monthly{batch_name(run_ts)}")
     with logged(wh, batch, run_ts):
         monthly = monthly_sales(
             wh.table("factsalesperformance"),

@@ -96,6 +96,14 @@ class Warehouse:
     def committed(self, batch_id: str) -> bool:
         return not self.log().filter((F.col("batch_id") == batch_id) & (F.col("action") == "commit")).isEmpty()
 
+    def fresh_batch(self, batch_id: str) -> str:
+        """``batch_id``, or a variant of it where that is committed: live directories are never written to."""
+        fresh, n = batch_id, 1
+        while self.committed(fresh):
+            n += 1
+            fresh = f"{batch_id}v{n}"
+        return fresh
+
     def commit(self, batch_id: str, run_ts: str, entries: Sequence[Entry], marks: dict[str, str]) -> None:
         """Publish the entries and marks of a run together."""
         for mark in marks.values():
@@ -247,6 +255,7 @@ class Warehouse:
 
     def create_all(self, batch_id: str = "create", run_ts: str = NO_MARK) -> None:
         """Every table, empty and typed; existing content is replaced (truncate)."""
+        batch_id = self.fresh_batch(batch_id)
         entries = self.write_all({name: self.read(name, []) for name in WAREHOUSE_DDL}, batch_id)
         self.commit(batch_id, run_ts, list(entries.values()), {t: NO_MARK for t in MARKED_TABLES})
 

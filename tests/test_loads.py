@@ -239,6 +239,18 @@ def test_create_all_marks_lineage_and_empty_reads(spark, src, empty):
     assert empty.table("factsalesperformance").count() == 0
 
 
+def test_repeating_a_full_load_does_not_touch_live_directories(spark, src, wh):
+    before = {e.path for name in wh.tables() for e in wh.live(name)}
+    initial_load(src, wh, RUN1)
+    refresh_monthly(wh, RUN1)
+    refresh_monthly(wh, RUN1)
+    after = {e.path for name in wh.tables() for e in wh.live(name)}
+    assert not before & after and violations(wh) == {}
+    incremental_load(scenario1(spark, src), wh, RUN1 + ".5")
+    incremental_load(scenario1(spark, src), wh, RUN2)
+    assert "TEST_S1_manual01" in facts(wh)
+
+
 def test_unreadable_marks(empty):
     with pytest.raises(ValueError):
         empty.commit("b", RUN1, [], {"accounts": "soon"})
