@@ -18,7 +18,7 @@ fits AS (
 best AS (
   SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM fits GROUP BY ALL)
 SELECT page_id, host, path, rule, coalesce(verdict, CASE
-  WHEN regexp_matches(host, '^(ads?[.-]|(adserver|track|tracker|tracking|doubleclick)\.)') THEN 'block'
+  WHEN regexp_matches(host, '^(ads?[.-]|adult-|(free-bets|adserver|track|tracker|tracking|doubleclick)\.)') THEN 'block'
   WHEN regexp_matches('.' || host, '\.(casino|porn)\.|\.xxx$') THEN 'block'
   WHEN regexp_matches(path, '/(ads|adserver|banner.|banners|tracking|casino|wp-admin|cgi-bin)/|\.(exe|apk|zip|torrent)$') THEN 'block'
   ELSE 'allow' END) AS verdict
@@ -42,3 +42,45 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+SQL["op1_secret_scans"] = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+raw AS (SELECT doc_id, t, rank, kind FROM docs, (VALUES (1, 'assign'), (2, 'access'), (3, 'hex'), (4, 'run')) AS k(rank, kind)),
+lists AS (
+  SELECT doc_id, rank, kind,
+    CASE kind WHEN 'assign' THEN regexp_extract_all(t, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0)
+      WHEN 'access' THEN regexp_extract_all(t, 'AKIA[A-Z0-9]+', 0) WHEN 'hex' THEN regexp_extract_all(t, '[0-9a-f]+', 0)
+      ELSE regexp_extract_all(t, '[A-Za-z0-9+/_=-]+', 0) END AS m,
+    CASE kind WHEN 'assign' THEN regexp_extract_all(t, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1) END AS v,
+    CASE kind WHEN 'assign' THEN string_split_regex(t, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+')
+      WHEN 'access' THEN string_split_regex(t, 'AKIA[A-Z0-9]+') WHEN 'hex' THEN string_split_regex(t, '[0-9a-f]+')
+      ELSE string_split_regex(t, '[A-Za-z0-9+/_=-]+') END AS g
+  FROM raw),
+flat AS (
+  SELECT doc_id, rank, kind, unnest(range(1, len(m) + 1)) AS i, unnest(m) AS m, unnest(coalesce(v, m)) AS v, unnest(g[1 : len(m)]) AS g FROM lists WHERE len(m) > 0),
+placed AS (
+  SELECT doc_id, rank, kind, m, v, CAST(sum(length(g) + length(m)) OVER (PARTITION BY doc_id, rank ORDER BY i) AS BIGINT) AS e FROM flat),
+base AS (
+  SELECT doc_id, rank, kind, e - length(m) AS s, e FROM placed
+  WHERE length(v) >= CASE kind WHEN 'assign' THEN 12 WHEN 'access' THEN 18 WHEN 'hex' THEN 16 ELSE 2147483647 END),
+runs AS (
+  SELECT doc_id, m, e - length(m) AS pos, regexp_full_match(m, '[0-9a-fA-F]+') AS ishex FROM placed
+  WHERE kind = 'run' AND length(m) >= 20 AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]')
+    AND NOT regexp_matches(m, '^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$') AND NOT regexp_matches(m, '^[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9-]*)?$')
+    AND NOT regexp_matches(m, '(?i)example|placeholder|changeme|dummy|sample|your[-_]') AND NOT regexp_matches(m, '^(sha1|sha224|sha256|sha384|sha512)-')
+    AND NOT regexp_matches(m, '^/?([A-Za-z]+/)+[A-Za-z0-9_-]{1,19}$')),
+moved AS (SELECT doc_id, pos, m, ishex, unnest(range(0, length(m) - 19)) AS k FROM runs),
+hot AS (
+  SELECT doc_id, CASE WHEN ishex THEN 4 ELSE 5 END AS rank, CASE WHEN ishex THEN 'entropy_hex' ELSE 'entropy_base64' END AS kind, min(pos + k) AS s, max(pos + k + 20) AS e
+  FROM moved WHERE list_aggregate(string_split(substr(m, k + 1, 20), ''), 'entropy') >= CASE WHEN ishex THEN 2.95 ELSE 3.85 END GROUP BY doc_id, pos, ishex),
+added AS (SELECT * FROM hot h WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = h.doc_id AND b.s <= h.s AND b.e >= h.e)),
+spans AS (SELECT *, true AS isbase FROM base UNION ALL SELECT *, false FROM added),
+told AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    count(*) FILTER (NOT isbase) AS n_entropy,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (isbase) AS b, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS a
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, coalesce(n_entropy, 0) AS n_entropy,
+  sha256(coalesce(b, '')) AS base_sha256, coalesce(a, '') AS spans
+FROM docs LEFT JOIN told USING (doc_id)
+"""

@@ -37,7 +37,7 @@ RULES = [
 ]
 #: The method's own globs over the canonical form (\0 between host and path), for URLs that no rule fits.
 BLOCKED = [
-    ".ads.*", ".ads-*", ".ad.*", ".ad-*", ".adserver.*", ".track.*", ".tracker.*", ".tracking.*", ".doubleclick.*", "*.casino.*", "*.xxx\0*", "*.porn.*",
+    ".ads.*", ".ads-*", ".ad.*", ".ad-*", ".adserver.*", ".track.*", ".tracker.*", ".tracking.*", ".doubleclick.*", ".adult-*", ".free-bets.*", "*.casino.*", "*.xxx\0*", "*.porn.*",
     "*\0*/ads/*", "*\0*/adserver/*", "*\0*/banner?/*", "*\0*/banners/*", "*\0*/tracking/*", "*\0*/casino/*", "*\0*/wp-admin/*", "*\0*/cgi-bin/*",
     "*\0*.exe", "*\0*.apk", "*\0*.zip", "*\0*.torrent",
 ]
