@@ -84,3 +84,15 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   sha256(coalesce(b, '')) AS base_sha256, coalesce(a, '') AS spans
 FROM docs LEFT JOIN told USING (doc_id)
 """
+
+SQL["op3_warc"] = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+named AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex) AS winner,
+    array_to_string(list_transform(range(0, 32), lambda i:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(hex, (i // 4) * 5 + 1, 5) AS BIGINT) >> (5 * (3 - i % 4))) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT FROM winner THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS NOT DISTINCT FROM winner THEN NULL ELSE winner END AS refers_to
+FROM named
+"""
