@@ -96,3 +96,17 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT
   CASE WHEN page_id IS NOT DISTINCT FROM winner THEN NULL ELSE winner END AS refers_to
 FROM named
 """
+
+SQL["op2_substring_dedup"] = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50),
+hashed AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h FROM starts),
+gone AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS least FROM hashed) WHERE least < doc_id),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM gone),
+lists AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM covered GROUP BY doc_id),
+flat AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words SEMI JOIN lists USING (doc_id)),
+left_over AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept FROM flat ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(l.n, 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN l.n IS NULL THEN array_to_string(w.w, ' ') ELSE coalesce(k.kept, '') END) AS kept_sha256
+FROM words w LEFT JOIN lists l USING (doc_id) LEFT JOIN left_over k USING (doc_id)
+"""
