@@ -35,6 +35,8 @@ from pyspark.sql import types as T
 from starmart.llm.storage import new_path, stored
 
 MAX_RECORDS = 4000
+#: The archives' compression. Its fastest level takes a third of the time of the usual one and gives files a fifth larger.
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 #: The fields of ARC header lines by version.
 ARC_FIELDS = {
@@ -94,7 +96,7 @@ def write_arc(pages: DataFrame, path: str, version: str = "1", date: str = "2024
                 yield pa.RecordBatch.from_arrays([pa.array(["\n".join(records)])], names=["value"])
 
     packed = pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(pack, "value string")
-    packed.write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    packed.write.options(maxRecordsPerFile=1, **GZIP).text(path)
 
 
 #: Characters of pages from which a packed archive is closed; one longer page makes one longer file.
@@ -240,7 +242,7 @@ def write_warc(records: DataFrame, path: str, max_records: int = MAX_RECORDS) ->
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
     made = records.select("page_id", "winner", "winner_line", "url", "archive_date", "ip", "header_line", "http_header", "payload", "payload_digest", "block_digest").mapInArrow(convert, "value string")
-    made.write.option("maxRecordsPerFile", max_records).option("compression", "gzip").option("lineSep", "\n").text(path)
+    made.write.options(maxRecordsPerFile=max_records, lineSep="\n", **GZIP).text(path)
 
 
 def warc_records(raw: bytes) -> Iterator[tuple[str, bytes]]:
