@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import archives, decontamination, secrets, substrings, urls
+from starmart.llm import archives, decontamination, pieces, secrets, substrings, urls
 from starmart.llm.storage import importable
 
 
@@ -30,6 +30,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(_table(spark, sf_dir, "pages"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -39,5 +43,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_warc": op3_warc,
     "op7_url_filters": op7_url_filters,
+    "op8_sentencepiece": op8_sentencepiece,
     "op10_decontamination": op10_decontamination,
 }
