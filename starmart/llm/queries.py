@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import archives, decontamination, pieces, secrets, substrings, urls
+from starmart.llm import archives, decontamination, pieces, quality, secrets, substrings, urls
 from starmart.llm.storage import importable
 
 
@@ -26,6 +26,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.judged(docs, quality.trained(docs, _table(spark, sf_dir, "labels"))).drop("content_share")
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(_table(spark, sf_dir, "pages"))
 
@@ -42,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_warc": op3_warc,
+    "op4_quality_rules": op4_quality_rules,
     "op7_url_filters": op7_url_filters,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_decontamination": op10_decontamination,
