@@ -110,3 +110,17 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(l.n, 0) AS B
        sha256(CASE WHEN l.n IS NULL THEN array_to_string(w.w, ' ') ELSE coalesce(k.kept, '') END) AS kept_sha256
 FROM words w LEFT JOIN lists l USING (doc_id) LEFT JOIN left_over k USING (doc_id)
 """
+
+SQL["op9_jaccard_join"] = r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s FROM words),
+grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 5 * c >= 4 * (a.n + b.n - c)),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT s.doc_id, least(s.doc_id, coalesce(r.m, s.doc_id)) AS class_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_links, CAST(s.n AS BIGINT) AS n_shingles
+FROM sizes s LEFT JOIN (SELECT x, min(y) AS m FROM reach GROUP BY x) r ON r.x = s.doc_id LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) k ON k.x = s.doc_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import archives, decontamination, pieces, quality, secrets, substrings, urls
+from starmart.llm import archives, decontamination, forest, pieces, quality, secrets, substrings, urls
 from starmart.llm.storage import importable
 
 
@@ -39,6 +39,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(_table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.joined(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -50,5 +54,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op7_url_filters": op7_url_filters,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.storage import stored
-from starmart.llm.words import BLANKS, Words, slices, words
+from starmart.llm.words import BLANKS, Words, pack, slices, unpack, words
 
 SLICE = 4_000_000
 #: Rolling windows per bucket, on average.
@@ -37,27 +37,6 @@ BUCKET = 2_000_000
 _REST = np.uint64(34)
 
 
-def pack(x: np.ndarray) -> bytes:
-    """Sorted unsigned integers as one byte of width, the first value, and the differences in that width."""
-    if not len(x):
-        return b""
-    steps = np.diff(x)
-    width = max(1, -(-int(steps.max()).bit_length() // 8)) if len(steps) else 1
-    return bytes([width]) + int(x[0]).to_bytes(8, "little") + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
-
-
-def unpack(raw: bytes) -> np.ndarray:
-    if not raw:
-        return np.zeros(0, np.uint64)
-    width = raw[0]
-    steps = np.frombuffer(raw, np.uint8, offset=9).reshape(-1, width)
-    wide = np.zeros((len(steps) + 1, 8), np.uint8)
-    wide[1:, :width] = steps
-    out = wide.view("<u8").ravel()
-    out[0] = int.from_bytes(raw[1:9], "little")
-    return np.cumsum(out, dtype=np.uint64)
-
-
 def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts `key`, and the first place of each distinct value in it."""
     order = np.argsort(key, kind="stable")

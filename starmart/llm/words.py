@@ -138,3 +138,24 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
 
 def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BLANKS, lower: bool = False) -> Words:
     return Words(_LOWER[data] if lower else data, offsets, separators)
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Sorted unsigned integers as one byte of width, the first value, and the differences in that width."""
+    if not len(x):
+        return b""
+    steps = np.diff(x)
+    width = max(1, -(-int(steps.max()).bit_length() // 8)) if len(steps) else 1
+    return bytes([width]) + int(x[0]).to_bytes(8, "little") + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    if not raw:
+        return np.zeros(0, np.uint64)
+    width = raw[0]
+    steps = np.frombuffer(raw, np.uint8, offset=9).reshape(-1, width)
+    wide = np.zeros((len(steps) + 1, 8), np.uint8)
+    wide[1:, :width] = steps
+    out = wide.view("<u8").ravel()
+    out[0] = int.from_bytes(raw[1:9], "little")
+    return np.cumsum(out, dtype=np.uint64)
