@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import archives, decontamination, forest, pieces, quality, secrets, substrings, urls
+from starmart.llm import archives, decontamination, forest, language, pieces, quality, secrets, substrings, urls
 from starmart.llm.storage import importable
 
 
@@ -31,6 +31,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, quality.trained(docs, _table(spark, sf_dir, "labels"))).drop("content_share")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.predicted(docs, language.learned(docs)).drop("proportions")
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(_table(spark, sf_dir, "pages"))
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_warc": op3_warc,
     "op4_quality_rules": op4_quality_rules,
+    "op5_language_id": op5_language_id,
     "op7_url_filters": op7_url_filters,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_jaccard_join": op9_jaccard_join,
