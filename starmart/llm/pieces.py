@@ -30,7 +30,9 @@ from pyspark.sql import types as T
 from starmart.llm.words import slices, words
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 4_000_000
+SLICE = 2_000_000
+#: Chunks that one call of the tokenizer gets.
+BATCH = 8192
 MARK = "▁"
 #: Piece kinds and model types of the public protobuf definition.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -65,7 +67,7 @@ def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
 class Memo:
     """Ids of chunks that this worker has met, by 64-bit key; it is emptied when it holds `limit` chunks, so its size is bounded."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 700_000):
         self.limit = limit
         self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat, self.same = np.zeros(0, np.int32), np.zeros(0, bool)
@@ -231,9 +233,12 @@ class Model:
         memo = self.memo
         new = np.flatnonzero(~memo.knows(distinct))
         if len(new):
-            chunks = [chunk(i) for i in one[new].tolist()]
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-            memo.learn(distinct[new], coded, self._same(chunks, coded) if verify else [True] * len(chunks))
+            coded, same = [], []
+            for i in range(0, len(new), BATCH):  # an encoding holds far more than its ids
+                chunks = [chunk(i) for i in one[new[i : i + BATCH]].tolist()]
+                coded += [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+                same += self._same(chunks, coded[i:]) if verify else [True] * len(chunks)
+            memo.learn(distinct[new], coded, same)
         at = np.concatenate([begin, idle[head]])
         order = np.argsort(at, kind="stable")
         at, chunk_at = at[order], memo.place(distinct)[which.ravel()[order]]
