@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import archives, decontamination, forest, language, pieces, quality, secrets, substrings, urls
+from starmart.llm import archives, decontamination, forest, html, language, pieces, quality, secrets, substrings, urls
 from starmart.llm.storage import importable
 
 
@@ -36,6 +36,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted(docs, language.learned(docs)).drop("proportions")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(_table(spark, sf_dir, "pages"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(_table(spark, sf_dir, "pages"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_quality_rules": op4_quality_rules,
     "op5_language_id": op5_language_id,
+    "op6_html_extraction": op6_html_extraction,
     "op7_url_filters": op7_url_filters,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_jaccard_join": op9_jaccard_join,
