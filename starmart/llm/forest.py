@@ -277,7 +277,8 @@ def _verified(docs: DataFrame, members: DataFrame, edges: DataFrame, forest: For
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), packed], names=[*names, "shingles"]).filter(pa.array(right))
 
     names = ["node", "family", "chunk", "chunks", "copies"]
-    texts = docs.select(row_id().alias("row_id"), "text").where("text is not null").join(placed, "row_id").select(*names, "text")
+    # Both sides grow with the corpus, so this join is a merge at any size.
+    texts = docs.select(row_id().alias("row_id"), "text").where("text is not null").join(placed.hint("merge"), "row_id").select(*names, "text")
     sets = texts.mapInArrow(shingles, "node long, family long, chunk long, chunks long, copies long, shingles binary")
     chunks = stored(sets.groupBy("family", "chunk").applyInArrow(_chunk, "family long, chunk long, chunks long, payload binary"), "chunks")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
