@@ -93,8 +93,8 @@ def _signatures(sets: list[np.ndarray], n: int) -> np.ndarray:
 
 
 def row_id() -> Column:
-    """doc_id, or for a null a negative number made of the text."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.expr("-1 - (xxhash64(text) & 4611686018427387903)"))
+    """doc_id, or for a null a number of 2**62 or more made of the text, so that null ids come last."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.expr("4611686018427387904 + (xxhash64(text) & 4611686018427387903)"))
 
 
 def _signed(docs: DataFrame, forest: Forest) -> DataFrame:

@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import itertools
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from starmart.llm import quality
+from starmart.llm.quality import Field, Measured
+from starmart.llm.words import slices
+
+
+def brute(text):
+    t = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines, dup = set(), 0
+    for line in t.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in lines
+            lines.add(line)
+    grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    repeated = {k for i in range(len(w) - 2) if grams[tuple(w[i : i + 3])] > 1 for k in (i, i + 1, i + 2)}
+    return len(w), sum(map(len, w)), sum(t.count(c) for c in quality.SYMBOLS), dup, len(repeated), len(w) < 50 or 100 * len(repeated) > 50 * len(w)
+
+
+TEXTS = ["a b c\na b c\n\na b c \n", "x " * 60, " ".join(map(str, range(60))), "# $ %\n" * 20, "é|ü\n\n \né|ü", "one\rtwo\x0bthree\x0c"]
+
+
+def test_base_counts(edge, frame):
+    df, pairs = edge
+    for docs, want in ((df, pairs), (frame(TEXTS), list(enumerate(TEXTS)))):
+        got = quality.judged(docs, Field.untrained()).collect()
+        assert sorted((tuple(r)[:7] for r in got), key=str) == sorted(((i, *brute(t)) for i, t in want), key=str)
+        assert all(r.kept == (not r.base_failed) for r in got)
+
+
+def test_viterbi_finds_the_best_sequence():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        field = Field(rng.normal(size=(len(quality.FEATURES), 2)), rng.normal(size=(2, 2)))
+        length = rng.integers(0, 7, 5)
+        first = np.concatenate([[0], np.cumsum(length)])
+        x = rng.normal(size=(first[-1], len(quality.FEATURES)))
+        got = field.viterbi(x, first)
+        score = x @ field.emission
+        for a, b in itertools.pairwise(first.tolist()):
+            value = lambda s, a=a: sum(score[a + i, y] for i, y in enumerate(s)) + sum(field.transition[p, q] for p, q in itertools.pairwise(s))
+            assert value(got[a:b].tolist()) == pytest.approx(max(map(value, itertools.product((0, 1), repeat=b - a))))
+
+
+def test_likelihood_and_gradient():
+    rng = np.random.default_rng(2)
+    field = Field(rng.normal(size=(len(quality.FEATURES), 2)), rng.normal(size=(2, 2)))
+    x = rng.normal(size=(3, 4, len(quality.FEATURES)))
+    mask = np.arange(4) < np.array([4, 2, 1])[:, None]
+    labels = rng.integers(0, 2, (3, 4))
+    value, emission, transition = field.likelihood(x, labels, mask)
+    total = 0.0
+    for d in range(3):
+        n = int(mask[d].sum())
+        s = x[d] @ field.emission
+        score = lambda y, s=s: sum(s[i, v] for i, v in enumerate(y)) + sum(field.transition[p, q] for p, q in itertools.pairwise(y))
+        total += score(labels[d, :n].tolist()) - np.log(sum(np.exp(score(y)) for y in itertools.product((0, 1), repeat=n)))
+    assert value == pytest.approx(total)
+    for name, gradient in (("emission", emission), ("transition", transition)):
+        moved = getattr(field, name).copy()
+        moved[1, 1] += 1e-6
+        near = Field(**{"emission": field.emission, "transition": field.transition, name: moved})
+        assert (near.likelihood(x, labels, mask)[0] - value) / 1e-6 == pytest.approx(gradient[1, 1], abs=1e-3)
+
+
+def test_trained_field_tells_junk_from_prose(spark, frame):
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("aeinorst"), rng.integers(2, 9)))
+    prose = lambda: "\n".join(" ".join(word() for _ in range(15)).capitalize() + "." for _ in range(6))
+    junk = lambda: "\n".join(" ".join(word() + str(rng.choice(["***", "###"])) for _ in range(15)) for _ in range(6))
+    docs = frame([prose() if i % 2 else junk() for i in range(80)])
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(40)] + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    field = quality.trained(docs, labels)
+    assert all(r.kept == bool(r.doc_id % 2) for r in quality.judged(docs, field).collect())
+    kept = quality.retained(docs, field)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == list(range(1, 80, 2))
+    assert quality.judged(frame([]), field).collect() == [] and quality.retained(frame([]), field).collect() == []
+    assert (quality.trained(docs, labels.limit(0)).emission == Field.untrained().emission).all()
+
+
+def test_slices_do_not_change_counts():
+    import pyarrow as pa
+
+    column = pa.array([None, *TEXTS, ""])
+    whole = [Measured(data, offsets).n_repeat_words.tolist() for _, _, data, offsets in slices(column, 10**9)]
+    parts = [x for _, _, data, offsets in slices(column, 1) for x in Measured(data, offsets).n_repeat_words.tolist()]
+    assert whole == [parts]
