@@ -42,30 +42,34 @@ SELECT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS
   CASE WHEN l_linestatus = 'O' AND l_quantity < 10 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS closevalue,
   CAST(l_shipdate AS TIMESTAMP) AS updated_at
 FROM stagelines JOIN orders ON l_orderkey = o_orderkey""",
+    # Edges of the bands, to the cent, and rates of the stages; a stage without one has 10.
+    "revenuebands": """
+SELECT * FROM (VALUES ('Under 1M', -1e15, 999999.99), ('1M-10M', 1000000, 10000000), ('Over 10M', 10000000.01, 1e15)) AS t(label, low, high)""",
+    "pricebands": """
+SELECT * FROM (VALUES ('Low', -1e15, 99.99), ('Medium', 100, 1000), ('High', 1000.01, 1e15)) AS t(label, low, high)""",
+    "stagerates": "SELECT * FROM (VALUES ('Won', 100), ('Lost', 0), ('Engaging', 75), ('Prospecting', 25)) AS t(stagename, rate)",
     "dimaccount": """
-SELECT a.accountid, a.accountname, s.sectorname AS sector,
-  CASE WHEN a.revenue < 1000000 THEN 'Under 1M' WHEN a.revenue BETWEEN 1000000 AND 10000000 THEN '1M-10M' WHEN a.revenue > 10000000 THEN 'Over 10M' ELSE 'Unknown' END AS revenuerange,
-  a.parentaccountid FROM accounts a LEFT JOIN sectors s ON a.sectorid = s.sectorid""",
+SELECT accountid, accountname, (SELECT max(sectorname) FROM sectors x WHERE x.sectorid = accounts.sectorid) AS sector,
+  coalesce((SELECT max(label) FROM revenuebands b WHERE accounts.revenue BETWEEN b.low AND b.high), 'Unknown') AS revenuerange, parentaccountid FROM accounts""",
     "productrows": """
-SELECT p.productid, p.productname, ps.seriesname, p.salesprice AS price,
-  CASE WHEN p.salesprice < 100 THEN 'Low' WHEN p.salesprice BETWEEN 100 AND 1000 THEN 'Medium' WHEN p.salesprice > 1000 THEN 'High' ELSE 'Unknown' END AS pricerange,
-  p.updated_at FROM products p LEFT JOIN productseries ps ON p.seriesid = ps.seriesid""",
+SELECT productid, productname, (SELECT max(seriesname) FROM productseries x WHERE x.seriesid = products.seriesid) AS seriesname, salesprice AS price,
+  coalesce((SELECT max(label) FROM pricebands b WHERE products.salesprice BETWEEN b.low AND b.high), 'Unknown') AS pricerange, updated_at FROM products""",
     "dimproduct": """
 SELECT CAST(row_number() OVER (ORDER BY productid) AS BIGINT) AS productsk, productid, productname, seriesname, price, pricerange,
   DATE '1900-01-01' AS validfrom, CAST(NULL AS DATE) AS validto, TRUE AS iscurrent FROM productrows""",
     "dimsalesagent": """
-SELECT sa.salesagentid, sa.salesagentname, sm.managername, l.locationname AS region FROM salesagents sa
-  LEFT JOIN salesmanagers sm ON sa.managerid = sm.managerid LEFT JOIN locations l ON sa.regionalofficeid = l.locationid""",
+SELECT salesagentid, salesagentname, (SELECT max(managername) FROM salesmanagers x WHERE x.managerid = salesagents.managerid) AS managername,
+  (SELECT max(locationname) FROM locations x WHERE x.locationid = salesagents.regionalofficeid) AS region FROM salesagents""",
     "dimdealstage": "SELECT dealstageid AS stageid, stagename FROM dealstages",
     "dimdate": """
 SELECT CAST(strftime(d,'%Y%m%d') AS INT) AS datekey, CAST(d AS DATE) AS date, CAST(day(d) AS INT) AS day, CAST(month(d) AS INT) AS month, CAST(quarter(d) AS INT) AS quarter, CAST(year(d) AS INT) AS year
- FROM (SELECT unnest(generate_series(make_date(year(lo),1,1), make_date(year(hi),12,31), INTERVAL 1 DAY)) d FROM (SELECT min(engagedate) lo, max(coalesce(closedate,engagedate)) hi FROM salespipeline))""",
+ FROM (SELECT unnest(generate_series(make_date(year(lo),1,1), make_date(year(hi),12,31), INTERVAL 1 DAY)) d FROM (SELECT min(least(engagedate, closedate)) lo, max(coalesce(closedate, engagedate)) hi FROM salespipeline))""",
     "factsource": """
-SELECT sp.*, CASE WHEN closedate IS NOT NULL AND engagedate IS NOT NULL THEN CAST(date_diff('day', engagedate, closedate) AS INT) END AS durationdays,
-  CAST(CASE ds.stagename WHEN 'Won' THEN 100.0 WHEN 'Lost' THEN 0.0 WHEN 'Engaging' THEN 75.0 WHEN 'Prospecting' THEN 25.0 ELSE 10.0 END AS DOUBLE) AS expectedsuccessrate,
-  coalesce(closedate, engagedate) AS eventdate
-  FROM salespipeline sp LEFT JOIN dealstages ds ON sp.dealstageid = ds.dealstageid
-  WHERE accountid IS NOT NULL AND productid IS NOT NULL AND salesagentid IS NOT NULL AND sp.dealstageid IS NOT NULL AND coalesce(closedate, engagedate) IS NOT NULL""",
+SELECT dated.* EXCLUDE (known), CAST(CASE WHEN known = 2 THEN datediff('day', engagedate, closedate) END AS INT) AS durationdays,
+  CAST(coalesce((SELECT max(rate) FROM stagerates r JOIN dealstages x USING (stagename) WHERE x.dealstageid = dated.dealstageid), 10) AS DOUBLE) AS expectedsuccessrate,
+  greatest(closedate, CASE WHEN closedate IS NULL THEN engagedate END) AS eventdate
+FROM (SELECT *, CAST(closedate IS NOT NULL AS INT) + CAST(engagedate IS NOT NULL AS INT) AS known FROM salespipeline) dated
+WHERE known > 0 AND NOT (accountid IS NULL OR productid IS NULL OR salesagentid IS NULL OR dealstageid IS NULL)""",
     "factresolved": """
 SELECT f.opportunityid, d.datekey, a.accountid AS accountkey, p.productsk AS productkey, g.salesagentid AS salesagentkey, st.stageid AS dealstagekey,
   f.closevalue, f.durationdays, f.expectedsuccessrate, f.updated_at, f.productid
@@ -81,9 +85,9 @@ SELECT f.opportunityid, f.productid, f.dealstageid, d.datekey IS NULL AS missing
 SELECT opportunityid, datekey, accountkey, productkey, salesagentkey, dealstagekey, closevalue, durationdays, expectedsuccessrate FROM (
   SELECT r.*, row_number() OVER (PARTITION BY opportunityid ORDER BY {first}) rn FROM factresolved r) WHERE rn = 1""",
     "monthly": """
-SELECT d.year, d.month, coalesce(sa.region,'Unknown') AS region, f.dealstagekey, {measures}
-  FROM factsalesperformance f JOIN dimdate d ON f.datekey = d.datekey JOIN dimsalesagent sa ON f.salesagentkey = sa.salesagentid
-  GROUP BY d.year, d.month, coalesce(sa.region,'Unknown'), f.dealstagekey""",
+SELECT CAST(datekey // 10000 AS INT) AS year, CAST(datekey // 100 % 100 AS INT) AS month, region, dealstagekey, {measures}
+  FROM (SELECT *, coalesce((SELECT max(x.region) FROM dimsalesagent x WHERE x.salesagentid = salesagentkey), 'Unknown') AS region FROM factsalesperformance) f
+  GROUP BY ALL""",
     "productchanges": """
 SELECT productid, CASE WHEN productid % 10 = 0 THEN concat(productname,' (v2)') ELSE productname END AS productname, seriesname,
   price, pricerange FROM dimproduct WHERE productid % 10 IN (0,1)
@@ -101,7 +105,7 @@ SELECT t.productsk, t.productid, t.productname, t.seriesname, t.price, t.pricera
 SELECT accountid, concat(accountname, ' (renamed)') AS accountname, CAST(NULL AS STRING) AS sector, revenuerange, parentaccountid FROM dimaccount WHERE accountid % 9 = 0
   UNION ALL SELECT accountid + 900000, accountname, sector, revenuerange, parentaccountid FROM dimaccount WHERE accountid % 50 = 3""",
     "window_resolved": """
-SELECT * FROM factresolved WHERE updated_at > TIMESTAMP '1999-01-01 00:00:00' AND updated_at <= TIMESTAMP '2000-01-01 00:00:00'""",
+SELECT * FROM factresolved WHERE updated_at > TIMESTAMP '1999-01-01 00:00:00' OR updated_at IS NULL""",
     "earlier_facts": """
 SELECT * FROM (SELECT r.*, row_number() OVER (PARTITION BY opportunityid ORDER BY {first}) rn FROM factresolved r
   WHERE updated_at <= TIMESTAMP '1999-01-01 00:00:00') WHERE rn = 1""",
@@ -277,8 +281,8 @@ SELECT f.opportunityid, f.datekey, f.accountkey, f.productkey, f.salesagentkey,
 SELECT 'dimdate' AS table_name, (SELECT count(*) FROM dimdate) AS rows_written UNION ALL SELECT 'dimaccount', (SELECT count(*) FROM dimaccount)
   UNION ALL SELECT 'dimproduct', (SELECT count(*) FROM dimproduct) UNION ALL SELECT 'dimsalesagent', (SELECT count(*) FROM dimsalesagent)
   UNION ALL SELECT 'dimdealstage', (SELECT count(*) FROM dimdealstage) UNION ALL SELECT 'factsalesperformance', (SELECT count(*) FROM factsalesperformance)
-  UNION ALL SELECT 'factrejects', (SELECT count(*) FROM (SELECT DISTINCT s.opportunityid, s.salesagentid, s.productid, s.accountid, s.dealstageid, s.closevalue, s.durationdays,
-      s.expectedsuccessrate, s.eventdate, s.updated_at FROM factsource s WHERE s.productid NOT IN (SELECT productid FROM products) OR s.dealstageid NOT IN (SELECT dealstageid FROM dealstages)))
+  UNION ALL SELECT 'factrejects', (SELECT count(*) FROM factrejects)
+  UNION ALL SELECT 'factsarchive', 0
   UNION ALL SELECT 'factsalesmonthlyaggregate', (SELECT count(*) FROM monthly)""",
     "incremental_load": "SELECT {fact} FROM incremental_facts",
     "monthly_touched": """
@@ -291,6 +295,29 @@ SELECT CAST(q.productsk AS BIGINT) AS productsk, r.productid, r.productname, r.s
   UNION ALL SELECT CAST(c.productsk AS BIGINT), r.productid, CASE WHEN r.productid % 10 = 0 THEN concat(r.productname, ' (v2)') ELSE r.productname END, r.seriesname, r.price, r.pricerange,
     CASE WHEN c.is_new THEN DATE '1900-01-01' ELSE DATE '2024-02-01' END, CAST(NULL AS DATE), TRUE FROM changed2 c JOIN productrows r ON c.productid = r.productid""",
     "stream_incremental": "SELECT {fact} FROM factsalesperformance",
+    "stream_second_checkpoint": "SELECT {fact} FROM factsalesperformance",
+    "offset_run_ts": "SELECT {fact} FROM incremental_facts",
+    "compacted_facts": "SELECT {fact} FROM incremental_facts",
+    "archive_then_incremental": "SELECT opportunityid, datekey, CASE WHEN datekey < 19980101 THEN 'archived' ELSE 'kept' END AS part FROM factsalesperformance",
+    "changelog_dimensions": """
+SELECT salesagentid, CASE WHEN salesagentid % 5 = 1 THEN salesagentname ELSE concat(salesagentname, ' (log)') END AS salesagentname, managername, region
+  FROM dimsalesagent WHERE salesagentid % 5 <> 0""",
+    "dim_date_default": """
+SELECT CAST(strftime(d,'%Y%m%d') AS INT) AS datekey, CAST(d AS DATE) AS date, CAST(day(d) AS INT) AS day, CAST(month(d) AS INT) AS month, CAST(quarter(d) AS INT) AS quarter, CAST(year(d) AS INT) AS year
+ FROM (SELECT unnest(generate_series(DATE '2015-01-01', DATE '2030-12-31', INTERVAL 1 DAY)) d)""",
+    "load_checks": """
+SELECT 'fact_key_unique' AS check_name, 'factsalesperformance' AS table_name, count(*) AS violations FROM (SELECT 1 FROM factsalesperformance GROUP BY opportunityid HAVING count(*) > 1) x
+  UNION ALL SELECT 'fact_null_key', 'factsalesperformance', count(*) FROM factsalesperformance WHERE opportunityid IS NULL OR datekey IS NULL OR accountkey IS NULL OR productkey IS NULL OR salesagentkey IS NULL OR dealstagekey IS NULL
+  UNION ALL SELECT 'orphan_date', 'factsalesperformance', count(*) FROM factsalesperformance WHERE datekey NOT IN (SELECT datekey FROM dimdate)
+  UNION ALL SELECT 'orphan_account', 'factsalesperformance', count(*) FROM factsalesperformance WHERE accountkey NOT IN (SELECT accountid FROM accounts)
+  UNION ALL SELECT 'orphan_product', 'factsalesperformance', count(*) FROM factsalesperformance WHERE productkey NOT IN (SELECT productsk FROM dimproduct)
+  UNION ALL SELECT 'orphan_agent', 'factsalesperformance', count(*) FROM factsalesperformance WHERE salesagentkey NOT IN (SELECT salesagentid FROM salesagents)
+  UNION ALL SELECT 'orphan_stage', 'factsalesperformance', count(*) FROM factsalesperformance WHERE dealstagekey NOT IN (SELECT dealstageid FROM dealstages)
+  UNION ALL SELECT 'aggregate_total', 'factsalesmonthlyaggregate', CAST(abs((SELECT sum(totaldealcount) FROM monthly) - (SELECT count(*) FROM factsalesperformance)) AS BIGINT)
+  UNION ALL SELECT 'account_key_unique', 'dimaccount', count(*) FROM (SELECT 1 FROM accounts GROUP BY accountid HAVING count(*) > 1) x
+  UNION ALL SELECT 'agent_key_unique', 'dimsalesagent', count(*) FROM (SELECT 1 FROM salesagents GROUP BY salesagentid HAVING count(*) > 1) x
+  UNION ALL SELECT 'stage_key_unique', 'dimdealstage', count(*) FROM (SELECT 1 FROM dealstages GROUP BY dealstageid HAVING count(*) > 1) x
+  UNION ALL SELECT 'orphan_parent', 'dimaccount', count(*) FROM accounts WHERE parentaccountid NOT IN (SELECT accountid FROM accounts)""",
     "archive_load": "SELECT opportunityid, datekey, CASE WHEN datekey < 19980101 THEN 'archived' ELSE 'kept' END AS part FROM factsalesperformance",
     "ranged_load": "SELECT * FROM dimaccount",
     "changelog_load": """

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -14,6 +13,7 @@ from starmart.functions import change_window, parse_date, parse_instant, scale_p
 from starmart.operators import quality
 from starmart.operators.aggregates import SALES_MEASURES, Join, calendar, monthly_sales, star_aggregate
 from starmart.operators.changes import apply_changes, delete_by_key, last_processed, update_by_key
+from starmart.operators.dates import date_bounds, date_dimension
 from starmart.operators.dedup import first_per_key, latest_per_key
 from starmart.operators.dims import account_rows, product_rows, stage_rows
 from starmart.operators.facts import archive_split, fact_load, first_order, probe_facts
@@ -28,12 +28,15 @@ from starmart.operators.resolve import (
 )
 from starmart.operators.scd import insert_if_absent, scd1_upsert, scd2_apply, scd2_changes, scd2_initialize
 from starmart.plans import (
+    apply_dimension_changes,
     apply_pipeline_changes,
     archive_facts,
+    compact,
     incremental_load,
     initial_load,
     refresh_monthly,
 )
+from starmart.session import shared_dir
 from starmart.sources.readers import key_range, page, range_edges
 from starmart.sources.warehouse import Warehouse
 from starmart.streaming.incremental import file_stream, stream_incremental
@@ -163,8 +166,7 @@ def _changes(s: Sample) -> DataFrame:
 
 
 def _versions(s: Sample) -> DataFrame:
-    bound = 2 * s.rows["product"]
-    return scd2_apply(s.dimproduct, _changes(s), RUN_DATE, first_version_from=RUN_DATE, change_rows=bound)
+    return scd2_apply(s.dimproduct, _changes(s), RUN_DATE, first_version_from=RUN_DATE)
 
 
 def _version_rows(s: Sample) -> int:
@@ -254,7 +256,7 @@ def _fact_mode(s: Sample, mode: str) -> DataFrame:
     earlier = first_per_key(
         rows.filter(seen <= F.lit("1999-01-01").cast("timestamp_ntz")), "opportunityid", first_order()
     )
-    batch = rows.filter(change_window(seen, "1999-01-01T00:00:00", "2000-01-01T00:00:00"))
+    batch = rows.filter(~(seen <= F.lit("1999-01-01").cast("timestamp_ntz")) | seen.isNull())
     return fact_load(earlier, batch, mode)
 
 
@@ -406,11 +408,8 @@ def source_checks(s: Sample) -> DataFrame:
 
 # --- whole loads -----------------------------------------------------------------------
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; a temporary one where none is named, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        return tempfile.mkdtemp(prefix="starmart-")
-    return f"{base.rstrip('/')}/starmart-{uuid.uuid4().hex}"
+    """A new folder below the cluster's shared one."""
+    return f"{shared_dir(spark)}/starmart-{uuid.uuid4().hex}"
 
 
 def _full(s: Sample) -> Warehouse:
@@ -422,7 +421,7 @@ def _full(s: Sample) -> Warehouse:
 @query
 def initial_load_query(s: Sample) -> DataFrame:
     """Facts as loaded, with their partition columns."""
-    return _full(s).table("factsalesperformance")
+    return _full(s).table("factsalesperformance").drop("updated_at")
 
 
 REGISTERED["initial_load"] = REGISTERED.pop("initial_load_query")
@@ -444,7 +443,7 @@ def refresh_monthly_query(s: Sample) -> DataFrame:
 REGISTERED["refresh_monthly"] = REGISTERED.pop("refresh_monthly_query")
 
 
-def _two_runs(s: Sample) -> Warehouse:
+def _two_runs(s: Sample, run_ts: str = "2024-02-01T00:00:00") -> Warehouse:
     """A full load of an early snapshot, then an incremental load of everything since.
 
     By the second run every tenth product has been renamed, and accounts, products and
@@ -461,7 +460,7 @@ def _two_runs(s: Sample) -> Warehouse:
     name = F.col("productname")
     renamed = F.when(F.col("productid") % 10 == 0, F.concat(name, F.lit(" (v2)"))).otherwise(name)
     now["products"] = now["products"].withColumn("productname", renamed)
-    incremental_load(now, wh, "2024-02-01T00:00:00")
+    incremental_load(now, wh, run_ts)
     return wh
 
 
@@ -473,6 +472,46 @@ def incremental_load_query(s: Sample) -> DataFrame:
 REGISTERED["incremental_load"] = REGISTERED.pop("incremental_load_query")
 
 
+@query
+def offset_run_ts(s: Sample) -> DataFrame:
+    """The same run with its instant given in another zone."""
+    return fact_columns(_two_runs(s, "2024-02-01T02:00:00+02:00").table("factsalesperformance"))
+
+
+@query
+def compacted_facts(s: Sample) -> DataFrame:
+    """Facts of two loads, written as one directory."""
+    wh = _two_runs(s)
+    compact(wh, "factsalesperformance", "2024-02-03T00:00:00")
+    return fact_columns(wh.table("factsalesperformance"))
+
+
+@query
+def load_checks(s: Sample) -> DataFrame:
+    """What the validation after a full load noted about facts and accounts."""
+    found = _full(s).checks().filter("table_name <> 'dimproduct' and table_name <> 'dimdate'")
+    return found.select("check_name", "table_name", "violations")
+
+
+@query
+def dim_date_default(s: Sample) -> DataFrame:
+    """The calendar of a pipeline without any date."""
+    return date_dimension(date_bounds(s.salespipeline.filter("engagedate is null and closedate is null")))
+
+
+@query
+def changelog_dimensions(s: Sample) -> DataFrame:
+    """Agents after a change log over all of them: every fifth is deleted, the others are renamed."""
+    wh = Warehouse(s.spark, shared_folder(s.spark))
+    entry = wh.write("dimsalesagent", s.dimsalesagent, "agents")
+    wh.commit("agents", "2024-02-01T00:00:00", [entry], {})
+    key = F.col("salesagentid")
+    log = s.salesagents.withColumn("op", F.when(key % 5 == 0, "D").when(key % 5 == 1, None).otherwise("U"))
+    log = log.withColumn("salesagentname", F.concat("salesagentname", F.lit(" (log)")))
+    apply_dimension_changes(s.source(), wh, "salesagents", log, ["updated_at"], "2024-02-02T00:00:00")
+    return wh.table("dimsalesagent")
+
+
 @query
 def incremental_products(s: Sample) -> DataFrame:
     return _two_runs(s).table("dimproduct")
@@ -506,29 +545,52 @@ def archive_load(s: Sample) -> DataFrame:
     return kept.unionByName(wh.table("factsarchive").select(*columns, F.lit("archived").alias("part")))
 
 
+@query
+def archive_then_incremental(s: Sample) -> DataFrame:
+    """An archive is final: the next run, which reads everything again, brings nothing back."""
+    wh = _full(s)
+    archive_facts(wh, 199801, "2024-02-02T00:00:00")
+    incremental_load(s.source(), wh, "2024-02-03T00:00:00")
+    columns = ["opportunityid", "datekey"]
+    kept = wh.table("factsalesperformance").select(*columns, F.lit("kept").alias("part"))
+    return kept.unionByName(wh.table("factsarchive").select(*columns, F.lit("archived").alias("part")))
+
+
 @query
 def ranged_load(s: Sample) -> DataFrame:
-    """Accounts loaded range by range; the second attempt writes only the ranges the first did not."""
+    """Accounts loaded range by range; a later attempt writes only the ranges that no attempt with the same edges did."""
     wh = Warehouse(s.spark, shared_folder(s.spark))
     rows, run_ts = s.dimaccount, "2024-02-01T00:00:00"
     ranges = range_edges(s.accounts, "accountid", 4)
+    wh.write_in_ranges("dimaccount", rows, "ranged", run_ts, "accountid", range_edges(s.accounts, "accountid", 3)[:2])
     wh.write_in_ranges("dimaccount", rows, "ranged", run_ts, "accountid", ranges[:2])
     entries = wh.write_in_ranges("dimaccount", rows, "ranged", run_ts, "accountid", ranges)
     wh.commit("ranged", run_ts, entries, {})
     return wh.table("dimaccount")
 
 
-@query
-def stream_incremental_query(s: Sample) -> DataFrame:
-    """The whole pipeline arriving as a stream of order lines into an empty warehouse."""
-    folder = shared_folder(s.spark)
+def _streamed(s: Sample, folder: str, checkpoint: str, lines_where: str = "true") -> Warehouse:
     wh = Warehouse(s.spark, f"{folder}/warehouse")
-    lines = file_stream(s.spark, f"{s.sf_dir}/lineitem*.parquet", s.raw("lineitem").schema)
+    lines = file_stream(s.spark, f"{s.sf_dir}/lineitem*.parquet", s.raw("lineitem").schema).filter(lines_where)
     pipeline = pipeline_from(lines, s.raw("orders"))
     stream_incremental(
-        pipeline, s.source(), wh, "2024-02-01T00:00:00", f"{folder}/checkpoint"
+        pipeline, s.source(), wh, "2024-02-01T00:00:00", f"{folder}/{checkpoint}"
     ).awaitTermination()
-    return fact_columns(wh.table("factsalesperformance"))
+    return Warehouse(s.spark, wh.root)
+
+
+@query
+def stream_incremental_query(s: Sample) -> DataFrame:
+    """The whole pipeline arriving as a stream of order lines into an empty warehouse."""
+    return fact_columns(_streamed(s, shared_folder(s.spark), "checkpoint").table("factsalesperformance"))
+
+
+@query
+def stream_second_checkpoint(s: Sample) -> DataFrame:
+    """A second stream under the same name, with a checkpoint of its own, brings what the first left out."""
+    folder = shared_folder(s.spark)
+    _streamed(s, folder, "one", "l_linenumber <= 3")
+    return fact_columns(_streamed(s, folder, "two").table("factsalesperformance"))
 
 
 REGISTERED["stream_incremental"] = REGISTERED.pop("stream_incremental_query")

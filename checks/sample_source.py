@@ -14,7 +14,6 @@ from starmart.operators.facts import first_order, shape_pipeline
 from starmart.operators.lookup import table_rows
 from starmart.operators.resolve import Dimensions, Resolved, fact_columns, resolve_keys
 from starmart.operators.scd import scd2_initialize
-from starmart.sources.readers import spread_small
 
 # The stages of the sample source.
 STAGES = {1: "Prospecting", 2: "Engaging", 3: "Lost", 4: "Won", 5: "On Hold"}
@@ -155,7 +154,7 @@ class Sample:
     def stage_feed(self) -> DataFrame:
         """Stage names as seen on every order line, upper case before 1998."""
         names = F.create_map(*[F.lit(x) for k, v in STAGES.items() for x in (k, v)])
-        seen = spread_small(self.raw("lineitem"), "l_orderkey").select(
+        seen = self.raw("lineitem").select(
             stage_of_line().alias("dealstageid"),
             F.try_element_at(names, stage_of_line().cast("int")).alias("stagename"),
             F.col("l_shipdate").alias("updated_at"),
@@ -167,7 +166,7 @@ class Sample:
 
     @cached_property
     def salespipeline(self) -> DataFrame:
-        lines = spread_small(self.raw("lineitem"), "l_orderkey")
+        lines = self.raw("lineitem")
         return pipeline_from(lines, self.raw("orders"))
 
     def source(self) -> dict[str, DataFrame]:
@@ -186,7 +185,7 @@ class Sample:
 
     @cached_property
     def dimproduct(self) -> DataFrame:
-        return scd2_initialize(product_rows(self.products, self.productseries), rows=self.rows["product"])
+        return scd2_initialize(product_rows(self.products, self.productseries))
 
     @cached_property
     def dimsalesagent(self) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import exact_avg, exact_sum
-from starmart.operators.lookup import BROADCAST_ROWS
+from starmart.operators.lookup import BROADCAST_BYTES, fits
 
 MONTHLY_GROUP = ("year", "month", "region", "dealstagekey")
 
@@ -19,7 +19,7 @@ class Join:
     """A dimension of a star: ``fact_key = dim_key`` and the dimension columns to use.
 
     ``rows`` is the dimension's counted size (None: not counted); ``bounded`` marks one whose
-    size cannot grow with the facts, such as the calendar.
+    size has a fixed bound, such as the calendar.
     """
 
     dim: DataFrame
@@ -30,7 +30,7 @@ class Join:
     bounded: bool = False
 
     def small(self, max_broadcast: int) -> bool:
-        return self.bounded or (self.rows is not None and self.rows <= max_broadcast)
+        return self.bounded or (self.rows is not None and fits(self.dim.select(self.dim_key, *self.columns), self.rows, max_broadcast))
 
 
 def _direct(measures: Mapping[str, tuple[str, str]]) -> list[Column]:
@@ -68,7 +68,7 @@ def star_aggregate(
     joins: Sequence[Join],
     group: Mapping[str, Column],
     measures: Mapping[str, tuple[str, str]],
-    max_broadcast: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Group facts by expressions over fact and dimension columns.
 

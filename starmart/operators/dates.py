@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import date_key, end_of_year, event_date, start_of_year
@@ -10,21 +10,41 @@ from starmart.functions import date_key, end_of_year, event_date, start_of_year
 # Range used when the source has no usable dates.
 DEFAULT_FIRST_DATE = "2015-01-01"
 DEFAULT_LAST_DATE = "2030-12-31"
+#: Years a date dimension may cover.  A date outside them has no row, so its facts are rejected for want of a date;
+#: the dimension never exceeds 366 rows for each of these years, whatever the source holds.
+YEARS = (1900, 2199)
+
+
+def _in_years(d: Column) -> Column:
+    return F.when(F.year(d).between(*YEARS), d)
 
 
 def seen_dates(pipeline: DataFrame) -> DataFrame:
-    """One row ``(lo, hi, rows)``: first engagement, last event date (NULL where there is none), size."""
+    """One row ``(lo, hi, engaged, rows)``: first engagement or event date, last event date, first engagement
+    (NULL where there is none), size."""
+    event = _in_years(event_date(F.col("closedate"), F.col("engagedate")))
     return pipeline.agg(
-        F.min("engagedate").alias("lo"),
-        F.max(event_date(F.col("closedate"), F.col("engagedate"))).alias("hi"),
+        F.min(F.least(_in_years(F.col("engagedate")), event)).alias("lo"),
+        F.max(event).alias("hi"),
+        F.min(_in_years(F.col("engagedate"))).alias("engaged"),
         F.count(F.lit(1)).alias("rows"),
     )
 
 
 def date_bounds(pipeline: DataFrame) -> DataFrame:
-    """``seen_dates`` with the default range when either end is missing."""
-    usable = F.col("lo").isNotNull() & F.col("hi").isNotNull()
-    return seen_dates(pipeline).select(
+    """``seen_dates`` with the default range when no engagement or no event has a date."""
+    return _or_default(seen_dates(pipeline))
+
+
+def known_bounds(spark: SparkSession, seen: Row) -> DataFrame:
+    """``date_bounds`` from the collected row of ``seen_dates``."""
+    days = {c: F.lit(seen[c]).cast("date").alias(c) for c in ("lo", "hi", "engaged")}
+    return _or_default(spark.range(1).select(*days.values()))
+
+
+def _or_default(seen: DataFrame) -> DataFrame:
+    usable = F.col("engaged").isNotNull() & F.col("hi").isNotNull()
+    return seen.select(
         F.when(usable, F.col("lo")).otherwise(F.lit(DEFAULT_FIRST_DATE).cast("date")).alias("lo"),
         F.when(usable, F.col("hi")).otherwise(F.lit(DEFAULT_LAST_DATE).cast("date")).alias("hi"),
     )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import duration_days, event_date, stage_rate
 from starmart.operators.dedup import first_per_key
-from starmart.operators.lookup import BROADCAST_ROWS, lookup, table_rows
-from starmart.schemas import FACT_COLUMNS
+from starmart.operators.lookup import BROADCAST_BYTES, fits, lookup, table_rows
+from starmart.schemas import FACT_COLUMNS, STORED_FACT
 
 MODES = ("insert_only", "insert_if_absent", "upsert")
 _TIE_BREAKS = ("updated_at", "productkey", "salesagentkey", "datekey", "closevalue", "dealstagekey",
@@ -62,7 +64,8 @@ def new_facts(
     resolved: DataFrame,
     mode: str = "insert_if_absent",
     batch_rows: int | None = None,
-    max_broadcast: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
+    columns: Sequence[str] = FACT_COLUMNS,
 ) -> DataFrame:
     """Only the rows an appending load adds.
 
@@ -70,15 +73,28 @@ def new_facts(
     to the existing table: that is then scanned for one column and neither sorted nor shuffled.
     """
     if mode == "insert_only":
-        return resolved.select(*FACT_COLUMNS)
+        return resolved.select(*columns)
     if mode != "insert_if_absent":
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     present = existing.select("opportunityid")
-    if batch_rows is not None and batch_rows <= max_broadcast:
-        batch = F.broadcast(resolved.select("opportunityid").distinct())
+    keys = resolved.select("opportunityid")
+    if batch_rows is not None and fits(keys, batch_rows, max_broadcast):
+        batch = F.broadcast(keys.distinct())
         present = present.join(batch, "opportunityid", "left_semi")
     first = first_per_key(resolved, "opportunityid", first_order())
-    return first.join(present.distinct(), "opportunityid", "left_anti").select(*FACT_COLUMNS)
+    return first.join(present.distinct(), "opportunityid", "left_anti").select(*columns)
+
+
+def newer_only(newest: DataFrame, existing: DataFrame, batch_rows: int, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows of ``newest`` (one per opportunity) that ``existing`` does not have in a newer state.
+
+    Equal instants replace; a row without one replaces only what has none.
+    """
+    keys = newest.select("opportunityid")
+    side = F.broadcast(keys) if fits(keys, batch_rows, max_broadcast) else keys
+    held = existing.join(side, "opportunityid", "left_semi").groupBy("opportunityid").agg(F.max("updated_at").alias("_held"))
+    wins = F.col("_held").isNull() | (F.col("updated_at") >= F.col("_held"))
+    return newest.join(held, "opportunityid", "left").filter(wins).select(*newest.columns)
 
 
 def with_month(facts: DataFrame) -> DataFrame:

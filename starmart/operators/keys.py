@@ -13,7 +13,6 @@ def surrogate_keys(
     key: str,
     name: str = "productsk",
     after: Column | int = 0,
-    rows: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = ``after`` + rank of the unique BIGINT ``key`` (1, 2, 3, ...).
 
@@ -21,14 +20,8 @@ def surrogate_keys(
     can exceed 2**20 rows.  Block offsets are prefix sums over block counts, taken in two
     steps in the same way.  All of it is a function of the data alone: recomputing a lost
     partition gives the same keys.
-
-    ``rows``, an upper bound on the rows where one is known, saves the blocks when all of
-    ``df`` is no larger than one.
     """
     start = F.lit(after) if isinstance(after, int) else after
-    if rows is not None and rows <= 1 << _BLOCK_BITS:
-        rank = F.row_number().over(Window.orderBy(key))
-        return df.select((rank + start).cast("bigint").alias(name), *df.columns)
     block = F.shiftright(F.col(key), _BLOCK_BITS)
     zone = F.shiftright(F.col("_block"), _BLOCK_BITS)
     counts = df.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_n"))

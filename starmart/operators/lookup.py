@@ -12,9 +12,10 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast row here is a few fixed-width key columns (about 50 bytes hashed), so this
-# bound keeps each broadcast near 100 MB.
-BROADCAST_ROWS = 2_000_000
+# Most bytes of one broadcast, counted as rows times the width of a row.
+BROADCAST_BYTES = 100_000_000
+# Widths in a hash table: every row costs its header, texts are short names and keys.
+_ROW_BYTES, _TEXT_BYTES = 32, 64
 # Rows of one key that a single task should handle; more are split.
 SLICE_ROWS = 5_000_000
 
@@ -31,6 +32,16 @@ def table_rows(tables: Mapping[str, DataFrame]) -> dict[str, int]:
     return {name: found.get(name, 0) for name in tables}
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Width of a hashed row: eight bytes for a number or date, more for a text."""
+    return _ROW_BYTES + sum(_TEXT_BYTES if f.dataType.typeName() in ("string", "binary") else 8 for f in df.schema)
+
+
+def fits(df: DataFrame, rows: int, max_broadcast: int = BROADCAST_BYTES) -> bool:
+    """May ``df`` of so many rows be broadcast?"""
+    return rows * row_bytes(df) <= max_broadcast
+
+
 def lookup(
     probe: DataFrame,
     table: DataFrame,
@@ -39,7 +50,7 @@ def lookup(
     rows: int,
     condition: Callable[[], Column] | None = None,
     how: str = "left",
-    max_broadcast: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
     slice_rows: int = SLICE_ROWS,
     key_source: DataFrame | None = None,
 ) -> DataFrame:
@@ -49,7 +60,7 @@ def lookup(
     both sides by name.  ``key_source`` is a cheaper frame with the same ``key`` values, such
     as ``probe`` before earlier lookups, for counting hot keys.
     """
-    if rows <= max_broadcast:
+    if fits(table, rows, max_broadcast):
         on = F.col(key) == F.col(table_key)
         if condition is not None:
             on = on & condition()

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.operators.lookup import BROADCAST_BYTES, lookup, table_rows
+
 
 def _row(df: DataFrame, check: str, table: str, violations) -> DataFrame:
     return df.agg(F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations")).select(
@@ -96,32 +98,45 @@ def all_checks(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
-def validate_warehouse(t: dict[str, DataFrame]) -> DataFrame:
-    """Every check over a loaded warehouse, from table name to table."""
-    fact, account, product = t["factsalesperformance"], t["dimaccount"], t["dimproduct"]
-    facts = "factsalesperformance"
+def fact_checks(t: dict[str, DataFrame], max_broadcast: int = BROADCAST_BYTES, rows: dict[str, int] | None = None) -> DataFrame:
+    """Missing keys, keys without a dimension row and the total, all counted in one pass over the facts.
+
+    A dimension that may be broadcast is looked up; the keys of a larger one meet it in a shuffle.
+    """
+    table, out = "factsalesperformance", t["factsalesperformance"]
+    parents = {
+        "date": ("datekey", "dimdate", "datekey"), "account": ("accountkey", "dimaccount", "accountid"), "product": ("productkey", "dimproduct", "productsk"),
+        "agent": ("salesagentkey", "dimsalesagent", "salesagentid"), "stage": ("dealstagekey", "dimdealstage", "stageid"),
+    }
+    rows = rows or table_rows({name: t[name] for _, name, _ in parents.values()})
+    keys = ["opportunityid", *[key for key, _, _ in parents.values()]]
+    tests = {"fact_null_key": reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])}
+    for label, (key, name, parent) in parents.items():
+        known = t[name].select(F.col(parent).alias(f"_{label}")).distinct().withColumn(f"_has_{label}", F.lit(True))
+        out = lookup(out, known, key, f"_{label}", rows[name], max_broadcast=max_broadcast)
+        tests[f"orphan_{label}"] = F.col(key).isNotNull() & F.col(f"_has_{label}").isNull()
+    deals = t["factsalesmonthlyaggregate"].agg(F.coalesce(F.sum("totaldealcount"), F.lit(0))).scalar()
+    archived = t["factsarchive"].agg(F.count(F.lit(1))).scalar()
+    counted = out.agg(*[F.count_if(test).alias(name) for name, test in tests.items()], F.abs(F.count(F.lit(1)) + archived - deals).alias("aggregate_total"))
+    lines = [(name, table) for name in tests] + [("aggregate_total", "factsalesmonthlyaggregate")]
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.lit(of).alias("table_name"), F.col(name).cast("bigint").alias("violations")) for name, of in lines])))
+
+
+def validate_warehouse(t: dict[str, DataFrame], max_broadcast: int = BROADCAST_BYTES, rows: dict[str, int] | None = None) -> DataFrame:
+    """Every check over a loaded warehouse, from table name to table; the facts are read twice."""
+    account, product = t["dimaccount"], t["dimproduct"]
     return all_checks(
-        repeated_keys(fact, "opportunityid", "fact_key_unique", facts),
+        repeated_keys(t["factsalesperformance"], "opportunityid", "fact_key_unique", "factsalesperformance"),
+        fact_checks(t, max_broadcast, rows),
         repeated_keys(account, "accountid", "account_key_unique", "dimaccount"),
         repeated_keys(t["dimsalesagent"], "salesagentid", "agent_key_unique", "dimsalesagent"),
         repeated_keys(t["dimdealstage"], "stageid", "stage_key_unique", "dimdealstage"),
         repeated_keys(t["dimdate"], "datekey", "date_key_unique", "dimdate"),
         repeated_keys(product, "productsk", "product_key_unique", "dimproduct"),
-        null_keys(
-            fact,
-            ["opportunityid", "datekey", "accountkey", "productkey", "salesagentkey", "dealstagekey"],
-            "fact_null_key",
-            facts,
-        ),
-        orphans(fact, "datekey", t["dimdate"], "datekey", "orphan_date", facts),
-        orphans(fact, "accountkey", account, "accountid", "orphan_account", facts),
-        orphans(fact, "productkey", product, "productsk", "orphan_product", facts),
-        orphans(fact, "salesagentkey", t["dimsalesagent"], "salesagentid", "orphan_agent", facts),
-        orphans(fact, "dealstagekey", t["dimdealstage"], "stageid", "orphan_stage", facts),
         orphans(account, "parentaccountid", account, "accountid", "orphan_parent", "dimaccount"),
         one_current_version(product),
         version_checks(product),
-        aggregate_total(t["factsalesmonthlyaggregate"], fact),
     )
 
 

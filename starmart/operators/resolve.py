@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.functions import valid_at
-from starmart.operators.lookup import BROADCAST_ROWS, SLICE_ROWS, lookup, table_rows
+from starmart.operators.lookup import BROADCAST_BYTES, SLICE_ROWS, lookup, table_rows
 from starmart.schemas import FACT_COLUMNS
 
 KEY_FLAGS = {
@@ -104,7 +103,7 @@ def as_of_join(
     bounds: str = "closed",
     emit: str = "sk",
     how: str = "left",
-    max_broadcast: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
     slice_rows: int = SLICE_ROWS,
     key_source: DataFrame | None = None,
 ) -> DataFrame:
@@ -133,22 +132,13 @@ def as_of_join(
     ).drop("_p_from", "_p_until")
 
 
-def valid_match_exists(facts: DataFrame, product: DataFrame, bounds: str) -> DataFrame:
-    """Facts for which some version is valid on the event date (a semi-join)."""
-    ranges = product.select(F.col("productid").alias("_p_id"), "validfrom", "validto")
-    on = (F.col("productid") == F.col("_p_id")) & valid_at(
-        F.col("eventdate"), F.col("validfrom"), F.col("validto"), bounds
-    )
-    return facts.join(ranges, on, "left_semi")
-
-
 def resolve_keys(
     shaped: DataFrame,
     dims: Dimensions,
     product: str = "current",
     bounds: str = "closed",
     emit: str = "sk",
-    max_broadcast: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
     slice_rows: int = SLICE_ROWS,
 ) -> Resolved:
     """Look up all five keys of shaped facts in one plan.
@@ -164,7 +154,7 @@ def resolve_keys(
         keys = dim.select(F.col(dim_key).alias("_id"), F.col(dim_key).alias(name)).distinct()
         return lookup(df, keys, key, "_id", n, **size)
 
-    # The calendar bounds the date dimension: 366 narrow rows for each year.
+    # The date dimension covers the years of `operators.dates.YEARS` at most, so its size has a fixed bound.
     days = dims.date.groupBy(F.col("date").alias("_day")).agg(F.min("datekey").alias("datekey"))
     out = shaped.join(F.broadcast(days), F.col("eventdate") == F.col("_day"), "left").drop("_day")
     out = exists(out, dims.account, "accountid", "accountid", "accountkey", rows["account"])

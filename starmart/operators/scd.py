@@ -41,10 +41,9 @@ def scd2_initialize(
     key: str = "productid",
     sk: str = "productsk",
     valid_from: str = BEGINNING,
-    rows: int | None = None,
 ) -> DataFrame:
     """First load: every row is the current version, valid from ``valid_from``."""
-    return surrogate_keys(source, key, sk, rows=rows).select(
+    return surrogate_keys(source, key, sk).select(
         sk,
         *source.columns,
         F.lit(valid_from).cast("date").alias("validfrom"),
@@ -84,13 +83,11 @@ def scd2_apply(
     attributes: Sequence[str] = PRODUCT_ATTRIBUTES,
     sk: str = "productsk",
     first_version_from: str = BEGINNING,
-    change_rows: int | None = None,
 ) -> DataFrame:
     """Close the current version of each changed key the day before ``run_date``, add the new one.
 
     A second change on the day a version began rewrites that version in place, so no version
     ends before it starts.  A key seen for the first time is valid from ``first_version_from``.
-    ``change_rows`` bounds the number of changes, where it is known.
     """
     day = F.lit(run_date).cast("date")
     new = changes.select(
@@ -112,7 +109,7 @@ def scd2_apply(
     )
     opened = changes.filter(~F.col("had_current") | (F.col("current_from") < day))
     top = dim.agg(F.coalesce(F.max(sk), F.lit(0))).scalar()
-    added = surrogate_keys(opened, key, sk, top, change_rows).select(
+    added = surrogate_keys(opened, key, sk, top).select(
         sk,
         key,
         *attributes,

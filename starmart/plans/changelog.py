@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.changes import delete_by_key, known_op
 from starmart.operators.dedup import latest_per_key
+from starmart.operators.dims import account_rows, agent_rows, product_rows
 from starmart.operators.facts import shape_pipeline, with_month
 from starmart.operators.resolve import KEY_FLAGS, Resolved, resolve_keys
+from starmart.operators.scd import scd1_upsert, scd2_apply, scd2_changes
 from starmart.plans.incremental import FACT, MONTHLY, months_of, refresh_aggregate, rewrite_months
 from starmart.plans.initial import dimensions_of
-from starmart.plans.options import LoadOptions, batch_name, logged
+from starmart.plans.options import LoadOptions, batch_name, loaded_before, logged, utc
 from starmart.sources.warehouse import Entry, Warehouse
 
 
@@ -24,34 +28,82 @@ def apply_pipeline_changes(
     run_ts: str,
     batch_id: str | None = None,
     options: LoadOptions = LoadOptions(),
+    at: str | None = None,
 ) -> None:
     """Bring the facts in line with ``changes``: pipeline columns and ``op`` (I, U or D).
 
     The newest change of an opportunity by ``newest_by`` decides.  A deleted one leaves the
     facts; an inserted or updated one that resolves replaces what was there; one that does
-    not resolve joins the rejects.
+    not resolve joins the rejects, in place of older rejects of that opportunity.  Changes with
+    another ``op`` change nothing; the log says how many there were.  ``at`` names the column with
+    a change's instant: only changes after the last one applied are read, and the newest is noted.
     """
+    run_ts = utc(run_ts)
     batch = batch_id or f"changes{batch_name(run_ts)}"
-    if wh.committed(batch):
+    if loaded_before(wh, batch):
         return
     with logged(wh, batch, run_ts):
-        n = changes.count()
-        latest = wh.stage("changes", latest_per_key(changes, "opportunityid", newest_by))
+        if at is not None:
+            changes = changes.filter(F.col(at) > F.lit(wh.last_change("salespipeline")).cast("timestamp_ntz"))
+        newest_at = F.max(F.col(at)) if at is not None else F.lit(None).cast("timestamp_ntz")
+        text = F.date_format(newest_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        n, bad, until = changes.agg(F.count(F.lit(1)), F.count_if(~known_op()), text).first()
+        latest = wh.stage("changes", latest_per_key(changes.filter(known_op()), "opportunityid", newest_by))
         gone = latest.filter("op = 'D'").select("opportunityid")
         kept = wh.table("factrejects").drop(*KEY_FLAGS.values())
-        shaped = shape_pipeline(latest.filter("op <> 'D'").drop("op"), src["dealstages"]).select(*kept.columns)
+        shaped = shape_pipeline(latest.filter("op <> 'D'").drop("op"), latest_per_key(src["dealstages"], "dealstageid", ())).select(*kept.columns)
         how = {"product": "as_of", "bounds": options.bounds, "emit": options.emit, **options.sizes}
         flagged = resolve_keys(shaped, dimensions_of(wh, {}), **how).flagged
         resolved = Resolved(wh.stage("resolved", flagged))
-        waiting = wh.table("factrejects").join(gone, "opportunityid", "left_anti")
-        rejects = wh.write("factrejects", waiting.unionByName(resolved.rejects).distinct(), batch)
+        waiting = wh.table("factrejects").join(latest.select("opportunityid"), "opportunityid", "left_anti")
+        rejects = wh.write("factrejects", waiting.unionByName(resolved.rejects), batch)
         added = with_month(resolved.facts)
         keys = gone.unionByName(added.select("opportunityid")).distinct()
         entry = rewrite_months(wh, wh.table(FACT), keys, n, added, batch, options)
+        entry = replace(entry, rows_read=n, rows_rejected=bad, message=f"{bad} changes with an unknown op" if bad else None)
         done: dict[str, Entry] = {FACT: entry, "factrejects": rejects}
         if entry.months:
             done[MONTHLY] = refresh_aggregate(wh, done, list(entry.months), batch, options)
-        wh.commit(batch, run_ts, list(done.values()), {})
+        wh.commit(batch, run_ts, list(done.values()), {"changes:salespipeline": until} if until else {})
+
+
+def apply_dimension_changes(
+    src: Mapping[str, DataFrame],
+    wh: Warehouse,
+    table: str,
+    changes: DataFrame,
+    newest_by: Sequence[str],
+    run_ts: str,
+    batch_id: str | None = None,
+) -> None:
+    """Bring a dimension in line with a change log of ``accounts``, ``products`` or ``salesagents``.
+
+    ``changes`` has the source table's columns and ``op``.  Accounts and agents are overwritten or
+    removed; a changed product opens a version, a deleted one closes its current version the day
+    before the run.  Facts keep the keys they have.
+    """
+    run_ts = utc(run_ts)
+    batch = batch_id or f"{table}changes{batch_name(run_ts)}"
+    if loaded_before(wh, batch):
+        return
+    name, key = {"accounts": ("dimaccount", "accountid"), "products": ("dimproduct", "productid"), "salesagents": ("dimsalesagent", "salesagentid")}[table]
+    with logged(wh, batch, run_ts):
+        latest = wh.stage("changes", latest_per_key(changes.filter(known_op()), key, newest_by))
+        gone, kept = latest.filter("op = 'D'").select(key), latest.filter("op <> 'D'")
+        dim = wh.table(name)
+        if table == "products":
+            rows = product_rows(kept, src["productseries"])
+            left = scd2_apply(dim, scd2_changes(dim, rows), run_ts[:10])
+            closes = F.col("_gone").isNotNull() & F.col("iscurrent")
+            end = F.greatest(F.date_sub(F.lit(run_ts[:10]).cast("date"), 1), F.col("validfrom"))
+            new = left.join(gone.withColumn("_gone", F.lit(1)), key, "left").withColumns(
+                {"validto": F.when(closes, end).otherwise(F.col("validto")), "iscurrent": F.col("iscurrent") & ~closes}).select(*dim.columns)
+        else:
+            rows = account_rows(kept, src["sectors"]) if table == "accounts" else agent_rows(kept, src["salesmanagers"], src["locations"])
+            new = delete_by_key(scd1_upsert(dim, rows, key), gone, key)
+        n, bad = changes.agg(F.count(F.lit(1)), F.count_if(~known_op())).first()
+        entry = replace(wh.write(name, new, batch), rows_read=n, rows_rejected=bad, message=f"{bad} changes with an unknown op" if bad else None)
+        wh.commit(batch, run_ts, [entry], {})
 
 
 def archive_facts(wh: Warehouse, before_month: int, run_ts: str, batch_id: str | None = None) -> None:
@@ -59,8 +111,9 @@ def archive_facts(wh: Warehouse, before_month: int, run_ts: str, batch_id: str |
 
     The archived months are written once, to the archive; the other months keep their files.
     """
+    run_ts = utc(run_ts)
     batch = batch_id or f"archive{batch_name(run_ts)}"
-    if wh.committed(batch):
+    if loaded_before(wh, batch):
         return
     with logged(wh, batch, run_ts):
         facts = wh.table(FACT)
@@ -70,3 +123,14 @@ def archive_facts(wh: Warehouse, before_month: int, run_ts: str, batch_id: str |
             moved = wh.write("factsarchive", old, batch, action="append")
             emptied = wh.write(FACT, old.filter(F.lit(False)), batch, action="append", months=months)
             wh.commit(batch, run_ts, [moved, emptied], {})
+
+
+def compact(wh: Warehouse, name: str, run_ts: str, batch_id: str | None = None) -> None:
+    """Write a table that many loads have added to as one directory, which replaces them all.
+
+    Reading it then lists one directory and filters no replaced months.
+    """
+    run_ts = utc(run_ts)
+    batch = wh.fresh_batch(batch_id or f"compact{name}{batch_name(run_ts)}")
+    with logged(wh, batch, run_ts):
+        wh.commit(batch, run_ts, [wh.write(name, wh.table(name), batch)], {})

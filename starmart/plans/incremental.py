@@ -14,13 +14,14 @@ from starmart.operators.aggregates import in_months, monthly_sales, refresh_mont
 from starmart.operators.dates import extended_dates, seen_dates
 from starmart.operators.dedup import first_per_key, latest_per_key
 from starmart.operators.dims import account_rows, agent_rows, product_rows, stage_rows
-from starmart.operators.facts import new_facts, newest_order, shape_pipeline, with_month
-from starmart.operators.lookup import table_rows
+from starmart.operators.facts import new_facts, newer_only, newest_order, shape_pipeline, with_month
+from starmart.operators.lookup import fits, table_rows
+from starmart.operators.quality import validate_warehouse
 from starmart.operators.resolve import KEY_FLAGS, Resolved, resolve_keys
 from starmart.operators.scd import scd1_upsert, scd2_apply, scd2_changes
 from starmart.plans.initial import FACT, MONTHLY, dimensions_of
-from starmart.plans.options import LoadOptions, batch_name, logged
-from starmart.schemas import FACT_COLUMNS
+from starmart.plans.options import LoadOptions, batch_name, loaded_before, logged, utc
+from starmart.schemas import STORED_FACT, WAREHOUSE_DDL
 from starmart.sources.warehouse import MARKED_TABLES, Entry, Warehouse
 
 
@@ -36,10 +37,12 @@ def incremental_load(
 
     Each source table is read over ``(its mark, run_ts]``, the same ``run_ts`` for all.
     ``fact_batch`` replaces the window on the pipeline, for rows that arrive as a stream.
-    A batch already committed is not loaded again.
+    A batch already committed is not loaded again.  Archived opportunities count as present and
+    are final: their late rows change neither the facts nor the archive.
     """
+    run_ts = utc(run_ts)
     batch = batch_id or batch_name(run_ts)
-    if wh.committed(batch):
+    if loaded_before(wh, batch):
         return
     with logged(wh, batch, run_ts):
         back = timedelta(seconds=options.overlap_seconds)
@@ -64,6 +67,8 @@ def incremental_load(
             done[MONTHLY] = refresh_aggregate(wh, done, months, batch, options)
         moved = MARKED_TABLES if fact_batch is None else [t for t in MARKED_TABLES if t != "salespipeline"]
         wh.commit(batch, run_ts, list(done.values()), {t: run_ts for t in moved})
+        if options.validate:
+            wh.note_checks(batch, run_ts, validate_warehouse(wh.tables(), options.max_broadcast, {n: wh.rows(n) for n in WAREHOUSE_DDL}))
 
 
 def _load_dimensions(
@@ -91,7 +96,6 @@ def _load_dimensions(
             scd2_changes(dim, newest),
             run_date,
             first_version_from=first_from,
-            change_rows=read["products"],
         )
     if read["salesagents"]:
         rows = agent_rows(window["salesagents"], src["salesmanagers"], src["locations"], "updated_at")
@@ -122,19 +126,24 @@ def _load_facts(
     if not n:
         return done, []
     kept = wh.table("factrejects").drop(*KEY_FLAGS.values())
-    shaped = shape_pipeline(rows, src["dealstages"]).select(*kept.columns)
+    shaped = shape_pipeline(rows, latest_per_key(src["dealstages"], "dealstageid", ())).select(*kept.columns)
     how = {"product": "as_of", "bounds": options.bounds, "emit": options.emit, **options.sizes}
-    flagged = resolve_keys(shaped.unionByName(kept), dimensions_of(wh, done), **how).flagged
+    # Rejects that the window reads again are kept as often as they are read.
+    rows_now = shaped.unionByName(kept.exceptAll(shaped))
+    flagged = resolve_keys(rows_now, dimensions_of(wh, done), **how).flagged
     # The batch is resolved once; facts, rejects and months are all taken from the result.
     resolved = Resolved(wh.stage("resolved", flagged))
-    # A row read again after having been rejected is kept once.
-    writes = {"factrejects": resolved.rejects.distinct()}
+    writes = {"factrejects": resolved.rejects}
     existing = wh.table(FACT)
+    final = wh.table("factsarchive").select("opportunityid")
     if options.fact_mode == "upsert":
         written = wh.write_all(writes, batch)
-        entry = _upsert(wh, existing, resolved.facts, n, batch, options)
+        entry = _upsert(wh, existing, final, resolved.facts, n, batch, options)
     else:
-        added = new_facts(existing, resolved.facts, options.fact_mode, n, options.max_broadcast)
+        present = existing.select("opportunityid").unionByName(final)
+        added = new_facts(present, resolved.facts, options.fact_mode, n, options.max_broadcast, STORED_FACT)
+        if options.fact_mode == "insert_only":
+            added = added.join(final.distinct(), "opportunityid", "left_anti")
         written = wh.write_all({**writes, FACT: with_month(added)}, batch, {FACT: "append"})
         entry = written[FACT]
     rejects = written["factrejects"]
@@ -150,11 +159,12 @@ def months_of(facts: DataFrame) -> list[int]:
 
 
 def _upsert(
-    wh: Warehouse, existing: DataFrame, resolved: DataFrame, n: int, batch: str, options: LoadOptions
+    wh: Warehouse, existing: DataFrame, final: DataFrame, resolved: DataFrame, n: int, batch: str, options: LoadOptions
 ) -> Entry:
-    newest = with_month(first_per_key(resolved, "opportunityid", newest_order()))
-    keys = resolved.select("opportunityid").distinct()
-    return rewrite_months(wh, existing, keys, n, newest, batch, options)
+    """The newest row of each opportunity, where the facts hold no newer one and the archive none."""
+    newest = first_per_key(resolved, "opportunityid", newest_order()).join(final, "opportunityid", "left_anti")
+    winners = wh.stage("winners", with_month(newer_only(newest.select(*STORED_FACT), existing, n, options.max_broadcast)))
+    return rewrite_months(wh, existing, winners.select("opportunityid"), n, winners, batch, options)
 
 
 def rewrite_months(
@@ -170,11 +180,11 @@ def rewrite_months(
 
     Only months that lose or gain a row are written again; the others keep their files.
     """
-    keys = F.broadcast(keys) if n <= options.max_broadcast else keys
+    keys = F.broadcast(keys) if fits(keys, n, options.max_broadcast) else keys
     losing = existing.join(keys, "opportunityid", "left_semi")
     months = months_of(losing.select("year", "month").unionByName(added.select("year", "month")))
     rest = existing.filter(in_months(F.col("year"), F.col("month"), months)).join(keys, "opportunityid", "left_anti")
-    columns = [*FACT_COLUMNS, "year", "month"]
+    columns = [*STORED_FACT, "year", "month"]
     content = rest.select(*columns).unionByName(added.select(*columns))
     return wh.write(FACT, content, batch, action="append", months=months)
 
@@ -192,11 +202,16 @@ def _months_of_moved_agents(wh: Warehouse, done: Mapping[str, Entry]) -> list[in
     )
     if moved.isEmpty():
         return []
-    return months_of(facts_after(wh, done).join(moved, "salesagentkey", "left_semi"))
+    # An agent's months are few, however many facts they have.
+    active = facts_after(wh, done).select("salesagentkey", "year", "month").distinct()
+    return months_of(active.join(moved, "salesagentkey", "left_semi"))
 
 
 def facts_after(wh: Warehouse, done: Mapping[str, Entry]) -> DataFrame:
-    return wh.read(FACT, [*wh.live(FACT), *([done[FACT]] if FACT in done else [])])
+    """Facts as a running load leaves them, archived ones included."""
+    live = wh.read(FACT, [*wh.live(FACT), *([done[FACT]] if FACT in done else [])])
+    archive = [*wh.live("factsarchive"), *([done["factsarchive"]] if "factsarchive" in done else [])]
+    return live.unionByName(wh.read("factsarchive", archive))
 
 
 def refresh_aggregate(

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
 from starmart.operators.aggregates import monthly_sales
-from starmart.operators.dates import date_bounds, date_dimension
+from starmart.operators.dates import date_dimension, known_bounds, seen_dates
 from starmart.operators.dims import account_rows, agent_rows, product_rows, stage_rows
 from starmart.operators.facts import first_order, shape_pipeline, with_month
-from starmart.operators.dedup import first_per_key
-from starmart.operators.resolve import Dimensions, fact_columns, resolve_keys
+from starmart.operators.dedup import first_per_key, latest_per_key
+from starmart.operators.quality import validate_warehouse
+from starmart.operators.resolve import Dimensions, Resolved, resolve_keys
 from starmart.operators.scd import scd2_initialize
-from starmart.plans.options import LoadOptions, batch_name, logged
+from starmart.plans.options import LoadOptions, batch_name, logged, utc
+from starmart.schemas import STORED_FACT, WAREHOUSE_DDL, schema_of
 from starmart.sources.warehouse import MARKED_TABLES, NO_MARK, Entry, Warehouse
 
 FACT = "factsalesperformance"
@@ -54,28 +57,39 @@ def initial_load(
     """Replace the whole warehouse from the source.
 
     Product keys are those of the current (only) version; of repeated opportunities the first
-    is kept.  Readers see the old warehouse until the commit at the end.
+    is kept, of repeated accounts, products, agents and stages the newest row.  The archive is
+    emptied.  Readers see the old warehouse until the commit at the end.
     """
+    run_ts = utc(run_ts)
     batch = wh.fresh_batch(batch_id or f"full{batch_name(run_ts)}")
     with logged(wh, batch, run_ts):
+        def newest(rows: DataFrame, key: str) -> DataFrame:
+            return latest_per_key(rows, key, ["updated_at"]).drop("updated_at")
+
+        seen = seen_dates(src["salespipeline"]).first()
+        span = known_bounds(wh.spark, seen)
+        accounts = account_rows(src["accounts"], src["sectors"], "updated_at")
+        products = product_rows(src["products"], src["productseries"], "updated_at")
+        agents = agent_rows(src["salesagents"], src["salesmanagers"], src["locations"], "updated_at")
         dims = {
-            "dimdate": date_dimension(date_bounds(src["salespipeline"])),
-            "dimaccount": account_rows(src["accounts"], src["sectors"]),
-            "dimproduct": scd2_initialize(product_rows(src["products"], src["productseries"])),
-            "dimsalesagent": agent_rows(src["salesagents"], src["salesmanagers"], src["locations"]),
+            "dimdate": date_dimension(span),
+            "dimaccount": newest(accounts, "accountid"),
+            "dimproduct": scd2_initialize(newest(products, "productid")),
+            "dimsalesagent": newest(agents, "salesagentid"),
             "dimdealstage": stage_rows(src["dealstages"]),
+            "factsarchive": wh.read("factsarchive", []),
         }
         done = wh.write_all(dims, batch)
         loaded = dimensions_of(wh, done)
 
-        shaped = shape_pipeline(src["salespipeline"], src["dealstages"])
-        resolved = resolve_keys(shaped, loaded, product="current", emit=options.emit, **options.sizes)
+        shaped = shape_pipeline(src["salespipeline"], latest_per_key(src["dealstages"], "dealstageid", ()))
+        kept = shaped.select(*[c for c in schema_of("factrejects").fieldNames() if c in shaped.columns])
+        flagged = resolve_keys(kept, loaded, product="current", emit=options.emit, **options.sizes).flagged
+        # The pipeline is resolved once; facts and rejects are taken from the result.
+        resolved = Resolved(wh.stage("resolved", flagged))
         first = first_per_key(resolved.facts, "opportunityid", first_order())
-        facts = {
-            FACT: with_month(fact_columns(first)),
-            "factrejects": resolved.rejects.distinct(),
-        }
-        done |= wh.write_all(facts, batch)
+        done |= wh.write_all({FACT: with_month(first.select(*STORED_FACT)), "factrejects": resolved.rejects}, batch)
+        done[FACT] = replace(done[FACT], rows_read=seen["rows"], rows_rejected=done["factrejects"].rows_written)
         monthly = monthly_sales(
             wh.read(FACT, [done[FACT]]),
             loaded.date,
@@ -86,3 +100,5 @@ def initial_load(
         done[MONTHLY] = wh.write(MONTHLY, monthly, batch)
         mark = run_ts if options.marks_after_full == "run_ts" else NO_MARK
         wh.commit(batch, run_ts, list(done.values()), {t: mark for t in MARKED_TABLES})
+        if options.validate:
+            wh.note_checks(batch, run_ts, validate_warehouse(wh.tables(), options.max_broadcast, {n: wh.rows(n) for n in WAREHOUSE_DDL}))

@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import logging
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from starmart.operators.lookup import BROADCAST_ROWS, SLICE_ROWS
+from starmart.operators.lookup import BROADCAST_BYTES, SLICE_ROWS
 from starmart.operators.scd import BEGINNING
 from starmart.sources.warehouse import Warehouse
 
+_LOG = logging.getLogger("starmart")
+
 
 @dataclass(frozen=True)
 class LoadOptions:
@@ -18,6 +22,8 @@ class LoadOptions:
     first_version_from: start of the first version of a new product; ``run_date`` for the run's day
     marks_after_full: ``reset`` rereads everything in the next incremental run, ``run_ts`` does not
     overlap_seconds: read this much before the mark again, for rows committed late at the source
+    validate: check the tables after each load and note the violations in the load log
+    max_broadcast: most bytes of one broadcast; slice_rows: most rows of one key for a task
     """
 
     fact_mode: str = "insert_if_absent"
@@ -26,7 +32,8 @@ class LoadOptions:
     first_version_from: str = BEGINNING
     marks_after_full: str = "reset"
     overlap_seconds: int = 0
-    max_broadcast: int = BROADCAST_ROWS
+    validate: bool = True
+    max_broadcast: int = BROADCAST_BYTES
     slice_rows: int = SLICE_ROWS
 
     @property
@@ -44,5 +51,19 @@ def logged(wh: Warehouse, batch_id: str, run_ts: str):
         raise
 
 
+def utc(run_ts: str) -> str:
+    """``run_ts`` as UTC text without an offset: the one form that windows, marks, run dates and batch ids use."""
+    at = datetime.fromisoformat(run_ts)
+    return (at if at.tzinfo is None else at.astimezone(timezone.utc).replace(tzinfo=None)).isoformat()
+
+
 def batch_name(run_ts: str) -> str:
     return "".join(c for c in run_ts if c.isalnum())
+
+
+def loaded_before(wh: Warehouse, batch_id: str) -> bool:
+    """Is the batch committed?  Said aloud, as the call then does nothing."""
+    if not wh.committed(batch_id):
+        return False
+    _LOG.warning("batch %s is committed already; nothing is loaded again", batch_id)
+    return True

@@ -37,10 +37,10 @@ WAREHOUSE_DDL = {
     "dimdealstage": "stageid BIGINT, stagename STRING",
     "factsalesperformance": "opportunityid STRING, datekey INT, accountkey BIGINT, productkey BIGINT, "
     "salesagentkey BIGINT, dealstagekey BIGINT, closevalue DECIMAL(18,2), durationdays INT, "
-    "expectedsuccessrate DOUBLE",
+    "expectedsuccessrate DOUBLE, updated_at TIMESTAMP_NTZ",
     "factsarchive": "opportunityid STRING, datekey INT, accountkey BIGINT, productkey BIGINT, "
     "salesagentkey BIGINT, dealstagekey BIGINT, closevalue DECIMAL(18,2), durationdays INT, "
-    "expectedsuccessrate DOUBLE",
+    "expectedsuccessrate DOUBLE, updated_at TIMESTAMP_NTZ",
     "factsalesmonthlyaggregate": "year INT, month INT, region STRING, dealstagekey BIGINT, "
     "totaldealcount BIGINT, totalclosevalue DOUBLE, avgdealvalue DOUBLE, avgdurationdays DOUBLE, "
     "expectedsuccessrate DOUBLE",
@@ -50,7 +50,9 @@ WAREHOUSE_DDL = {
     "missing_product BOOLEAN, missing_agent BOOLEAN, missing_stage BOOLEAN",
 }
 
-FACT_COLUMNS = [c.split()[0] for c in WAREHOUSE_DDL["factsalesperformance"].split(", ")]
+#: Columns of a stored fact; ``updated_at``, the instant of its source row, is kept so that only newer rows replace it.
+STORED_FACT = [c.split()[0] for c in WAREHOUSE_DDL["factsalesperformance"].split(", ")]
+FACT_COLUMNS = [c for c in STORED_FACT if c != "updated_at"]
 
 
 def schema_of(table: str) -> StructType:
@@ -63,7 +65,3 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
     """A typed DataFrame with no rows: the 'create table' and 'truncate' content."""
     return spark.createDataFrame([], schema_of(table))
 
-
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select and cast ``df`` to the declared columns of ``table``, in order."""
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema_of(table)])

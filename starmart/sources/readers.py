@@ -52,28 +52,21 @@ def read_source(spark: SparkSession, root: str, tables: Sequence[str] = tuple(SO
     return {t: read_files(spark, f"{root}/{t}", t) for t in tables}
 
 
-def spread_small(df: DataFrame, key: str, few_splits: int = 16) -> DataFrame:
-    """Share out an input that is read in fewer splits than there are cores.
-
-    Only inputs of a handful of splits (2 GB at the default split size) are exchanged; a table
-    of any size is left as it is read.
-    """
-    splits = df.rdd.getNumPartitions()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if splits < cores and splits <= few_splits else df
-
-
 def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0) -> DataFrame:
     """One page of an ordered listing, for people; loads read key ranges instead."""
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
 def key_range(df: DataFrame, key: str, low: int | None, high: int | None) -> DataFrame:
-    """Rows with ``low < key <= high``; the test is pushed to the scan.  An open end is None."""
+    """Rows with ``low < key <= high``; the test is pushed to the scan.  An open end is None.
+
+    Rows without a key belong to the range that is open below.
+    """
     if low is not None:
         df = df.filter(F.col(key) > low)
     if high is not None:
-        df = df.filter(F.col(key) <= high)
+        upper = F.col(key) <= high
+        df = df.filter(upper if low is not None else upper | F.col(key).isNull())
     return df
 
 

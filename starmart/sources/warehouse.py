@@ -10,6 +10,7 @@ Spark can write to will do.  One writer at a time.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -116,7 +117,7 @@ class Warehouse:
         self._append(batch_id, run_ts, lines)
 
     def log_error(self, batch_id: str, run_ts: str, error: BaseException) -> None:
-        self._append(batch_id, run_ts, [Entry("*", "error", message=f"{type(error).__name__}: {error}"[:2000])])
+        self._append(batch_id, run_ts, [Entry("*", "error", message=f"{type(error).__name__}: {error}")])
 
     def _append(self, batch_id: str, run_ts: str, lines: Sequence[Entry]) -> None:
         seq = self._live()["seq"]
@@ -138,6 +139,12 @@ class Warehouse:
         found = {r.table_name: r.mark for r in newest.select("table_name", text.alias("mark")).collect()}
         return {t: found.get(t, NO_MARK) for t in MARKED_TABLES}
 
+    def last_change(self, table: str) -> str:
+        """Instant of the newest change of ``table`` that was applied from a change log."""
+        found = self.log().filter((F.col("action") == "mark") & (F.col("table_name") == f"changes:{table}"))
+        row = found.agg(F.max_by("mark", "seq").alias("mark")).first()
+        return row.mark or NO_MARK
+
     @staticmethod
     def check_instant(text: str) -> None:
         """Refuse a mark that could not be read back."""
@@ -221,6 +228,16 @@ class Warehouse:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def note_checks(self, batch_id: str, run_ts: str, checks: DataFrame) -> None:
+        """Add the result of a validation to the log: a line for each check, violations as ``rows_rejected``."""
+        found = checks.collect()  # one row for each check
+        self._append(batch_id, run_ts, [Entry(r.table_name, "check", rows_rejected=r.violations, message=r.check_name) for r in found])
+
+    def checks(self) -> DataFrame:
+        """Validation results of all loads."""
+        return self.log().filter("action = 'check'").select(
+            "batch_id", "run_ts", F.col("message").alias("check_name"), "table_name", F.col("rows_rejected").alias("violations"))
+
     def write_in_ranges(
         self,
         name: str,
@@ -228,12 +245,13 @@ class Warehouse:
         batch_id: str,
         run_ts: str,
         key: str,
-        ranges: Sequence[tuple[int | None, int | None]],
+        ranges: Sequence[tuple[int | str | None, int | str | None]],
     ) -> list[Entry]:
         """Write a table load one key range after the other, noting each in the log.
 
-        If the load is cut short, running it again with the same ranges writes only those
-        not noted.  The entries replace the table once they are committed.
+        If the load is cut short, running it again writes only the ranges not noted.  A range's
+        directory is named after its edges, so a note never stands for other rows.  The entries
+        replace the table once they are committed.
         """
         noted = {
             (r.path, r.message): r.rows_written
@@ -244,7 +262,8 @@ class Warehouse:
         }
         entries = []
         for i, (low, high) in enumerate(ranges):
-            part, span = f"{batch_id}part{i:05d}", f"({low}, {high}]"
+            span = f"({low}, {high}]"
+            part = f"{batch_id}part{i:05d}x{hashlib.sha256(span.encode()).hexdigest()[:12]}"
             path = f"{name}/batch={part}"
             rows = noted.get((path, span))
             if rows is None:

@@ -23,8 +23,8 @@ from starmart.operators.dims import stage_rows
 from starmart.operators.facts import archive_split, fact_load, new_facts, shape_pipeline
 from starmart.operators.keys import surrogate_keys
 from starmart.operators.lookup import lookup, table_rows
-from starmart.schemas import SOURCE_DDL, WAREHOUSE_DDL, conform, empty_table
-from starmart.sources.readers import key_range, page, range_edges, read_files, read_jdbc, spread_small
+from starmart.schemas import SOURCE_DDL, WAREHOUSE_DDL, empty_table
+from starmart.sources.readers import key_range, page, range_edges, read_files, read_jdbc
 
 
 # --- dates ----------------------------------------------------------------------
@@ -46,6 +46,11 @@ def test_default_range_when_an_end_is_missing(spark, data):
     assert tuple(got) == (date(2015, 1, 1), date(2030, 12, 31))
 
 
+def test_dates_out_of_all_years_do_not_count(spark):
+    got = date_bounds(_pipeline(spark, [(date(2023, 5, 1), date(9999, 2, 2)), (date(2024, 6, 1), date(2022, 1, 1)), (date(1, 1, 1), None)])).first()
+    assert tuple(got) == (date(2022, 1, 1), date(2022, 1, 1))
+
+
 def test_extended_dates_only_grow(spark):
     have = date_dimension(date_bounds(_pipeline(spark, [(date(2023, 5, 1), date(2023, 6, 1))])))
     grown = extended_dates(have, seen_dates(_pipeline(spark, [(date(2025, 1, 1), None)])))
@@ -54,13 +59,12 @@ def test_extended_dates_only_grow(spark):
 
 
 # --- keys -----------------------------------------------------------------------
-@pytest.mark.parametrize("bound", [None, 1000])
-def test_surrogate_keys_are_the_rank(spark, bound):
+def test_surrogate_keys_are_the_rank(spark):
     rng = random.Random(7)
     ids = {rng.choice([1, 2**20, 2**21, 2**41, 2**45]) * rng.randrange(1, 50) + rng.randrange(3) for _ in range(300)}
     ids |= {-5, -(2**21), 0, 1, 2}
     df = spark.createDataFrame([(i,) for i in ids], "productid BIGINT").repartition(5)
-    got = dict((r.productid, r.productsk) for r in surrogate_keys(df, "productid", after=100, rows=bound).collect())
+    got = dict((r.productid, r.productsk) for r in surrogate_keys(df, "productid", after=100).collect())
     assert got == {k: 101 + n for n, k in enumerate(sorted(ids))}
 
 
@@ -126,7 +130,7 @@ def test_table_rows_counts_in_one_go(spark):
 
 
 # --- facts -----------------------------------------------------------------------
-FACT = WAREHOUSE_DDL["factsalesperformance"]
+FACT = WAREHOUSE_DDL["factsalesperformance"].removesuffix(", updated_at TIMESTAMP_NTZ")
 
 
 def _fact(spark, *items):
@@ -247,8 +251,6 @@ def test_empty_tables_are_typed(spark):
     for name in [*SOURCE_DDL, *WAREHOUSE_DDL]:
         df = empty_table(spark, name)
         assert df.count() == 0 and df.columns
-    wide = spark.createDataFrame([("1", "x", "extra")], "stageid STRING, stagename STRING, e STRING")
-    assert conform(wide, "dimdealstage").dtypes == [("stageid", "bigint"), ("stagename", "string")]
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
@@ -281,10 +283,5 @@ def test_pages_and_ranges(spark):
     counts = [key_range(df, "accountid", lo, hi).count() for lo, hi in ranges]
     assert sum(counts) == 1000 and len(counts) == 4 and max(counts) < 350
     assert range_edges(df, "accountid", 1) == [(None, None)]
-
-
-def test_only_small_inputs_are_spread(spark):
-    one = spark.range(10, numPartitions=1)
-    assert spread_small(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(10, numPartitions=40)
-    assert spread_small(many, "id").rdd.getNumPartitions() == 40
+    keyless = spark.createDataFrame([(None,), (1,), (9,)], "accountid BIGINT")
+    assert [key_range(keyless, "accountid", lo, hi).count() for lo, hi in ((None, 5), (5, None))] == [2, 1]
