@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from starmart.llm.words import slices, words
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 2_000_000
+SLICE = 1_000_000
 #: Chunks that one call of the tokenizer gets.
 BATCH = 8192
 MARK = "▁"

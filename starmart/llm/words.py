@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 #: The separators of `[^\x20\x09-\x0D]+`.
 BLANKS = np.zeros(256, bool)
