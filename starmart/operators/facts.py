@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions import duration_days, event_date, stage_rate
@@ -50,13 +50,22 @@ def fact_load(existing: DataFrame, resolved: DataFrame, mode: str = "insert_if_a
     """The fact table after loading ``resolved`` rows into ``existing``.
 
     ``insert_only`` appends every row, ``insert_if_absent`` the first row of each unseen
-    opportunity, ``upsert`` replaces an opportunity by its newest row.
+    opportunity, ``upsert`` replaces an opportunity by its newest row.  ``resolved`` is used once: the
+    batch is reduced to a row per opportunity before it meets the facts in one shuffle.
     """
+    if mode == "insert_only":
+        return existing.select(*FACT_COLUMNS).unionByName(resolved.select(*FACT_COLUMNS))
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    one = first_per_key(resolved, "opportunityid", newest_order() if mode == "upsert" else first_order())
+    both = existing.select(*FACT_COLUMNS, F.lit(0).alias("_new")).unionByName(one.select(*FACT_COLUMNS, F.lit(1).alias("_new")))
+    of_key = Window.partitionBy("opportunityid")
     if mode == "upsert":
-        kept = existing.join(resolved.select("opportunityid").distinct(), "opportunityid", "left_anti")
-        newest = first_per_key(resolved, "opportunityid", newest_order())
-        return kept.select(*FACT_COLUMNS).unionByName(newest.select(*FACT_COLUMNS))
-    return existing.select(*FACT_COLUMNS).unionByName(new_facts(existing, resolved, mode))
+        keep = (F.col("_new") == 1) | (F.max("_new").over(of_key) == 0)
+    else:
+        keep = (F.col("_new") == 0) | (F.min("_new").over(of_key) == 1)
+    # A missing key equals no other.
+    return both.withColumn("_keep", keep | F.col("opportunityid").isNull()).filter("_keep").select(*FACT_COLUMNS)
 
 
 def new_facts(

@@ -24,7 +24,7 @@ def scd1_upsert(
     Repeated keys in ``source`` count once, the newest by ``newest_by`` winning.
     """
     fresh = latest_per_key(source, key, newest_by).select(*target.columns)
-    kept = target.join(source.select(key).distinct(), key, "left_anti")
+    kept = target.join(fresh.select(key), key, "left_anti")
     return kept.select(*target.columns).unionByName(fresh)
 
 
