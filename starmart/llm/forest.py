@@ -145,8 +145,10 @@ def _likeness(k_trees: int):
 
 def _families(signed: DataFrame, forest: Forest) -> DataFrame:
     """Edges (a, b) that hold together all nodes which may be linked."""
-    active = signed.where("node is not null").select("node", F.explode("keys").alias("key"))
-    sketches = stored(signed.where("node is not null").groupBy("node").agg(F.first("sketch").alias("sketch")), "sketches")
+    # Equal sets have equal signatures: copies become one node, in each task first, before their keys are dealt out.
+    nodes = stored(signed.where("node is not null").groupBy("node").agg(F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "signatures")
+    active = nodes.select("node", F.explode("keys").alias("key"))
+    sketches = nodes.select("node", "sketch")
     edges = []
     for turn in range(forest.rounds + 1):
         buckets = active.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("other")).where("center != other").select("key", "center")
