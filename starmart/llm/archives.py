@@ -1,13 +1,13 @@
 """WARC: a converter of legacy ARC archives, with writers and readers of both forms.
 
 All archives are written by Spark's text writer and read by its binary-file reader, so they lie wherever Spark can
-write; nothing opens a path by itself. A file is a gzip stream that holds one task's records, at most `max_records` of
-them, so no file grows with the table. Records are found by their headers' declared lengths, never by searching.
+write; nothing opens a path by itself. A file is a gzip stream of records packed up to PACK_CHARS characters, so no file grows
+with the table; a longer record stands alone. Records are found by their headers' declared lengths, never by searching.
 
 ARC, versions 1 and 2, as published: each file starts with a `filedesc:` record whose block declares the version and
 names the fields of the header lines; each record is a header line, as many bytes as it declares, and a line end.
 The converter makes, for each ARC record, a WARC/1.1 record: WARC-Date from the 14-digit archive date, WARC-Type from
-the URL and the duplicate decision, WARC-Record-ID as a name-based UUID of the ARC header line and the payload digest,
+the block (a response for an HTTP message, else a resource) and the duplicate decision, WARC-Record-ID as a name-based UUID of the ARC header line and the payload digest,
 WARC-Payload-Digest and WARC-Block-Digest as base32 SHA-1, and the HTTP header with the page id kept in the block.
 Of records with equal payloads the one with the largest page id stays a response; the others become revisits
 without payload, which keep the digest, the full payload's length and the response they refer to.
@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from starmart.llm.storage import new_path, stored
 
-MAX_RECORDS = 4000
+#: Characters from which a packed archive is closed; one longer page makes one longer file.
+PACK_CHARS = 8_000_000
 #: The archives' compression. Its fastest level takes a third of the time of the usual one and gives files a fifth larger.
 GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
@@ -79,7 +80,7 @@ def _safe_url(url: str | None, page_id: int | None) -> str:
     return "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
 
 
-def write_arc(pages: DataFrame, path: str, version: str = "1", date: str = "20240229120000", max_records: int = MAX_RECORDS) -> None:
+def write_arc(pages: DataFrame, path: str, version: str = "1", date: str = "20240229120000") -> None:
     """Write page rows (page_id, url, html) as gzipped ARC files below `path`. Each file starts with its filedesc record,
     because the rows of a file are first packed into one value per file."""
 
@@ -89,7 +90,7 @@ def write_arc(pages: DataFrame, path: str, version: str = "1", date: str = "2024
             for page_id, url, html in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 records.append(_arc_record(version, _safe_url(url, page_id), date, page_id, html or ""))
                 size += len(records[-1])
-                if len(records) > max_records or size > PACK_CHARS:
+                if size > PACK_CHARS:
                     yield pa.RecordBatch.from_arrays([pa.array(["\n".join(records)])], names=["value"])
                     records, size = [_filedesc(version, date)], 0
             if len(records) > 1:
@@ -99,10 +100,6 @@ def write_arc(pages: DataFrame, path: str, version: str = "1", date: str = "2024
     packed.write.options(maxRecordsPerFile=1, **GZIP).text(path)
 
 
-#: Characters of pages from which a packed archive is closed; one longer page makes one longer file.
-PACK_CHARS = 8_000_000
-
-
 def _inflated(raw: bytes) -> bytes:
     """The content of a gzip file, of one member or of many."""
     if raw[:2] != b"\x1f\x8b":
@@ -218,31 +215,37 @@ def _warc_date(date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
-def write_warc(records: DataFrame, path: str, max_records: int = MAX_RECORDS) -> None:
-    """Write decided ARC rows as gzipped WARC files; each record is one value of the text writer, ended by CR LF CR LF."""
+def write_warc(records: DataFrame, path: str) -> None:
+    """Write decided ARC rows as gzipped WARC files; a file's records are packed into one value of the text writer, each
+    ended by CR LF CR LF, the very last LF being the writer's."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, size = [], 0
             for r in batch.to_pylist():
                 revisit = r["winner"] is not None and r["page_id"] != r["winner"]
                 http, line = r["http_header"], r["header_line"]
                 block = http if revisit else http + r["payload"]
-                kind = "revisit" if revisit else "response" if r["url"].startswith(("http:", "https:", "urn:")) else "resource"
+                kind = "revisit" if revisit else "response" if http else "resource"
                 head = [
                     "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Target-URI: {r['url']}", f"WARC-Date: {_warc_date(r['archive_date'])}",
                     f"WARC-Record-ID: <{_record_id(line, r['payload_digest'])}>", f"WARC-IP-Address: {r['ip']}",
                     f"WARC-Payload-Digest: sha1:{r['payload_digest']}", f"WARC-Block-Digest: sha1:{base32_sha1(block.encode()) if revisit else r['block_digest']}",
-                    "Content-Type: application/http; msgtype=response",
+                    f"Content-Type: {'application/http; msgtype=response' if http else r['content_type']}",
                 ]
                 if revisit:
                     head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <{_record_id(r['winner_line'], r['payload_digest'])}>", f"WARC-Refers-To-Page: {r['winner']}"]
                 head.append(f"Content-Length: {len(block.encode())}")
                 out.append("\r\n".join(head) + "\r\n\r\n" + block + "\r\n\r")
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
-
-    made = records.select("page_id", "winner", "winner_line", "url", "archive_date", "ip", "header_line", "http_header", "payload", "payload_digest", "block_digest").mapInArrow(convert, "value string")
-    made.write.options(maxRecordsPerFile=max_records, lineSep="\n", **GZIP).text(path)
+                size += len(out[-1])
+                if size > PACK_CHARS:
+                    yield pa.RecordBatch.from_arrays([pa.array(["\n".join(out)])], names=["value"])
+                    out, size = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(["\n".join(out)])], names=["value"])
+
+    made = records.select("page_id", "winner", "winner_line", "url", "archive_date", "ip", "content_type", "header_line", "http_header", "payload", "payload_digest", "block_digest").mapInArrow(convert, "value string")
+    made.write.options(maxRecordsPerFile=1, lineSep="\n", **GZIP).text(path)
 
 
 def warc_records(raw: bytes) -> Iterator[tuple[str, bytes]]:
