@@ -14,7 +14,8 @@ from checks.queries import REGISTERED
 
 SF_DIR = "/root/testdata/sf0.001"
 WHOLE_LOADS = ["initial_load", "load_metadata", "refresh_monthly", "incremental_load", "incremental_products", "monthly_touched",
-               "stream_incremental", "changelog_load", "archive_load", "ranged_load"]
+               "stream_incremental", "changelog_load", "archive_load", "ranged_load", "offset_run_ts", "compacted_facts", "load_checks",
+               "archive_then_incremental", "stream_second_checkpoint"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="given tables not present")
 
@@ -41,6 +42,6 @@ def test_query(spark, con, name):
     assert compare(spark, con, name, SF_DIR) is None
 
 
-@pytest.mark.parametrize("name", ["incremental_load", "changelog_load"])
+@pytest.mark.parametrize("name", ["incremental_load", "changelog_load", "archive_then_incremental", "load_checks", "ranged_load"])
 def test_whole_load(spark, con, name):
     assert compare(spark, con, name, SF_DIR) is None
