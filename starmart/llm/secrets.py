@@ -6,6 +6,11 @@ character counts and the sum of c * log2(c) are updated by the entering and the
 entropy is log2(window) - sum / window. The span of a candidate reaches from its first window at or above the class's
 threshold to its last. Candidates on the allow-list, and spans that lie in a span of the fixed patterns, add nothing.
 
+A name, a sign or a path joined to a value could hide it that way, so the parts of a run are candidates too: its pieces between `=` (signs at
+the end of the run stay, as padding) and between path components that are placeholder words, and the maximal stretches of hexadecimal digits
+in the pieces. Anchored patterns of the allow-list are matched against a part, the others against its hot stretch alone. Parts add the
+spans that lie in no other span, so they take nothing away from what whole runs give.
+
 Positions are code points, the end exclusive. Defined results: a null text counts as empty; an empty text
 has no spans; repeated rows are scanned one by one; other columns are carried as they are or not looked at.
 """
@@ -40,6 +45,10 @@ ALLOWED = [
     r"^(sha1|sha224|sha256|sha384|sha512)-",
     r"^/?([A-Za-z]+/)+[A-Za-z0-9_-]{1,19}$",
 ]
+#: Path components that are placeholder words, and the pieces of a run between them and between signs.
+_WORD = r"(?<![A-Za-z0-9+_-])(?i:(?:[a-z]+[_-])*(?:example|placeholder|changeme|dummy|sample|your[_-])[a-z_-]*)(?![A-Za-z0-9+_-])"
+_PIECE = rf"{_WORD}|(?:(?!{_WORD})[A-Za-z0-9+/_-])+(?:=+$)?"
+_DIGITS = "[0-9a-fA-F]+"
 
 
 def _located(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None, extra: Column | None = None) -> Column:
@@ -111,12 +120,48 @@ def _entropy_spans(candidates: Column, window: int, thresholds: dict[str, float]
     return F.filter(F.transform(fit, judged), lambda s: s["start"].isNotNull())
 
 
+def _unlisted(candidates: Column, anchored: list[str]) -> Column:
+    return F.filter(candidates, lambda c: ~functools.reduce(operator.or_, [c["match"].rlike(pattern) for pattern in anchored])) if anchored else candidates
+
+
+def _parts(candidates: Column, window: int, anchored: list[str]) -> Column:
+    """The pieces of runs, and shorter stretches of hexadecimal digits in them, of `window` characters or more."""
+
+    def inner(whole: Column, pattern: str, keep: Callable[[Column, Column], Column]) -> Column:
+        def placed(c: Column) -> Column:
+            found = _located(c["match"], pattern, lambda x: (F.length(x["match"]) >= window) & keep(x["match"], c["match"]))
+            return F.transform(found, lambda x: F.struct((c["start"] + x["start"]).alias("start"), (c["start"] + x["end"]).alias("end"), x["match"].alias("match")))
+
+        return F.flatten(F.transform(whole, placed))
+
+    pieces = _unlisted(inner(candidates, _PIECE, lambda x, whole: F.lit(True)), anchored)
+    return F.concat(pieces, inner(pieces, _DIGITS, lambda x, whole: x != whole))
+
+
+def _part_spans(candidates: Column, text: Column, window: int, thresholds: dict[str, float], allowed: list[str]) -> Column:
+    """Hot stretches of parts that no anchored pattern knows, less those that another pattern finds something in."""
+    anchored = [x for x in allowed if x.startswith("^")]
+    spans = _entropy_spans(_parts(candidates, window, anchored), window, thresholds, anchored)
+    loose = [x for x in allowed if not x.startswith("^")]
+    if loose:
+        hot = lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"])
+        spans = F.filter(spans, lambda s: ~functools.reduce(operator.or_, [hot(s).rlike(pattern) for pattern in loose]))
+    return F.array_distinct(spans)
+
+
+def _outermost(spans: Column) -> Column:
+    """Spans that lie in no other; of spans with equal ends, the first kind."""
+    inside = lambda s, o: (o["start"] <= s["start"]) & (o["end"] >= s["end"]) & ((o["start"] < s["start"]) | (o["end"] > s["end"]) | (o["rank"] < s["rank"]))
+    return F.filter(spans, lambda s: ~F.exists(spans, lambda o: inside(s, o)))
+
+
 def with_spans(docs: DataFrame, window: int = WINDOW, thresholds: dict[str, float] = THRESHOLDS, allowed: list[str] = ALLOWED) -> DataFrame:
     """Rows (row: a struct of all columns, text: never null, base, spans); base and spans are sorted arrays of
     (start, rank, end, kind)."""
     text = F.col("text")
     none = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string>>)")
     long_run = rf"(?<!{_RUN}){_RUN}{{{window},}}+"
+    entropy_run = rf"(?<!{_RUN})(?=[A-Za-z+/_=-]*+[0-9]){_RUN}{{{window}}}"
 
     def if_any(pattern: str, found: Column) -> Column:
         return F.when(text.rlike(pattern), found).otherwise(none)
@@ -132,8 +177,11 @@ def with_spans(docs: DataFrame, window: int = WINDOW, thresholds: dict[str, floa
         if_any(ASSIGN, _marked(assign, "assign")).alias("assign"),
         F.when(F.instr(text, "AKIA") > 0, _marked(access, "access")).otherwise(none).alias("access"),
         if_any(f"[0-9a-f]{{{LEAST['hex']}}}", _marked(hexes, "hex")).alias("hex"),
-        if_any(rf"(?<!{_RUN})(?=[A-Za-z+/_=-]*+[0-9]){_RUN}{{{window}}}", _entropy_spans(candidates, window, thresholds, allowed)).alias("entropy"))
-    rows = rows.select("row", "text", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), "entropy")
+        if_any(entropy_run, _entropy_spans(candidates, window, thresholds, allowed)).alias("entropy"),
+        if_any(entropy_run, _part_spans(candidates, text, window, thresholds, allowed)).alias("parts"))
+    rows = rows.select("row", "text", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), "entropy", "parts")
+    loose = F.filter("parts", lambda p: ~F.exists("entropy", lambda e: (e["start"] <= p["start"]) & (e["end"] >= p["end"])))
+    rows = rows.select("row", "text", "base", F.when(F.size("parts") > 0, F.concat("entropy", _outermost(loose))).otherwise(F.col("entropy")).alias("entropy"))
     more = F.filter("entropy", lambda e: ~F.exists("base", lambda b: (b["start"] <= e["start"]) & (b["end"] >= e["end"])))
     return rows.select("row", "text", "base", F.array_sort(F.concat("base", more)).alias("spans"))
 
