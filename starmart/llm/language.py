@@ -4,8 +4,9 @@ Grams are three consecutive bytes of the text, with A-Z lower-cased and every by
 from 0x80 are letters), runs of blanks as one, and a blank at both ends; each gram falls into one of 2**16 cells. The model is the smoothed
 share of each cell in the learned texts of each language, counted over all of them. A document is a mixture: its
 proportions maximise the likelihood of its grams, found by expectation-maximisation. The set of languages is chosen by the
-likelihood less `penalty` * log(grams) for each language: the best single one is compared with all, and where all win,
-the smallest share is dropped as long as that does not lower the penalised likelihood.
+likelihood less `penalty` * log(grams) for each language: from all of them down to two the smallest share is dropped, and the best value of any
+size is compared with the best single language. Turns end within `tolerance` nats of the maximum (the slope of the likelihood bounds
+what is left to gain), and a text leaves early only where that bound says that no set of two or more can win any more.
 
 Learned from are texts with a language whose crc32(doc_id as text) mod 4 is not 2; predictions see the text alone. Defined results:
 `und` with score 0 for a null text, a text without a letter, or without any learned language; ties go to the language
@@ -67,7 +68,8 @@ class Mixture:
     names: list[str]
     logs: np.ndarray
     penalty: float = 1.0
-    turns: int = 8
+    tolerance: float = 0.1
+    turns: int = 500
 
     def proportions(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(proportions of each text, whether it has a gram)."""
@@ -93,51 +95,54 @@ class Mixture:
         size = np.log(np.maximum(total[some], 2)) * self.penalty
         share = np.exp(logs)
         row = np.repeat(np.arange(len(some)), np.diff(np.append(first, len(text))))
-        weight = np.full((len(some), k), 1.0 / k)
-        weight, value = self._maximised(weight, share, count, row, first)
-        whole = value - size * k
-        mixed = np.flatnonzero(whole > single.max(1) - size)
-        if len(mixed):
-            chosen = self._fewer(mixed, weight, whole, share, count, row, size)
-            alone = single.max(1)[mixed] - size[mixed]
-            better = chosen[1] > alone
-            out[some[mixed[better]]] = chosen[0][better]
+        out[some] = self._chosen(out[some], single.max(1) - size, share, count, row, size)
         return out, total > 0
 
-    def _maximised(self, weight: np.ndarray, share: np.ndarray, count: np.ndarray, row: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Turns of expectation-maximisation, and the log-likelihood before the last one's update."""
-        weight = weight.astype(np.float32)
-        value = np.zeros(len(weight))
-        for _ in range(self.turns):
-            joint = share * weight[row]
-            norm = np.maximum(joint.sum(1), 1e-30)
-            value = np.add.reduceat(np.log(norm) * count, first, dtype=np.float64)
-            joint *= (count / norm)[:, None]
-            weight = np.add.reduceat(joint, first, axis=0)
+    def _chosen(self, found, value, share, count, row, size) -> np.ndarray:
+        """Backward steps from all languages to two: the proportions of the best set, or `found`, where none is above `value`."""
+        live = np.arange(len(found))
+        active = np.ones(found.shape, bool)
+        weight = np.full(found.shape, 1.0 / found.shape[1])
+        for left in range(found.shape[1], 1, -1):
+            weight, likelihood, bound = self._maximised(weight, active, share, count, row, value[live] + 2 * size[live])
+            score = likelihood - left * size[live]
+            better = score > value[live]
+            found[live[better]], value[live[better]] = weight[better], score[better]
+            on = bound > value[live] + 2 * size[live]
+            if left == 2 or not on.any():
+                break
+            inside = on[row]
+            share, count, row = share[inside], count[inside], (np.cumsum(on) - 1)[row[inside]]
+            live, active, weight = live[on], active[on], weight[on]
+            smallest = np.where(active, weight, np.inf).argmin(1)
+            active[np.arange(len(live)), smallest] = False
+            # Shares that came to nothing get a start again.
+            weight = np.where(active, np.maximum(weight, 1e-6), 0)
             weight /= weight.sum(1, keepdims=True)
-        return weight, value
-
-    def _fewer(self, mixed, weight, whole, share, count, row, size) -> tuple[np.ndarray, np.ndarray]:
-        """Backward steps for the texts `mixed`: drop the smallest share while the penalised likelihood does not fall."""
-        pick = np.isin(row, mixed)
-        share, count, row = share[pick], count[pick], np.searchsorted(mixed, row[pick])
-        weight, value, size = weight[mixed], whole[mixed], size[mixed]
-        live = np.arange(len(mixed))
-        for left in range(weight.shape[1] - 1, 1, -1):
-            inside = np.isin(row, live)
-            now = np.searchsorted(live, row[inside])
-            trial = weight[live].copy()
-            trial[np.arange(len(live)), np.where(trial > 0, trial, np.inf).argmin(1)] = 0
-            trial /= np.maximum(trial.sum(1, keepdims=True), 1e-30)
-            first = np.searchsorted(now, np.arange(len(live)))
-            trial, score = self._maximised(trial, share[inside], count[inside], now, first)
-            score = score - size[live] * left
-            ok = score >= value[live]
-            weight[live[ok]], value[live[ok]] = trial[ok], score[ok]
-            live = live[ok]
-            if not len(live):
+        return found
+
+    def _maximised(self, weight, active, share, count, row, floor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expectation-maximisation of each text's weights: (weights, log-likelihood, bound of what the active languages can reach).
+        Texts whose bound is not above `floor` end at once."""
+        weight, value, bound = weight.copy(), np.zeros(len(weight)), np.zeros(len(weight))
+        live = np.arange(len(weight))
+        for _ in range(self.turns):
+            first = np.searchsorted(row, np.arange(len(live)))
+            now = weight[live]
+            norm = np.maximum((share * now.astype(np.float32)[row]).sum(1), 1e-30)
+            value[live] = np.add.reduceat(np.log(norm) * count, first, dtype=np.float64)
+            slope = np.add.reduceat(share * (count / norm)[:, None], first, axis=0, dtype=np.float64)
+            left = np.where(active[live], slope, 0).max(1) - np.add.reduceat(count, first, dtype=np.float64)
+            bound[live] = value[live] + np.maximum(left, 0)
+            on = (left > self.tolerance) & (bound[live] > floor[live])
+            if not on.any():
                 break
-        return weight, value
+            turned = now[on] * slope[on]
+            weight[live[on]] = turned / turned.sum(1, keepdims=True)
+            if not on.all():
+                inside = on[row]
+                share, count, row, live = share[inside], count[inside], (np.cumsum(on) - 1)[row[inside]], live[on]
+        return weight, value, bound
 
 
 def learned(docs: DataFrame, smoothing: float = 0.1, penalty: float = 1.0) -> Mixture:

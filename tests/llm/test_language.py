@@ -43,6 +43,44 @@ def test_mixtures_and_edges(spark):
     assert got[None].lang_pred == "fr" and got[None].held_out is False
 
 
+@pytest.mark.parametrize("k", [6, 30])
+def test_two_languages_of_many(k):
+    """Against all pairs: a mixture that gains more than one penalty, but less than k - 1, is found."""
+    rng = np.random.default_rng(k)
+    letters = [rng.dirichlet(np.full(26, 0.7)) for _ in range(k)]
+    draw = lambda j, n: bytes(rng.choice(26, n, p=letters[j]).astype(np.uint8) + 97)
+    table = np.full((k, language.CELLS), 0.1)
+    for j in range(k):
+        text = draw(j, 30_000)
+        np.add.at(table[j], grams(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0], 1)
+    model = language.Mixture([f"l{j:02}" for j in range(k)], np.log(table / table.sum(1, keepdims=True)).astype(np.float32))
+    texts = [draw(i % k, 200) + draw((i + 1) % k, n) for i, n in enumerate((0, 3, 6, 9, 12, 15, 20, 60))]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+    got, _ = model.proportions(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    gated = 0
+    for i, text in enumerate(texts):
+        cell = grams(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+        share = np.exp(model.logs[:, cell].astype(np.float64))
+        size = np.log(len(cell))
+        single = np.log(share).sum(1)
+        top = int(single.argmax())
+        pairs = {}
+        for j in set(range(k)) - {top}:
+            w = np.full(2, 0.5)
+            for _ in range(300):
+                joint = share[[top, j]] * w[:, None]
+                w = (joint / joint.sum(0)).mean(1)
+            pairs[j] = np.log((share[[top, j]] * w[:, None]).sum(0)).sum()
+        j = max(pairs, key=pairs.get)
+        gain = pairs[j] - single[top]
+        if gain > size + 0.2:
+            assert np.count_nonzero(got[i]) >= 2 and got[i][top] < 1, (i, gain, size)
+        elif gain < size - 0.2:
+            assert np.count_nonzero(got[i]) == 1 and got[i][top] == 1
+        gated += size + 0.2 < gain < (k - 1) * size
+    assert gated and np.count_nonzero(got[0]) == 1
+
+
 def test_held_out_rows_are_not_learned(spark):
     rows = [(i, EN, "en") for i in range(40) if zlib.crc32(str(i).encode()) % 4 == 2]
     table = docs(spark, rows)
