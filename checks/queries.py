@@ -535,6 +535,20 @@ def changelog_load(s: Sample) -> DataFrame:
     return fact_columns(wh.table("factsalesperformance"))
 
 
+@query
+def changelog_ties(s: Sample) -> DataFrame:
+    """The same changes in two runs: the first ends inside an instant, the second brings everything again."""
+    wh = _full(s)
+    changes = s.salespipeline.withColumn("op", F.when(F.col("dealstageid") == 3, "D").otherwise("U"))
+    changes = changes.withColumn("dealstageid", F.lit(4).cast("bigint"))
+    order = ["updated_at", "productid", "salesagentid", "accountid", "closevalue", "engagedate", "closedate", "op"]
+    middle = changes.filter("updated_at < timestamp_ntz'1996-01-01'").agg(F.max("updated_at")).first()[0]
+    part = changes.filter((F.col("updated_at") < F.lit(middle)) | (F.col("updated_at") == F.lit(middle)) & (F.crc32("opportunityid") % 2 == 0))
+    apply_pipeline_changes(s.source(), wh, part, order, "2024-02-02T00:00:00", at="updated_at")
+    apply_pipeline_changes(s.source(), wh, changes, order, "2024-02-03T00:00:00", at="updated_at")
+    return fact_columns(wh.table("factsalesperformance"))
+
+
 @query
 def archive_load(s: Sample) -> DataFrame:
     """Facts and archived facts after the months before 1998 were archived."""

@@ -36,19 +36,32 @@ def apply_pipeline_changes(
     facts; an inserted or updated one that resolves replaces what was there; one that does
     not resolve joins the rejects, in place of older rejects of that opportunity.  Changes with
     another ``op`` change nothing; the log says how many there were.  ``at`` names the column with
-    a change's instant: only changes after the last one applied are read, and the newest is noted.
+    a change's instant: changes from the newest instant applied so far on are read, and the newest is noted, with the
+    changes that decided at it, so one that comes again or late with that instant meets those it has to beat. Changes without an instant are
+    rejects; the log counts them, and says how many were older.
     """
     run_ts = utc(run_ts)
     batch = batch_id or f"changes{batch_name(run_ts)}"
     if loaded_before(wh, batch):
         return
     with logged(wh, batch, run_ts):
+        known = known_op() if at is None else known_op() & F.col(at).isNotNull()
+        held, older = None, 0
         if at is not None:
-            changes = changes.filter(F.col(at) > F.lit(wh.last_change("salespipeline")).cast("timestamp_ntz"))
+            mark, held = _at_the_mark(wh, changes)
+            mark = F.lit(mark).cast("timestamp_ntz")
+            older = changes.filter(F.col(at) < mark).count()
+            changes = changes.filter(F.col(at).isNull() | (F.col(at) >= mark))
         newest_at = F.max(F.col(at)) if at is not None else F.lit(None).cast("timestamp_ntz")
         text = F.date_format(newest_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        n, bad, until = changes.agg(F.count(F.lit(1)), F.count_if(~known_op()), text).first()
-        latest = wh.stage("changes", latest_per_key(changes.filter(known_op()), "opportunityid", newest_by))
+        n, bad, nulls, until = changes.agg(F.count(F.lit(1)), F.count_if(~known_op()), F.count_if(known_op() & ~known) if at is not None else F.lit(0), text).first()
+        both = changes.filter(known).withColumn("_new", F.lit(True))
+        if held is not None:
+            both = both.unionByName(held.withColumn("_new", F.lit(False)))  # of equal rows, the one applied sorts first
+        latest = wh.stage("changes", latest_per_key(both, "opportunityid", newest_by).filter("_new").drop("_new"))
+        if until:
+            there = F.col(at) == F.lit(until).cast("timestamp_ntz")
+            latest_per_key(both.filter(there).drop("_new"), "opportunityid", newest_by).write.mode("overwrite").parquet(_mark_folder(wh, batch))
         gone = latest.filter("op = 'D'").select("opportunityid")
         kept = wh.table("factrejects").drop(*KEY_FLAGS.values())
         shaped = shape_pipeline(latest.filter("op <> 'D'").drop("op"), latest_per_key(src["dealstages"], "dealstageid", ())).select(*kept.columns)
@@ -60,13 +73,25 @@ def apply_pipeline_changes(
         added = with_month(resolved.facts)
         keys = gone.unionByName(added.select("opportunityid")).distinct()
         entry = rewrite_months(wh, wh.table(FACT), keys, n, added, batch, options)
-        entry = replace(entry, rows_read=n, rows_rejected=bad, message=f"{bad} changes with an unknown op" if bad else None)
+        said = {"with an unknown op": bad, "without an instant": nulls, "older than the mark": older}
+        entry = replace(entry, rows_read=n, rows_rejected=bad + nulls, message=", ".join(f"{x} changes {why}" for why, x in said.items() if x) or None)
         done: dict[str, Entry] = {FACT: entry, "factrejects": rejects}
         if entry.months:
             done[MONTHLY] = refresh_aggregate(wh, done, list(entry.months), batch, options)
         wh.commit(batch, run_ts, list(done.values()), {"changes:salespipeline": until} if until else {})
 
 
+def _mark_folder(wh: Warehouse, batch: str) -> str:
+    return f"{wh.root}/_changes/batch={batch}"
+
+
+def _at_the_mark(wh: Warehouse, changes: DataFrame) -> tuple[str, DataFrame | None]:
+    """The newest instant applied so far, and the changes that decided at it; none before the first run."""
+    last = wh.log().filter("action = 'mark' and table_name = 'changes:salespipeline'").orderBy(F.desc("seq")).select("batch_id").first()
+    held = None if last is None else changes.sparkSession.read.schema(changes.schema).parquet(_mark_folder(wh, last.batch_id))
+    return wh.last_change("salespipeline"), held
+
+
 def apply_dimension_changes(
     src: Mapping[str, DataFrame],
     wh: Warehouse,

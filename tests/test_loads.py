@@ -346,6 +346,21 @@ def test_only_newer_changes_are_applied(spark, src, wh):
     assert facts(wh)["OTHER"].closevalue == Decimal("2.00")
 
 
+def test_changes_at_the_mark_are_neither_lost_nor_undone(spark, src, wh):
+    day, ddl = datetime(2024, 2, 9), SOURCE_DDL["salespipeline"] + ", op STRING, seq INT"
+    row = lambda opp, value, op, seq, at=day: (*deal(opp, 5, 3, 0, 4, value=value, at=at), op, seq)
+    first = [row("OTHER", "2.00", "U", 2), row("SBCR987L", "1.00", "D", 2)]
+    order = ["updated_at", "seq"]
+    apply_pipeline_changes(src, wh, spark.createDataFrame(first, ddl), order, RUN2, at="updated_at")
+    late = [row("TIED", "3.00", "I", 1), row("OTHER", "9.00", "U", 1), row("SBCR987L", "9.00", "U", 1), row("NULL", "1.00", "I", 1, None), row("OLD", "1.00", "I", 1, datetime(2024, 2, 1))]
+    apply_pipeline_changes(src, wh, spark.createDataFrame(first + late, ddl), order, RUN3, at="updated_at")
+    assert {k: str(r.closevalue) for k, r in facts(wh).items()} == {"OTHER": "2.00", "TIED": "3.00"}
+    [noted] = wh.log().filter("message like '%instant%'").collect()
+    assert (noted.rows_read, noted.rows_rejected, noted.message) == (6, 1, "1 changes without an instant, 1 changes older than the mark")
+    apply_pipeline_changes(src, wh, spark.createDataFrame([row("OTHER", "4.00", "U", 3)], ddl), order, "2024-03-03T00:00:00", at="updated_at")
+    assert str(facts(wh)["OTHER"].closevalue) == "4.00"
+
+
 def test_dimension_changes(spark, src, wh):
     ddl = lambda t: SOURCE_DDL[t] + ", op STRING"
     agents = spark.createDataFrame([(5, "x", 1, 1, NOW, "D"), (32, "renamed", 1, 2, NOW, "U"), (33, "added", 1, 2, NOW, "I"), (34, "odd", 1, 2, NOW, "?")], ddl("salesagents"))
