@@ -124,3 +124,14 @@ reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN l
 SELECT s.doc_id, least(s.doc_id, coalesce(r.m, s.doc_id)) AS class_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_links, CAST(s.n AS BIGINT) AS n_shingles
 FROM sizes s LEFT JOIN (SELECT x, min(y) AS m FROM reach GROUP BY x) r ON r.x = s.doc_id LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) k ON k.x = s.doc_id
 """
+
+SQL["op13_line_dedup"] = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+flat AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM split),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM flat),
+shared AS (SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT f.doc_id, f.i, f.line, coalesce(f.doc_id < s.last, false) AS gone FROM keyed f LEFT JOIN shared s USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
