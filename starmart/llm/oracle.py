@@ -135,3 +135,58 @@ judged AS (SELECT f.doc_id, f.i, f.line, coalesce(f.doc_id < s.last, false) AS g
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+#: CRC-32 of a list of bytes {bytes} as a BIGINT; needs the one-row table `crc_table`.
+_CRC = "xor(4294967295, list_reduce(list_prepend(4294967295, {bytes}), lambda a, b: xor(a >> 8, crcs[CAST(xor(a, b) & 255 AS INTEGER) + 1])))"
+_CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(list_prepend(CAST(i AS BIGINT), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) ORDER BY i) AS crcs
+  FROM range(256) AS r(i))"""
+_ID_CRC = _CRC.format(bytes="list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))")
+_WORD_CRC = _CRC.format(bytes="list_transform(range(0, length(hex(word)) // 2), lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS BIGINT))")
+
+SQL["op11_resampling"] = rf"""
+WITH {_CRC_TABLE},
+lists AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+flat AS (SELECT doc_id, unnest(w) AS word FROM lists),
+goal AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS word FROM benchmark),
+counted AS (SELECT word, sum(c) AS c, sum(g) AS g FROM (SELECT word, 1 AS c, 0 AS g FROM flat UNION ALL SELECT word, 0, 1 FROM goal) GROUP BY word),
+bucketed AS (SELECT word, c, g, {_WORD_CRC} % 10000 AS bucket FROM counted, crc_table),
+totals AS (SELECT sum(c) AS all_c, sum(g) AS all_g FROM bucketed),
+gain AS (
+  SELECT bucket, floor(1000 * ln(CAST(sum(g) + 1 AS DOUBLE) * CAST(any_value(all_c) + 10000 AS DOUBLE) / (CAST(sum(c) + 1 AS DOUBLE) * CAST(any_value(all_g) + 10000 AS DOUBLE)))) AS gain
+  FROM bucketed, totals GROUP BY bucket),
+weights AS (SELECT doc_id, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM flat JOIN bucketed USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scores AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM lists LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS many FROM scores WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * many // 100 THEN r END AS rank FROM scores LEFT JOIN ranked USING (doc_id)
+"""
+
+SQL["op12_periodic_runs"] = rf"""
+WITH {_CRC_TABLE},
+split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_ID_CRC} AS h FROM documents, crc_table),
+sized AS (SELECT doc_id, w, h, CAST(len(w) AS BIGINT) AS n, (h // 10) % nullif(len(w), 0) AS a FROM split),
+shaped AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM sized),
+texts AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE w END AS w FROM shaped),
+ends AS (SELECT doc_id, w, unnest(range(6, n + 1)) AS i FROM texts),
+grams AS (SELECT doc_id, i, md5(array_to_string(w[i - 5 : i], ' ')) AS g FROM ends),
+pairs AS (SELECT x.doc_id, x.i, x.i - y.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.g = y.g AND y.i < x.i),
+dealt AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM pairs),
+diagonals AS (SELECT doc_id, q, min(i) - 6 - q AS start, max(i) - min(i) + 6 + q AS length FROM dealt GROUP BY doc_id, q, part),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM diagonals WHERE length >= greatest(12, 2 * q) GROUP BY doc_id, start, length),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+    first({{'start': start, 'length': length, 'period': period}} ORDER BY length DESC, start, period) AS best FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS k FROM runs),
+flat AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, n)) AS k FROM texts SEMI JOIN told USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS kept FROM flat ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period, CAST(floor(1000 * best.length / best.period) AS BIGINT) AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(CASE WHEN n_runs IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept, '') END) AS collapsed_sha256
+FROM texts t LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

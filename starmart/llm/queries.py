@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import archives, decontamination, forest, html, language, lines, pieces, quality, secrets, substrings, urls
+from starmart.llm import archives, decontamination, forest, html, language, lines, periods, pieces, quality, resampling, secrets, substrings, urls
 from starmart.llm.storage import importable
 
 
@@ -56,6 +56,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digest(periods.planted(_table(spark, sf_dir, "documents")))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(_table(spark, sf_dir, "documents"))
 
@@ -71,5 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op11_resampling": op11_resampling,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_line_dedup": op13_line_dedup,
 }
