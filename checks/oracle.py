@@ -141,6 +141,14 @@ SELECT * FROM (SELECT r.*, row_number() OVER (PARTITION BY opportunityid ORDER B
     "run2": """
 SELECT * FROM (SELECT r.*, row_number() OVER (PARTITION BY opportunityid ORDER BY {first}) rn FROM resolved2 r
   WHERE r.opportunityid NOT IN (SELECT opportunityid FROM run1)) WHERE rn = 1""",
+    # A snapshot, then a run that brings only late accounts and products.
+    "late_versions": """
+SELECT productsk, productid FROM products1 UNION ALL
+SELECT (SELECT count(*) FROM products1) + row_number() OVER (ORDER BY productid), productid FROM products WHERE productid NOT IN (SELECT productid FROM products1)""",
+    "snapshot_rows": """
+SELECT f.opportunityid, f.datekey, f.accountkey, CAST(v.productsk AS BIGINT) AS productkey, f.salesagentkey, f.dealstagekey, f.closevalue, f.durationdays, f.expectedsuccessrate, f.updated_at,
+  f.productid IN (SELECT productid FROM products1) AND f.accountkey IN (SELECT accountid FROM accounts WHERE updated_at <= TIMESTAMP '2024-01-15 00:00:00') AS early
+  FROM factresolved f JOIN late_versions v ON f.productid = v.productid WHERE f.updated_at <= TIMESTAMP '1999-01-01 00:00:00'""",
     "incremental_facts": "SELECT {fact} FROM run1 UNION ALL SELECT {fact} FROM run2",
 }
 
@@ -157,6 +165,14 @@ def _count(table: str, check: str, source: str, test: str) -> str:
     return (f"SELECT '{check}' AS check_name, '{table}' AS table_name, CAST(count(*) FILTER (WHERE {test}) AS BIGINT) AS violations FROM {source}")
 
 
+_VERSION_TESTS = (
+    ("newest_is_current", "rnk = 1 AND NOT cur"),
+    ("older_is_closed", "rnk > 1 AND cur"),
+    ("older_has_end", "rnk > 1 AND vt IS NULL"),
+    ("versions_overlap", "nf IS NOT NULL AND vt >= nf"),
+    ("versions_gap", "nf IS NOT NULL AND vt + 1 < nf"),
+    ("ends_before_start", "vt < vf"),
+)
 _ORDER_VERSIONS = """(SELECT x.*, row_number() OVER (PARTITION BY k ORDER BY vf DESC, cur DESC) AS rnk, lead(vf) OVER (PARTITION BY k ORDER BY vf, cur) AS nf FROM (
   SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS vf, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE CAST(o_orderdate AS DATE) + 30 END AS vt, o_orderstatus = 'O' AS cur FROM orders) x)"""
 
@@ -220,14 +236,7 @@ SELECT 'one_current_version' AS check_name, 'dimproduct' AS table_name, count(*)
   UNION ALL SELECT 'aggregate_total', 'factsalesmonthlyaggregate', CAST(abs((SELECT sum(totaldealcount) FROM monthly) - (SELECT count(*) FROM factsalesperformance)) AS BIGINT)""",
     "version_checks": " UNION ALL ".join(
         _count("orders", check, _ORDER_VERSIONS, test)
-        for check, test in (
-            ("newest_is_current", "rnk = 1 AND NOT cur"),
-            ("older_is_closed", "rnk > 1 AND cur"),
-            ("older_has_end", "rnk > 1 AND vt IS NULL"),
-            ("versions_overlap", "nf IS NOT NULL AND vt >= nf"),
-            ("versions_gap", "nf IS NOT NULL AND vt + 1 < nf"),
-            ("ends_before_start", "vt < vf"),
-        )
+        for check, test in _VERSION_TESTS
     ),
     "source_checks": " UNION ALL ".join(
         _count(table, check, table, test)
@@ -278,12 +287,15 @@ SELECT f.opportunityid, f.datekey, f.accountkey, f.productkey, f.salesagentkey,
   FROM factsalesperformance f JOIN dimdate d ON f.datekey = d.datekey""",
     "refresh_monthly": "SELECT * FROM monthly",
     "load_metadata": """
-SELECT 'dimdate' AS table_name, (SELECT count(*) FROM dimdate) AS rows_written UNION ALL SELECT 'dimaccount', (SELECT count(*) FROM dimaccount)
+SELECT t AS table_name, CASE WHEN t = 'factsalesperformance' THEN (SELECT count(*) FROM salespipeline) END AS rows_read, n AS rows_written,
+  CASE WHEN t = 'factsalesperformance' THEN (SELECT count(*) FROM factrejects) END AS rows_rejected,
+  CASE WHEN t = 'factsalesperformance' THEN (SELECT count(*) FROM salespipeline) - (SELECT count(*) FROM factsource) || ' rows without a key or date' END AS message
+FROM (SELECT 'dimdate' AS t, (SELECT count(*) FROM dimdate) AS n UNION ALL SELECT 'dimaccount', (SELECT count(*) FROM dimaccount)
   UNION ALL SELECT 'dimproduct', (SELECT count(*) FROM dimproduct) UNION ALL SELECT 'dimsalesagent', (SELECT count(*) FROM dimsalesagent)
   UNION ALL SELECT 'dimdealstage', (SELECT count(*) FROM dimdealstage) UNION ALL SELECT 'factsalesperformance', (SELECT count(*) FROM factsalesperformance)
   UNION ALL SELECT 'factrejects', (SELECT count(*) FROM factrejects)
   UNION ALL SELECT 'factsarchive', 0
-  UNION ALL SELECT 'factsalesmonthlyaggregate', (SELECT count(*) FROM monthly)""",
+  UNION ALL SELECT 'factsalesmonthlyaggregate', (SELECT count(*) FROM monthly))""",
     "incremental_load": "SELECT {fact} FROM incremental_facts",
     "monthly_touched": """
 SELECT d.year, d.month, coalesce(sa.region,'Unknown') AS region, f.dealstagekey, {measures}
@@ -303,7 +315,8 @@ SELECT CAST(q.productsk AS BIGINT) AS productsk, r.productid, r.productname, r.s
 SELECT salesagentid, CASE WHEN salesagentid % 5 = 1 THEN salesagentname ELSE concat(salesagentname, ' (log)') END AS salesagentname, managername, region
   FROM dimsalesagent WHERE salesagentid % 5 <> 0""",
     "dim_date_default": """
-SELECT CAST(strftime(d,'%Y%m%d') AS INT) AS datekey, CAST(d AS DATE) AS date, CAST(day(d) AS INT) AS day, CAST(month(d) AS INT) AS month, CAST(quarter(d) AS INT) AS quarter, CAST(year(d) AS INT) AS year
+SELECT CAST(strftime(d,'%Y%m%d') AS INT) AS datekey, CAST(d AS DATE) AS date, CAST(day(d) AS INT) AS day, CAST(month(d) AS INT) AS month, CAST(quarter(d) AS INT) AS quarter, CAST(year(d) AS INT) AS year,
+  (SELECT count(*) FROM events WHERE CAST(ts AS DATE) = CAST(d AS DATE)) AS events
  FROM (SELECT unnest(generate_series(DATE '2015-01-01', DATE '2030-12-31', INTERVAL 1 DAY)) d)""",
     "load_checks": """
 SELECT 'fact_key_unique' AS check_name, 'factsalesperformance' AS table_name, count(*) AS violations FROM (SELECT 1 FROM factsalesperformance GROUP BY opportunityid HAVING count(*) > 1) x
@@ -318,14 +331,49 @@ SELECT 'fact_key_unique' AS check_name, 'factsalesperformance' AS table_name, co
   UNION ALL SELECT 'agent_key_unique', 'dimsalesagent', count(*) FROM (SELECT 1 FROM salesagents GROUP BY salesagentid HAVING count(*) > 1) x
   UNION ALL SELECT 'stage_key_unique', 'dimdealstage', count(*) FROM (SELECT 1 FROM dealstages GROUP BY dealstageid HAVING count(*) > 1) x
   UNION ALL SELECT 'orphan_parent', 'dimaccount', count(*) FROM accounts WHERE parentaccountid NOT IN (SELECT accountid FROM accounts)""",
+    "changelog_rejects": """
+SELECT f.opportunityid, f.productid, CAST(4 AS BIGINT) AS dealstageid, d.datekey IS NULL AS missing_date, a.accountid IS NULL AS missing_account,
+  p.productsk IS NULL OR coalesce(f.closedate, f.engagedate) IS NULL AS missing_product, g.salesagentid IS NULL AS missing_agent, false AS missing_stage
+  FROM last_rows f LEFT JOIN dimdate d ON coalesce(f.closedate, f.engagedate) = d.date LEFT JOIN dimaccount a ON f.accountid = a.accountid
+  LEFT JOIN dimproduct p ON f.productid = p.productid LEFT JOIN dimsalesagent g ON f.salesagentid = g.salesagentid
+  WHERE f.op = 'U' AND (d.datekey IS NULL OR a.accountid IS NULL OR p.productsk IS NULL OR g.salesagentid IS NULL)""",
+    "changelog_monthly": """
+SELECT CAST(datekey // 10000 AS INT) AS year, CAST(datekey // 100 % 100 AS INT) AS month, coalesce(g.region, 'Unknown') AS region, f.dealstagekey, {measures}
+  FROM won_rows f JOIN dimsalesagent g ON f.salesagentkey = g.salesagentid GROUP BY ALL""",
+    "scd2_reinsert": """
+SELECT f.opportunityid, f.productid, f.eventdate, CAST(v.productsk AS BIGINT) AS productkey FROM factsource f JOIN (
+  SELECT productsk, productid, DATE '1900-01-01' AS lo, CASE WHEN productid % 7 = 0 THEN DATE '1996-12-31' ELSE DATE '9999-12-31' END AS hi FROM dimproduct
+  UNION ALL SELECT (SELECT max(productsk) FROM dimproduct) + row_number() OVER (ORDER BY productid), productid, DATE '1999-01-01', DATE '9999-12-31' FROM dimproduct WHERE productid % 7 = 0) v
+  ON v.productid = f.productid AND f.eventdate BETWEEN v.lo AND v.hi""",
+    "rejects_replayed": """
+SELECT {fact} FROM (SELECT r.*, row_number() OVER (PARTITION BY opportunityid ORDER BY early DESC, {first}) rn FROM snapshot_rows r) WHERE rn = 1""",
+    "lineage": "SELECT opportunityid, 'full20240115T000000' AS batch FROM run1 UNION ALL SELECT opportunityid, '20240201T000000' FROM run2",
+    "truncated": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'before' AS at, (SELECT count(*) FROM {t}) AS n UNION ALL SELECT '{t}', 'after', 0" for t in ("dimaccount", "dimproduct", "dimsalesagent", "dimdate")),
+    "error_log": """
+SELECT '20240201T000000' AS batch_id, concat('ValueError: bounds must be ', chr(39), 'closed', chr(39), ' or ', chr(39), 'half_open', chr(39), ', not ', chr(39), 'open', chr(39)) AS message,
+  CAST(0 AS BIGINT) AS facts, CAST(0 AS BIGINT) AS accounts""",
+    "stream_batches": "SELECT count(*) AS rows_read FROM salespipeline GROUP BY accountid % 2",
+    "stream_dedup": """
+SELECT DISTINCT {fact} FROM factresolved WHERE updated_at < TIMESTAMP '1999-01-01 00:00:00'
+  UNION ALL SELECT * FROM (SELECT DISTINCT {fact} FROM factresolved WHERE updated_at >= TIMESTAMP '1998-01-01 00:00:00' AND updated_at < TIMESTAMP '1998-06-01 00:00:00')""",
     "archive_load": "SELECT opportunityid, datekey, CASE WHEN datekey < 19980101 THEN 'archived' ELSE 'kept' END AS part FROM factsalesperformance",
     "ranged_load": "SELECT * FROM dimaccount",
     "changelog_load": """
-SELECT {fact} FROM factsalesperformance f WHERE opportunityid NOT IN (SELECT opportunityid FROM last_rows WHERE op = 'D') AND opportunityid NOT IN (SELECT opportunityid FROM won_rows)
+SELECT {fact} FROM factsalesperformance f WHERE opportunityid NOT IN (SELECT opportunityid FROM last_rows)
   UNION ALL SELECT {fact} FROM won_rows""",
 }
-#: Two runs over a change log end as one.
-QUERIES["changelog_ties"] = QUERIES["changelog_load"]
+#: However a change log is cut into runs, they end as one; so do both ways of trying rejects again.
+QUERIES |= {name: QUERIES["changelog_load"] for name in ("changelog_ties", "changelog_cuts", "stream_changelog")}
+QUERIES["rejects_replayed_all"] = QUERIES["rejects_replayed"]
+QUERIES["load_checks"] += "".join(f"""
+  UNION ALL SELECT '{check}', '{table}', count(*) FROM (SELECT 1 FROM {table} GROUP BY {key} HAVING {test}) x""" for check, table, key, test in (
+    ("date_key_unique", "dimdate", "datekey", "count(*) > 1"), ("product_key_unique", "dimproduct", "productsk", "count(*) > 1"),
+    ("one_current_version", "dimproduct", "productid", "count(*) FILTER (WHERE iscurrent) <> 1")))
+_DIM_VERSIONS = """(SELECT iscurrent AS cur, validfrom AS vf, validto AS vt, row_number() OVER (PARTITION BY productid ORDER BY validfrom DESC, iscurrent DESC) AS rnk,
+  lead(validfrom) OVER (PARTITION BY productid ORDER BY validfrom, iscurrent) AS nf FROM dimproduct)"""
+QUERIES["load_checks"] += "".join(f"""
+  UNION ALL {_count('dimproduct', check, _DIM_VERSIONS, test)}""" for check, test in _VERSION_TESTS)
 
 
 def _fill(text: str) -> str:

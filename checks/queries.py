@@ -28,10 +28,12 @@ from starmart.operators.resolve import (
 )
 from starmart.operators.scd import insert_if_absent, scd1_upsert, scd2_apply, scd2_changes, scd2_initialize
 from starmart.plans import (
+    LoadOptions,
     apply_dimension_changes,
     apply_pipeline_changes,
     archive_facts,
     compact,
+    fold_changes,
     incremental_load,
     initial_load,
     refresh_monthly,
@@ -39,7 +41,7 @@ from starmart.plans import (
 from starmart.session import shared_dir
 from starmart.sources.readers import key_range, page, range_edges
 from starmart.sources.warehouse import Warehouse
-from starmart.streaming.incremental import file_stream, stream_incremental
+from starmart.streaming.incremental import Dedup, file_stream, stream_changes, stream_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -429,8 +431,9 @@ REGISTERED["initial_load"] = REGISTERED.pop("initial_load_query")
 
 @query
 def load_metadata(s: Sample) -> DataFrame:
+    """What the log says of each table of a full load: rows read, written and rejected, and rows that cannot be facts."""
     log = _full(s).log()
-    return log.filter("action = 'replace'").select("table_name", "rows_written")
+    return log.filter("action = 'replace'").select("table_name", "rows_read", "rows_written", "rows_rejected", "message")
 
 
 @query
@@ -488,15 +491,16 @@ def compacted_facts(s: Sample) -> DataFrame:
 
 @query
 def load_checks(s: Sample) -> DataFrame:
-    """What the validation after a full load noted about facts and accounts."""
-    found = _full(s).checks().filter("table_name <> 'dimproduct' and table_name <> 'dimdate'")
-    return found.select("check_name", "table_name", "violations")
+    """What the validation after a full load noted."""
+    return _full(s).checks().select("check_name", "table_name", "violations")
 
 
 @query
 def dim_date_default(s: Sample) -> DataFrame:
-    """The calendar of a pipeline without any date."""
-    return date_dimension(date_bounds(s.salespipeline.filter("engagedate is null and closedate is null")))
+    """The calendar of a pipeline without any date, with the events of each of its days."""
+    days = date_dimension(date_bounds(s.salespipeline.filter("engagedate is null and closedate is null")))
+    seen = s.raw("events").groupBy(F.col("ts").cast("date").alias("date")).agg(F.count(F.lit(1)).alias("events"))
+    return days.join(seen, "date", "left").withColumn("events", F.coalesce("events", F.lit(0)))
 
 
 @query
@@ -523,32 +527,151 @@ def monthly_touched(s: Sample) -> DataFrame:
     return _two_runs(s).table("factsalesmonthlyaggregate")
 
 
+def _pipeline_log(s: Sample) -> DataFrame:
+    """Every pipeline row as a change: lost deals are deleted, all others won."""
+    changes = s.salespipeline.withColumn("op", F.when(F.col("dealstageid") == 3, "D").otherwise("U"))
+    return changes.withColumn("dealstageid", F.lit(4).cast("bigint"))
+
+
+LOG_ORDER = ["updated_at", "productid", "salesagentid", "accountid", "closevalue", "engagedate", "closedate", "op"]
+
+
 @query
 def changelog_load(s: Sample) -> DataFrame:
-    """A loaded warehouse after every pipeline row came again as a change: lost deals are
-    deleted, all others won."""
+    """A loaded warehouse after every pipeline row came again as a change."""
     wh = _full(s)
-    changes = s.salespipeline.withColumn("op", F.when(F.col("dealstageid") == 3, "D").otherwise("U"))
-    changes = changes.withColumn("dealstageid", F.lit(4).cast("bigint"))
-    order = ["updated_at", "productid", "salesagentid", "accountid", "closevalue", "engagedate", "closedate", "op"]
-    apply_pipeline_changes(s.source(), wh, changes, order, "2024-02-02T00:00:00")
+    apply_pipeline_changes(s.source(), wh, _pipeline_log(s), LOG_ORDER, "2024-02-02T00:00:00")
     return fact_columns(wh.table("factsalesperformance"))
 
 
+@query
+def changelog_rejects(s: Sample) -> DataFrame:
+    """The same log's rejects: newest changes without a key or date, or with one that is not there."""
+    wh = _full(s)
+    apply_pipeline_changes(s.source(), wh, _pipeline_log(s), LOG_ORDER, "2024-02-02T00:00:00")
+    return wh.table("factrejects").select("opportunityid", "productid", "dealstageid", *KEY_FLAGS.values())
+
+
 @query
 def changelog_ties(s: Sample) -> DataFrame:
     """The same changes in two runs: the first ends inside an instant, the second brings everything again."""
     wh = _full(s)
-    changes = s.salespipeline.withColumn("op", F.when(F.col("dealstageid") == 3, "D").otherwise("U"))
-    changes = changes.withColumn("dealstageid", F.lit(4).cast("bigint"))
-    order = ["updated_at", "productid", "salesagentid", "accountid", "closevalue", "engagedate", "closedate", "op"]
+    changes = _pipeline_log(s)
     middle = changes.filter("updated_at < timestamp_ntz'1996-01-01'").agg(F.max("updated_at")).first()[0]
     part = changes.filter((F.col("updated_at") < F.lit(middle)) | (F.col("updated_at") == F.lit(middle)) & (F.crc32("opportunityid") % 2 == 0))
-    apply_pipeline_changes(s.source(), wh, part, order, "2024-02-02T00:00:00", at="updated_at")
-    apply_pipeline_changes(s.source(), wh, changes, order, "2024-02-03T00:00:00", at="updated_at")
+    apply_pipeline_changes(s.source(), wh, part, LOG_ORDER, "2024-02-02T00:00:00", at="updated_at")
+    apply_pipeline_changes(s.source(), wh, changes, LOG_ORDER, "2024-02-03T00:00:00", at="updated_at")
+    return fact_columns(wh.table("factsalesperformance"))
+
+
+@query
+def changelog_cuts(s: Sample) -> DataFrame:
+    """The same changes in three runs: the newest first, then a half of the rest by a hash, then the other; the state is folded between."""
+    wh = _full(s)
+    changes = _pipeline_log(s)
+    late, even = F.col("updated_at") >= F.lit("1999-07-01").cast("timestamp_ntz"), F.crc32(F.concat_ws("/", "opportunityid", "productid")) % 2 == 0
+    for day, part in enumerate((changes.filter(late), changes.filter(~late & even), changes.filter(~late & ~even)), 2):
+        apply_pipeline_changes(s.source(), wh, part, LOG_ORDER, f"2024-02-0{day}T00:00:00")
+        if day == 3:
+            fold_changes(wh, "2024-02-03T12:00:00")
     return fact_columns(wh.table("factsalesperformance"))
 
 
+@query
+def changelog_monthly(s: Sample) -> DataFrame:
+    """The aggregate after the same changes in two runs by a hash."""
+    wh = _full(s)
+    changes, even = _pipeline_log(s), F.crc32(F.concat_ws("/", "opportunityid", "accountid")) % 2 == 0
+    apply_pipeline_changes(s.source(), wh, changes.filter(even), LOG_ORDER, "2024-02-02T00:00:00")
+    apply_pipeline_changes(s.source(), wh, changes.filter(~even), LOG_ORDER, "2024-02-03T00:00:00")
+    return wh.table("factsalesmonthlyaggregate")
+
+
+@query
+def stream_changelog(s: Sample) -> DataFrame:
+    """The same changes as a stream of three files, a file in each micro-batch, with a restart before the last."""
+    wh = _full(s)
+    files, changes = f"{wh.root}-changes", _pipeline_log(s)
+    part = F.crc32(F.concat_ws("/", "opportunityid", "productid", "closevalue")) % 3
+    for k in range(3):
+        changes.filter(part == k).coalesce(1).write.mode("append").parquet(files)
+        if k:
+            stream = file_stream(s.spark, files, changes.schema, max_files=1)
+            stream_changes(stream, s.source(), wh, LOG_ORDER, "2024-02-02T00:00:00", f"{wh.root}-checkpoint").awaitTermination()
+    return fact_columns(Warehouse(s.spark, wh.root).table("factsalesperformance"))
+
+
+@query
+def scd2_reinsert(s: Sample) -> DataFrame:
+    """Products deleted by a change log and brought back by a later one: the version valid at each event, none in between."""
+    wh = Warehouse(s.spark, shared_folder(s.spark))
+    wh.commit("products", "1996-01-01T00:00:00", [wh.write("dimproduct", s.dimproduct, "products")], {})
+    some = s.products.filter("productid % 7 = 0")
+    apply_dimension_changes(s.source(), wh, "products", some.withColumn("op", F.lit("D")), ["updated_at"], "1997-01-01T00:00:00")
+    apply_dimension_changes(s.source(), wh, "products", some.withColumn("op", F.lit("I")), ["updated_at"], "1999-01-01T00:00:00")
+    facts = s.factsource.select("opportunityid", "productid", "eventdate")
+    return as_of_join(facts, wh.table("dimproduct"), wh.rows("dimproduct"), "closed", how="inner")
+
+
+def _late_keys(s: Sample, replay: str) -> Warehouse:
+    """A full load of an early snapshot that moves the marks, then a run that reads no deals but brings accounts and products
+    that rejects wait for."""
+    wh = Warehouse(s.spark, shared_folder(s.spark))
+    now = s.source()
+    early = dict(now)
+    for table, until in (("accounts", SNAPSHOT_DIMS), ("products", SNAPSHOT_DIMS), ("salespipeline", SNAPSHOT_FACTS)):
+        early[table] = now[table].filter(F.col("updated_at") <= F.lit(until).cast("timestamp_ntz"))
+    initial_load(early, wh, SNAPSHOT_DIMS, options=LoadOptions(marks_after_full="run_ts"))
+    incremental_load(now, wh, "2024-02-01T00:00:00", options=LoadOptions(replay=replay))
+    return wh
+
+
+@query
+def rejects_replayed(s: Sample) -> DataFrame:
+    """Facts after a run that tries only rejects whose keys arrived."""
+    return fact_columns(_late_keys(s, "arrived").table("factsalesperformance"))
+
+
+@query
+def rejects_replayed_all(s: Sample) -> DataFrame:
+    """The same with every reject tried again."""
+    return fact_columns(_late_keys(s, "all").table("factsalesperformance"))
+
+
+@query
+def lineage(s: Sample) -> DataFrame:
+    """The batch that wrote each fact."""
+    return _two_runs(s).table("factsalesperformance", lineage=True).select("opportunityid", "batch")
+
+
+@query
+def truncated(s: Sample) -> DataFrame:
+    """Rows of each table before and after all tables are created anew."""
+    wh = Warehouse(s.spark, shared_folder(s.spark))
+    frames = {"dimaccount": s.dimaccount, "dimproduct": s.dimproduct, "dimsalesagent": s.dimsalesagent, "dimdate": s.dimdate}
+    wh.commit("dims", "2024-02-01T00:00:00", list(wh.write_all(frames, "dims").values()), {})
+    before = {name: wh.table(name) for name in frames}
+    wh.create_all(run_ts="2024-02-02T00:00:00")
+    one = [
+        part.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), F.lit(when).alias("at"), "n")
+        for name in frames for when, part in (("before", before[name]), ("after", wh.table(name)))
+    ]
+    return quality.all_checks(*one)
+
+
+@query
+def error_log(s: Sample) -> DataFrame:
+    """A run that fails at its facts: what the error log says, and that none of its tables is there."""
+    wh = Warehouse(s.spark, shared_folder(s.spark))
+    try:
+        incremental_load(s.source(), wh, "2024-02-01T00:00:00", options=LoadOptions(bounds="open"))
+    except ValueError:
+        pass
+    count = F.count(F.lit(1))
+    return wh.errors().select(
+        "batch_id", "message", wh.table("factsalesperformance").agg(count).scalar().alias("facts"), wh.table("dimaccount").agg(count).scalar().alias("accounts"))
+
+
 @query
 def archive_load(s: Sample) -> DataFrame:
     """Facts and archived facts after the months before 1998 were archived."""
@@ -599,6 +722,39 @@ def stream_incremental_query(s: Sample) -> DataFrame:
     return fact_columns(_streamed(s, shared_folder(s.spark), "checkpoint").table("factsalesperformance"))
 
 
+@query
+def stream_batches(s: Sample) -> DataFrame:
+    """A stream held to one file for each micro-batch: rows that each of its loads read."""
+    folder = shared_folder(s.spark)
+    deals, part = s.salespipeline, F.col("accountid") % 2
+    for k in range(2):
+        deals.filter(part == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    wh = Warehouse(s.spark, f"{folder}/warehouse")
+    stream = file_stream(s.spark, f"{folder}/in", deals.schema, max_files=1)
+    stream_incremental(stream, s.source(), wh, "2024-02-01T00:00:00", f"{folder}/checkpoint", options=LoadOptions(validate=False)).awaitTermination()
+    return Warehouse(s.spark, wh.root).log().filter("table_name = 'factsalesperformance' and action = 'append'").select("rows_read")
+
+
+@query
+def stream_dedup(s: Sample) -> DataFrame:
+    """Deals as a stream of three files with a restart after each, loaded by appending: repeats in a file and within the delay
+    are left out, those a year later count again."""
+    folder = shared_folder(s.spark)
+    at, deals = F.col("updated_at"), s.salespipeline
+    day = lambda text: F.lit(text).cast("timestamp_ntz")
+    first = deals.filter(at < day("1998-01-01"))
+    second = deals.filter((at >= day("1998-01-01")) & (at < day("1999-01-01"))).unionByName(first.filter(at >= day("1997-12-01")))
+    third = deals.filter((at >= day("1998-01-01")) & (at < day("1998-06-01"))).withColumn("updated_at", at + F.expr("interval 365 days"))
+    wh = Warehouse(s.spark, f"{folder}/warehouse")
+    dedup = Dedup(tuple(c for c in deals.columns if c != "updated_at"), delay="60 days")
+    for rows in (first.unionByName(first), second, third):
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = file_stream(s.spark, f"{folder}/in", deals.schema)
+        options = LoadOptions(fact_mode="insert_only", validate=False)
+        stream_incremental(stream, s.source(), wh, "2024-02-01T00:00:00", f"{folder}/checkpoint", options=options, dedup=dedup).awaitTermination()
+    return fact_columns(Warehouse(s.spark, wh.root).table("factsalesperformance"))
+
+
 @query
 def stream_second_checkpoint(s: Sample) -> DataFrame:
     """A second stream under the same name, with a checkpoint of its own, brings what the first left out."""

@@ -19,15 +19,16 @@ def _in_years(d: Column) -> Column:
     return F.when(F.year(d).between(*YEARS), d)
 
 
-def seen_dates(pipeline: DataFrame) -> DataFrame:
-    """One row ``(lo, hi, engaged, rows)``: first engagement or event date, last event date, first engagement
-    (NULL where there is none), size."""
+def seen_dates(pipeline: DataFrame, unusable: Column | None = None) -> DataFrame:
+    """One row ``(lo, hi, engaged, rows, unusable)``: first engagement or event date, last event date, first engagement
+    (NULL where there is none), size, and how many rows are ``unusable``."""
     event = _in_years(event_date(F.col("closedate"), F.col("engagedate")))
     return pipeline.agg(
         F.min(F.least(_in_years(F.col("engagedate")), event)).alias("lo"),
         F.max(event).alias("hi"),
         F.min(_in_years(F.col("engagedate"))).alias("engaged"),
         F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.lit(False) if unusable is None else unusable).alias("unusable"),
     )
 
 

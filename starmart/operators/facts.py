@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,15 +18,24 @@ _TIE_BREAKS = ("updated_at", "productkey", "salesagentkey", "datekey", "closeval
                "durationdays", "accountkey", "expectedsuccessrate")
 
 
-def shape_pipeline(pipeline: DataFrame, stages: DataFrame, stage_count: int | None = None) -> DataFrame:
+#: Keys that a usable pipeline row has.
+REQUIRED = ("accountid", "productid", "salesagentid", "dealstageid")
+
+
+def incomplete() -> Column:
+    """Does a pipeline row lack a required key or an event date?"""
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in REQUIRED]) | event_date(F.col("closedate"), F.col("engagedate")).isNull()
+
+
+def shape_pipeline(pipeline: DataFrame, stages: DataFrame, stage_count: int | None = None, complete: bool = True) -> DataFrame:
     """Rows usable as facts: required keys and an event date present, measures derived.
 
-    ``stages`` has one row per stage; it is counted here unless ``stage_count`` is given.
+    ``stages`` has one row per stage; it is counted here unless ``stage_count`` is given.  ``complete=False`` keeps
+    rows without a required key or date too; resolving them gives rejects with the flags of what is missing (without a
+    date no version of a product can be told, so its flag is set too).
     """
     event = event_date(F.col("closedate"), F.col("engagedate"))
-    usable = pipeline.dropna(
-        subset=["accountid", "productid", "salesagentid", "dealstageid"]
-    ).filter(event.isNotNull())
+    usable = pipeline.filter(~incomplete()) if complete else pipeline
     if stage_count is None:
         stage_count = table_rows({"stages": stages})["stages"]
     names = stages.select(F.col("dealstageid").alias("_stage"), "stagename")

@@ -19,6 +19,15 @@ KEY_FLAGS = {
     "dealstagekey": "missing_stage",
 }
 
+#: Where a reject holds the key that a flag says was not found.
+FLAG_SOURCES = {
+    "missing_date": "eventdate",
+    "missing_account": "accountid",
+    "missing_product": "productid",
+    "missing_agent": "salesagentid",
+    "missing_stage": "dealstageid",
+}
+
 
 @dataclass(frozen=True)
 class Dimensions:
@@ -177,5 +186,26 @@ def replay_rejects(rejects: DataFrame, dims: Dimensions, **how) -> Resolved:
     return resolve_keys(rejects.drop(*KEY_FLAGS.values()), dims, **how)
 
 
+def mark_retries(
+    rejects: DataFrame,
+    arrived: Mapping[str, tuple[DataFrame, int]],
+    max_broadcast: int = BROADCAST_BYTES,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Adds ``_retry``: does the reject wait for one of the keys that arrived?
+
+    ``arrived`` maps a flag to the keys (one column) that dimension has gained and their number.  A reject
+    that lacks several keys is tried when any of them arrives, and then flagged with what it still lacks; one without a
+    key waits for none.  Rejects are only looked up here; resolving is left to those marked.
+    """
+    out, retry = rejects, F.lit(False)
+    for flag, (keys, rows) in arrived.items():
+        key, hit = f"_key_{flag}", f"_hit_{flag}"
+        side = keys.select(F.col(keys.columns[0]).alias(key)).distinct().withColumn(hit, F.lit(True))
+        out = lookup(out, side, FLAG_SOURCES[flag], key, rows, max_broadcast=max_broadcast, slice_rows=slice_rows)
+        retry = retry | (F.col(flag) & F.coalesce(F.col(hit), F.lit(False)))
+    return out.withColumn("_retry", retry).drop(*[f"_hit_{flag}" for flag in arrived])
+
+
 def fact_columns(resolved: DataFrame) -> DataFrame:
     return resolved.select(*FACT_COLUMNS)

@@ -87,7 +87,8 @@ def scd2_apply(
     """Close the current version of each changed key the day before ``run_date``, add the new one.
 
     A second change on the day a version began rewrites that version in place, so no version
-    ends before it starts.  A key seen for the first time is valid from ``first_version_from``.
+    ends before it starts.  A key seen for the first time is valid from ``first_version_from``; one that
+    comes back after its last version was closed is valid from ``run_date``, or the day after that end if it is later.
     """
     day = F.lit(run_date).cast("date")
     new = changes.select(
@@ -107,13 +108,15 @@ def scd2_apply(
         F.when(ends, F.date_sub(day, 1)).otherwise(F.col("validto")).alias("validto"),
         (~ends).alias("iscurrent"),
     )
-    opened = changes.filter(~F.col("had_current") | (F.col("current_from") < day))
+    ended = closed.groupBy(F.col(key).alias("_key")).agg(F.max("validto").alias("_ended"))
+    opened = changes.filter(~F.col("had_current") | (F.col("current_from") < day)).join(ended, F.col(key) == F.col("_key"), "left").drop("_key")
+    back = F.greatest(day, F.date_add(F.col("_ended"), 1))
     top = dim.agg(F.coalesce(F.max(sk), F.lit(0))).scalar()
     added = surrogate_keys(opened, key, sk, top).select(
         sk,
         key,
         *attributes,
-        F.when(F.col("had_current"), day).otherwise(F.lit(first_version_from).cast("date")).alias("validfrom"),
+        F.when(F.col("had_current"), day).when(F.col("_ended").isNotNull(), back).otherwise(F.lit(first_version_from).cast("date")).alias("validfrom"),
         F.lit(None).cast("date").alias("validto"),
         F.lit(True).alias("iscurrent"),
     )

@@ -1,6 +1,6 @@
 """Loads of a whole warehouse."""
 
-from starmart.plans.changelog import apply_dimension_changes, apply_pipeline_changes, archive_facts, compact
+from starmart.plans.changelog import apply_dimension_changes, apply_pipeline_changes, archive_facts, compact, fold_changes
 from starmart.plans.incremental import incremental_load
 from starmart.plans.initial import initial_load
 from starmart.plans.monthly import refresh_monthly
@@ -12,6 +12,7 @@ __all__ = [
     "apply_pipeline_changes",
     "archive_facts",
     "compact",
+    "fold_changes",
     "incremental_load",
     "initial_load",
     "refresh_monthly",

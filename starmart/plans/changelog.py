@@ -12,14 +12,19 @@ from starmart.operators.changes import delete_by_key, known_op
 from starmart.operators.dedup import latest_per_key
 from starmart.operators.dims import account_rows, agent_rows, product_rows
 from starmart.operators.facts import shape_pipeline, with_month
+from starmart.operators.lookup import fits
 from starmart.operators.resolve import KEY_FLAGS, Resolved, resolve_keys
 from starmart.operators.scd import scd1_upsert, scd2_apply, scd2_changes
-from starmart.plans.incremental import FACT, MONTHLY, months_of, refresh_aggregate, rewrite_months
+from starmart.plans.incremental import FACT, MONTHLY, months_of, note_arrivals, refresh_aggregate, rewrite_months
 from starmart.plans.initial import dimensions_of
 from starmart.plans.options import LoadOptions, batch_name, loaded_before, logged, utc
 from starmart.sources.warehouse import Entry, Warehouse
 
 
+#: Newest change of each opportunity that was applied, deletes included: one directory for each batch, merged when read.
+STATE = "changestate"
+
+
 def apply_pipeline_changes(
     src: Mapping[str, DataFrame],
     wh: Warehouse,
@@ -32,64 +37,89 @@ def apply_pipeline_changes(
 ) -> None:
     """Bring the facts in line with ``changes``: pipeline columns and ``op`` (I, U or D).
 
-    The newest change of an opportunity by ``newest_by`` decides.  A deleted one leaves the
-    facts; an inserted or updated one that resolves replaces what was there; one that does
-    not resolve joins the rejects, in place of older rejects of that opportunity.  Changes with
-    another ``op`` change nothing; the log says how many there were.  ``at`` names the column with
-    a change's instant: changes from the newest instant applied so far on are read, and the newest is noted, with the
-    changes that decided at it, so one that comes again or late with that instant meets those it has to beat. Changes without an instant are
-    rejects; the log counts them, and says how many were older.
+    The newest change of an opportunity by ``newest_by`` decides, over all batches ever applied: the warehouse keeps
+    each opportunity's newest change, deletes too, and a change that is not newer changes nothing.  So a log may be
+    cut into batches anywhere, and come in any order.  A deleted opportunity leaves the facts; an inserted or updated one
+    that resolves replaces what was there; one that does not resolve takes the fact back and joins the
+    rejects, with flags for the keys that were missing or not found, in place of older rejects of that opportunity.  Archived
+    opportunities are final.
+
+    Changes with another ``op``, or without an opportunity, change nothing; the log says how many there were.  ``at`` names the
+    column with a change's instant, for logs that come in that order: the newest is noted as the mark, changes before the mark are
+    skipped and counted, and those without an instant are counted as rejected.
     """
     run_ts = utc(run_ts)
     batch = batch_id or f"changes{batch_name(run_ts)}"
     if loaded_before(wh, batch):
         return
     with logged(wh, batch, run_ts):
-        known = known_op() if at is None else known_op() & F.col(at).isNotNull()
-        held, older = None, 0
+        timed, older = F.lit(True), 0
         if at is not None:
-            mark, held = _at_the_mark(wh, changes)
-            mark = F.lit(mark).cast("timestamp_ntz")
+            mark = F.lit(wh.last_change("salespipeline")).cast("timestamp_ntz")
+            timed = F.col(at).isNotNull()
             older = changes.filter(F.col(at) < mark).count()
-            changes = changes.filter(F.col(at).isNull() | (F.col(at) >= mark))
+            changes = changes.filter(~timed | (F.col(at) >= mark))
+        named = F.col("opportunityid").isNotNull()
         newest_at = F.max(F.col(at)) if at is not None else F.lit(None).cast("timestamp_ntz")
         text = F.date_format(newest_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        n, bad, nulls, until = changes.agg(F.count(F.lit(1)), F.count_if(~known_op()), F.count_if(known_op() & ~known) if at is not None else F.lit(0), text).first()
-        both = changes.filter(known).withColumn("_new", F.lit(True))
-        if held is not None:
-            both = both.unionByName(held.withColumn("_new", F.lit(False)))  # of equal rows, the one applied sorts first
-        latest = wh.stage("changes", latest_per_key(both, "opportunityid", newest_by).filter("_new").drop("_new"))
-        if until:
-            there = F.col(at) == F.lit(until).cast("timestamp_ntz")
-            latest_per_key(both.filter(there).drop("_new"), "opportunityid", newest_by).write.mode("overwrite").parquet(_mark_folder(wh, batch))
-        gone = latest.filter("op = 'D'").select("opportunityid")
+        n, bad, nulls, nameless, until = changes.agg(
+            F.count(F.lit(1)), F.count_if(~known_op()), F.count_if(known_op() & ~timed), F.count_if(known_op() & timed & ~named), text).first()
+        newest = latest_per_key(changes.filter(known_op() & timed & named), "opportunityid", newest_by)
+        state, winners = _applied(wh, newest, n, newest_by, batch, options)
+        keys = winners.select("opportunityid")
+        side = F.broadcast(keys) if fits(keys, n, options.max_broadcast) else keys
+        final = wh.table("factsarchive").select("opportunityid").join(side, "opportunityid", "left_semi").distinct()
         kept = wh.table("factrejects").drop(*KEY_FLAGS.values())
-        shaped = shape_pipeline(latest.filter("op <> 'D'").drop("op"), latest_per_key(src["dealstages"], "dealstageid", ())).select(*kept.columns)
+        stages = latest_per_key(src["dealstages"], "dealstageid", ())
+        alive = winners.filter("op <> 'D'").join(final, "opportunityid", "left_anti")
+        shaped = shape_pipeline(alive.drop("op"), stages, complete=False).select(*kept.columns)
         how = {"product": "as_of", "bounds": options.bounds, "emit": options.emit, **options.sizes}
-        flagged = resolve_keys(shaped, dimensions_of(wh, {}), **how).flagged
-        resolved = Resolved(wh.stage("resolved", flagged))
-        waiting = wh.table("factrejects").join(latest.select("opportunityid"), "opportunityid", "left_anti")
+        resolved = Resolved(wh.stage("resolved", resolve_keys(shaped, dimensions_of(wh, {}), **how).flagged))
+        waiting = wh.table("factrejects").join(side, "opportunityid", "left_anti")
         rejects = wh.write("factrejects", waiting.unionByName(resolved.rejects), batch)
-        added = with_month(resolved.facts)
-        keys = gone.unionByName(added.select("opportunityid")).distinct()
-        entry = rewrite_months(wh, wh.table(FACT), keys, n, added, batch, options)
-        said = {"with an unknown op": bad, "without an instant": nulls, "older than the mark": older}
-        entry = replace(entry, rows_read=n, rows_rejected=bad + nulls, message=", ".join(f"{x} changes {why}" for why, x in said.items() if x) or None)
+        entry = rewrite_months(wh, wh.table(FACT), keys, n, with_month(resolved.facts), batch, options)
+        said = {
+            "changes with an unknown op": bad, "changes without an instant": nulls, "changes without an opportunity": nameless, "changes older than the mark": older}
+        entry = replace(entry, rows_read=n, rows_rejected=bad + nulls + nameless, message=", ".join(f"{x} {why}" for why, x in said.items() if x) or None)
         done: dict[str, Entry] = {FACT: entry, "factrejects": rejects}
         if entry.months:
             done[MONTHLY] = refresh_aggregate(wh, done, list(entry.months), batch, options)
-        wh.commit(batch, run_ts, list(done.values()), {"changes:salespipeline": until} if until else {})
-
-
-def _mark_folder(wh: Warehouse, batch: str) -> str:
-    return f"{wh.root}/_changes/batch={batch}"
-
-
-def _at_the_mark(wh: Warehouse, changes: DataFrame) -> tuple[str, DataFrame | None]:
-    """The newest instant applied so far, and the changes that decided at it; none before the first run."""
-    last = wh.log().filter("action = 'mark' and table_name = 'changes:salespipeline'").orderBy(F.desc("seq")).select("batch_id").first()
-    held = None if last is None else changes.sparkSession.read.schema(changes.schema).parquet(_mark_folder(wh, last.batch_id))
-    return wh.last_change("salespipeline"), held
+        wh.commit(batch, run_ts, [*done.values(), state], {"changes:salespipeline": until} if until else {})
+
+
+def _applied(
+    wh: Warehouse, newest: DataFrame, n: int, newest_by: Sequence[str], batch: str, options: LoadOptions
+) -> tuple[Entry, DataFrame]:
+    """The changes of ``newest`` (one for each opportunity) that beat the state, written as the state's next directory."""
+    order = ",".join(newest_by)
+    held = wh.live(STATE)
+    for entry in held:
+        if entry.message != order:
+            raise ValueError(f"the change log was ordered by {entry.message!r} before, not by {order!r}")
+    beats = newest
+    if held:
+        newest = wh.stage("changes", newest)
+        keys = newest.select("opportunityid")
+        side = F.broadcast(keys) if fits(keys, n, options.max_broadcast) else keys
+        before = wh.side(held, newest.schema).join(side, "opportunityid", "left_semi")
+        # Of equal changes the one applied before sorts first.
+        both = newest.withColumn("_new", F.lit(True)).unionByName(before.withColumn("_new", F.lit(False)))
+        beats = latest_per_key(both, "opportunityid", newest_by).filter("_new").drop("_new")
+    entry = wh.write_side(STATE, beats, batch, message=order)
+    return entry, wh.side([entry], newest.schema)
+
+
+def fold_changes(wh: Warehouse, run_ts: str, batch_id: str | None = None) -> None:
+    """Write the state of the change log as one directory with one change for each opportunity."""
+    run_ts = utc(run_ts)
+    held = wh.live(STATE)
+    if not held:
+        return
+    batch = wh.fresh_batch(batch_id or f"fold{batch_name(run_ts)}")
+    with logged(wh, batch, run_ts):
+        order = held[0].message
+        newest = latest_per_key(wh.side(held), "opportunityid", order.split(","))
+        wh.commit(batch, run_ts, [wh.write_side(STATE, newest, batch, "replace", order)], {})
 
 
 def apply_dimension_changes(
@@ -105,7 +135,8 @@ def apply_dimension_changes(
 
     ``changes`` has the source table's columns and ``op``.  Accounts and agents are overwritten or
     removed; a changed product opens a version, a deleted one closes its current version the day
-    before the run.  Facts keep the keys they have.
+    before the run.  Facts keep the keys they have.  Keys that are new are noted, so that the next incremental run
+    tries the rejects again that wait for them.
     """
     run_ts = utc(run_ts)
     batch = batch_id or f"{table}changes{batch_name(run_ts)}"
@@ -128,7 +159,7 @@ def apply_dimension_changes(
             new = delete_by_key(scd1_upsert(dim, rows, key), gone, key)
         n, bad = changes.agg(F.count(F.lit(1)), F.count_if(~known_op())).first()
         entry = replace(wh.write(name, new, batch), rows_read=n, rows_rejected=bad, message=f"{bad} changes with an unknown op" if bad else None)
-        wh.commit(batch, run_ts, [entry], {})
+        wh.commit(batch, run_ts, [entry, note_arrivals(wh, entry, batch)], {})
 
 
 def archive_facts(wh: Warehouse, before_month: int, run_ts: str, batch_id: str | None = None) -> None:

@@ -14,16 +14,27 @@ from starmart.operators.aggregates import in_months, monthly_sales, refresh_mont
 from starmart.operators.dates import extended_dates, seen_dates
 from starmart.operators.dedup import first_per_key, latest_per_key
 from starmart.operators.dims import account_rows, agent_rows, product_rows, stage_rows
-from starmart.operators.facts import new_facts, newer_only, newest_order, shape_pipeline, with_month
+from starmart.operators.facts import incomplete, new_facts, newer_only, newest_order, shape_pipeline, with_month
 from starmart.operators.lookup import fits, table_rows
 from starmart.operators.quality import validate_warehouse
-from starmart.operators.resolve import KEY_FLAGS, Resolved, resolve_keys
+from starmart.operators.resolve import KEY_FLAGS, Resolved, mark_retries, resolve_keys
 from starmart.operators.scd import scd1_upsert, scd2_apply, scd2_changes
-from starmart.plans.initial import FACT, MONTHLY, dimensions_of
+from starmart.plans.initial import FACT, MONTHLY, dimensions_of, left_out
 from starmart.plans.options import LoadOptions, batch_name, loaded_before, logged, utc
 from starmart.schemas import STORED_FACT, WAREHOUSE_DDL
 from starmart.sources.warehouse import MARKED_TABLES, Entry, Warehouse
 
+#: Of each dimension: the flag of a reject that misses it, its own key, and the source key that a reject holds.
+DIM_KEYS = {
+    "dimdate": ("missing_date", "datekey", "date"),
+    "dimaccount": ("missing_account", "accountid", "accountid"),
+    "dimproduct": ("missing_product", "productsk", "productid"),
+    "dimsalesagent": ("missing_agent", "salesagentid", "salesagentid"),
+    "dimdealstage": ("missing_stage", "stageid", "stageid"),
+}
+#: Keys that dimensions gained by change logs since the last incremental run.
+ARRIVALS, ARRIVALS_DDL = "arrivals", "flag STRING, id BIGINT"
+
 
 def incremental_load(
     src: Mapping[str, DataFrame],
@@ -35,6 +46,8 @@ def incremental_load(
 ) -> None:
     """Bring the warehouse up to ``run_ts``.
 
+    Kept rejects are tried again when a key that they wait for has arrived.
+
     Each source table is read over ``(its mark, run_ts]``, the same ``run_ts`` for all.
     ``fact_batch`` replaces the window on the pipeline, for rows that arrive as a stream.
     A batch already committed is not loaded again.  Archived opportunities count as present and
@@ -54,19 +67,20 @@ def incremental_load(
             window["salespipeline"] = fact_batch
         facts = window.pop("salespipeline")
         read = table_rows(window)
-        seen = seen_dates(facts).first()
+        seen = seen_dates(facts, incomplete()).first()
         read["salespipeline"] = seen["rows"]
 
         done = _load_dimensions(src, wh, window, read, run_ts, batch, options)
         if _outside(wh, seen):
             span = wh.spark.range(1).select(F.lit(seen["lo"]).alias("lo"), F.lit(seen["hi"]).alias("hi"))
             done["dimdate"] = wh.write("dimdate", extended_dates(wh.table("dimdate"), span), batch)
-        done, months = _load_facts(src, wh, facts, read, done, batch, options)
+        done, months = _load_facts(src, wh, facts, seen, done, batch, options)
         months = sorted({*months, *_months_of_moved_agents(wh, done)})
         if months:
             done[MONTHLY] = refresh_aggregate(wh, done, months, batch, options)
         moved = MARKED_TABLES if fact_batch is None else [t for t in MARKED_TABLES if t != "salespipeline"]
-        wh.commit(batch, run_ts, list(done.values()), {t: run_ts for t in moved})
+        used = [Entry(ARRIVALS, "reset")] if wh.live(ARRIVALS) else []
+        wh.commit(batch, run_ts, [*done.values(), *used], {t: run_ts for t in moved})
         if options.validate:
             wh.note_checks(batch, run_ts, validate_warehouse(wh.tables(), options.max_broadcast, {n: wh.rows(n) for n in WAREHOUSE_DDL}))
 
@@ -111,29 +125,78 @@ def _outside(wh: Warehouse, seen: Row) -> bool:
     return bool(days) and (have["lo"] is None or min(days) < have["lo"] or max(days) > have["hi"])
 
 
+def _gained(wh: Warehouse, entry: Entry) -> DataFrame:
+    """Keys that a new version of a dimension has and the committed one lacks, as source keys."""
+    own, source = DIM_KEYS[entry.table_name][1:]
+    return wh.read(entry.table_name, [entry]).join(wh.table(entry.table_name).select(own), own, "left_anti").select(F.col(source).alias("id"))
+
+
+def note_arrivals(wh: Warehouse, entry: Entry, batch: str) -> Entry:
+    """Note the keys that a dimension gains outside of an incremental run, for the next one."""
+    flag = DIM_KEYS[entry.table_name][0]
+    return wh.write_side(ARRIVALS, _gained(wh, entry).distinct().select(F.lit(flag).alias("flag"), "id"), batch)
+
+
+def _arrived(wh: Warehouse, done: Mapping[str, Entry]) -> dict[str, tuple[DataFrame, int]]:
+    """By flag, the keys that dimensions gained in this run or by change logs before it, and their number at most."""
+    out: dict[str, tuple[DataFrame, int]] = {}
+    for table, (flag, _, _) in DIM_KEYS.items():
+        # Incremental runs take no key away, so the growth says how many are new.
+        more = done[table].rows_written - wh.rows(table) if table in done else 0
+        if more > 0:
+            out[flag] = (_gained(wh, done[table]), more)
+    noted = [e for e in wh.live(ARRIVALS) if e.rows_written]
+    if noted:
+        keys, rows = wh.side(noted, ARRIVALS_DDL), sum(e.rows_written for e in noted)
+        for flag in ("missing_account", "missing_product", "missing_agent"):
+            mine, more = keys.filter(F.col("flag") == flag).select("id"), rows
+            if flag in out:
+                mine, more = mine.unionByName(out[flag][0]), rows + out[flag][1]
+            out[flag] = (mine, more)
+    return out
+
+
+def _kept_back(wh: Warehouse, shaped: DataFrame, arrived: Mapping[str, tuple[DataFrame, int]], options: LoadOptions) -> DataFrame:
+    """Rejects that the window does not read again, with ``_retry``.  Those it does are kept as often as they are read."""
+    rejects = wh.table("factrejects")
+    source = [c for c in rejects.columns if c not in KEY_FLAGS.values()]
+    marked = rejects.withColumn("_retry", F.lit(True)) if options.replay == "all" else mark_retries(rejects, arrived, **options.sizes)
+    keys = rejects.select("opportunityid").distinct()
+    side = F.broadcast(keys) if fits(keys, wh.rows("factrejects"), options.max_broadcast) else keys
+    again = shaped.join(side, "opportunityid", "left_semi").select(F.struct(*source).alias("_again")).distinct()
+    return marked.join(again, F.struct(*[marked[c] for c in source]) == F.col("_again"), "left_anti")
+
+
 def _load_facts(
     src: Mapping[str, DataFrame],
     wh: Warehouse,
     rows: DataFrame,
-    read: Mapping[str, int],
+    seen: Row,
     done: dict[str, Entry],
     batch: str,
     options: LoadOptions,
 ) -> tuple[dict[str, Entry], list[int]]:
-    """Facts of the window and of earlier rejects, the remaining rejects, and the months touched."""
+    """Facts of the window and of rejects whose keys arrived, the remaining rejects, and the months touched."""
+    if options.replay not in ("arrived", "all"):
+        raise ValueError(f"replay must be 'arrived' or 'all', not {options.replay!r}")
     waiting = wh.rows("factrejects")
-    n = read["salespipeline"] + waiting
-    if not n:
+    arrived = _arrived(wh, done) if waiting else {}
+    if not seen["rows"] and not (waiting and (arrived or options.replay == "all")):
         return done, []
-    kept = wh.table("factrejects").drop(*KEY_FLAGS.values())
-    shaped = shape_pipeline(rows, latest_per_key(src["dealstages"], "dealstageid", ())).select(*kept.columns)
+    n = seen["rows"] + waiting
+    rejects = wh.table("factrejects")
+    source = [c for c in rejects.columns if c not in KEY_FLAGS.values()]
+    rows_now = shape_pipeline(rows, latest_per_key(src["dealstages"], "dealstageid", ())).select(*source)
+    left = None
+    if waiting:
+        held = wh.stage("rejects", _kept_back(wh, rows_now, arrived, options))
+        rows_now = rows_now.unionByName(held.filter("_retry").select(*source))
+        left = held.filter("not _retry").drop("_retry")
     how = {"product": "as_of", "bounds": options.bounds, "emit": options.emit, **options.sizes}
-    # Rejects that the window reads again are kept as often as they are read.
-    rows_now = shaped.unionByName(kept.exceptAll(shaped))
     flagged = resolve_keys(rows_now, dimensions_of(wh, done), **how).flagged
     # The batch is resolved once; facts, rejects and months are all taken from the result.
     resolved = Resolved(wh.stage("resolved", flagged))
-    writes = {"factrejects": resolved.rejects}
+    writes = {"factrejects": resolved.rejects if left is None else resolved.rejects.unionByName(left)}
     existing = wh.table(FACT)
     final = wh.table("factsarchive").select("opportunityid")
     if options.fact_mode == "upsert":
@@ -146,10 +209,9 @@ def _load_facts(
             added = added.join(final.distinct(), "opportunityid", "left_anti")
         written = wh.write_all({**writes, FACT: with_month(added)}, batch, {FACT: "append"})
         entry = written[FACT]
-    rejects = written["factrejects"]
-    entry = replace(entry, rows_read=read["salespipeline"], rows_rejected=rejects.rows_written)
+    entry = replace(entry, rows_read=seen["rows"], rows_rejected=written["factrejects"].rows_written, message=left_out(seen["unusable"]))
     months = entry.months or months_of(wh.read(FACT, [entry]))
-    return {**done, FACT: entry, "factrejects": rejects}, list(months)
+    return {**done, FACT: entry, "factrejects": written["factrejects"]}, list(months)
 
 
 def months_of(facts: DataFrame) -> list[int]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from starmart.operators.aggregates import monthly_sales
 from starmart.operators.dates import date_dimension, known_bounds, seen_dates
 from starmart.operators.dims import account_rows, agent_rows, product_rows, stage_rows
-from starmart.operators.facts import first_order, shape_pipeline, with_month
+from starmart.operators.facts import first_order, incomplete, shape_pipeline, with_month
 from starmart.operators.dedup import first_per_key, latest_per_key
 from starmart.operators.quality import validate_warehouse
 from starmart.operators.resolve import Dimensions, Resolved, resolve_keys
@@ -21,6 +21,8 @@ from starmart.sources.warehouse import MARKED_TABLES, NO_MARK, Entry, Warehouse
 
 FACT = "factsalesperformance"
 MONTHLY = "factsalesmonthlyaggregate"
+#: Tables that loads keep for themselves: a full load empties them.
+SIDE_TABLES = ("changestate", "arrivals")
 
 
 def dimensions_of(wh: Warehouse, entries: Mapping[str, Entry]) -> Dimensions:
@@ -47,6 +49,11 @@ def dimensions_of(wh: Warehouse, entries: Mapping[str, Entry]) -> Dimensions:
     )
 
 
+def left_out(rows: int) -> str | None:
+    """What the log says of pipeline rows that cannot be facts."""
+    return f"{rows} rows without a key or date" if rows else None
+
+
 def initial_load(
     src: Mapping[str, DataFrame],
     wh: Warehouse,
@@ -66,7 +73,7 @@ def initial_load(
         def newest(rows: DataFrame, key: str) -> DataFrame:
             return latest_per_key(rows, key, ["updated_at"]).drop("updated_at")
 
-        seen = seen_dates(src["salespipeline"]).first()
+        seen = seen_dates(src["salespipeline"], incomplete()).first()
         span = known_bounds(wh.spark, seen)
         accounts = account_rows(src["accounts"], src["sectors"], "updated_at")
         products = product_rows(src["products"], src["productseries"], "updated_at")
@@ -89,7 +96,7 @@ def initial_load(
         resolved = Resolved(wh.stage("resolved", flagged))
         first = first_per_key(resolved.facts, "opportunityid", first_order())
         done |= wh.write_all({FACT: with_month(first.select(*STORED_FACT)), "factrejects": resolved.rejects}, batch)
-        done[FACT] = replace(done[FACT], rows_read=seen["rows"], rows_rejected=done["factrejects"].rows_written)
+        done[FACT] = replace(done[FACT], rows_read=seen["rows"], rows_rejected=done["factrejects"].rows_written, message=left_out(seen["unusable"]))
         monthly = monthly_sales(
             wh.read(FACT, [done[FACT]]),
             loaded.date,
@@ -99,6 +106,11 @@ def initial_load(
         )
         done[MONTHLY] = wh.write(MONTHLY, monthly, batch)
         mark = run_ts if options.marks_after_full == "run_ts" else NO_MARK
-        wh.commit(batch, run_ts, list(done.values()), {t: mark for t in MARKED_TABLES})
+        marks = {t: mark for t in MARKED_TABLES}
+        # What was applied from change logs is part of the source now.
+        states = [Entry(t, "reset") for t in SIDE_TABLES if wh.live(t)]
+        if wh.last_change("salespipeline") != NO_MARK:
+            marks["changes:salespipeline"] = NO_MARK
+        wh.commit(batch, run_ts, [*done.values(), *states], marks)
         if options.validate:
             wh.note_checks(batch, run_ts, validate_warehouse(wh.tables(), options.max_broadcast, {n: wh.rows(n) for n in WAREHOUSE_DDL}))

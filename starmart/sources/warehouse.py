@@ -2,7 +2,7 @@
 
 Each load of a table writes its own directory ``<table>/batch=<id>``.  The load log says
 which directories make up a table: a ``replace`` starts the list anew, an ``append`` adds to
-it.  All tables and high-water marks of a run become visible by one small append to the log,
+it, a ``reset`` empties it.  All tables and high-water marks of a run become visible by one small append to the log,
 made last.  A run that dies before that has changed nothing, and running it again overwrites
 the directories it left.  Everything goes through the DataFrame API, so any file system
 Spark can write to will do.  One writer at a time.
@@ -81,12 +81,12 @@ class Warehouse:
         """
         if self._state is None:
             log = self.log()
-            loads = log.filter(F.col("action").isin("replace", "append"))
-            since = loads.filter("action = 'replace'").groupBy("table_name").agg(F.max("seq").alias("since"))
-            live = loads.join(since, "table_name", "left").filter(
+            loads = log.filter(F.col("action").isin("replace", "append", "reset"))
+            since = loads.filter("action <> 'append'").groupBy("table_name").agg(F.max("seq").alias("since"))
+            live = loads.filter("action <> 'reset'").join(since, "table_name", "left").filter(
                 F.col("since").isNull() | (F.col("seq") >= F.col("since"))
             )
-            names = ["table_name", "action", "path", "months", "rows_read", "rows_written", "rows_rejected"]
+            names = ["table_name", "action", "path", "months", "rows_read", "rows_written", "rows_rejected", "message"]
             tables: dict[str, list[Entry]] = {}
             for r in live.orderBy("seq").select(*names).collect():
                 tables.setdefault(r.table_name, []).append(Entry(**r.asDict()))
@@ -228,6 +228,18 @@ class Warehouse:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_side(self, name: str, df: DataFrame, batch_id: str, action: str = "append", message: str | None = None) -> Entry:
+        """A directory of a side table: one that loads keep for themselves, with a schema of its own."""
+        path = f"_{name}/batch={batch_id}"
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.root}/{path}")
+        return Entry(name, action, path, rows_written=seen.get["rows"], message=message)
+
+    def side(self, entries: Sequence[Entry], schema: StructType | str | None = None) -> DataFrame:
+        """The rows in the directories of a side table."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(*[f"{self.root}/{e.path}" for e in entries])
+
     def note_checks(self, batch_id: str, run_ts: str, checks: DataFrame) -> None:
         """Add the result of a validation to the log: a line for each check, violations as ``rows_rejected``."""
         found = checks.collect()  # one row for each check
