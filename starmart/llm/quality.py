@@ -5,8 +5,11 @@ Every line with a word gets features (shares of symbols, capitals, digits and ma
 place); the best label sequence of a document is found by Viterbi decoding, for all documents of a slice side by side.
 The share of words in content lines decides: a document passes if it is at least `least_share` and no base rule failed.
 
-The field is trained on a bounded sample of labelled documents (`Training`): lines of documents with quality 1 count as
-content, lines of quality 0 as boilerplate. The log-likelihood is maximised by gradient steps with forward-backward sums. Without
+The field is trained on a bounded sample of labelled documents (`Training`), on all of their lines. Lines have no labels of their own, so they
+are latent, and learned by expectation-maximisation: the expected labels are forward-backward sums, bent as
+little as needed (one number for each document) so that content lines hold `share` of the words of a document of quality 1 at least, and the rest at
+most of one of quality 0. Weak evidence about single lines pulls in every document: repeated lines and lines heavy with symbols lean to boilerplate.
+The weights then follow the expected labels by gradient steps. So a document may hold both kinds of lines. Without
 labels of both kinds the weights are zero but for the content label's, so every document that passes the base rules is kept.
 
 Defined results: a null or empty text has no words, fails the base rules and is not kept; repeated rows are judged
@@ -54,10 +57,13 @@ class Training:
     """The bounds of the sample that the field is fitted on, and how."""
 
     documents: int = 500  # of each quality
-    lines: int = 50  # of each document
-    steps: int = 100
+    rounds: int = 6  # of expectation and maximisation
+    steps: int = 30  # in each round
     rate: float = 0.15
     penalty: float = 1e-3
+    share: float = 0.8  # of the words, in lines of the kind that the document's label names
+    weak: float = 3.0  # log-odds of the weak evidence about a line
+    segment: int = 64  # lines side by side; longer documents are cut into several sequences
 
 
 @dataclass
@@ -98,9 +104,9 @@ class Field:
             label[at - 1] = back[at, label[at]]
         return label
 
-    def likelihood(self, features: np.ndarray, labels: np.ndarray, mask: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Log-likelihood of padded sequences (documents x lines), and its gradients for emission and transition."""
-        score = features @ self.emission
+    def marginals(self, score: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Forward-backward sums of padded sequences with the line scores `score` (sequences x lines x labels): log of the
+        total of each sequence, probability of each line's label, and of each two neighbours' labels."""
         n, steps = mask.shape
         forward, backward = np.zeros((n, steps, 2)), np.zeros((n, steps, 2))
         forward[:, 0] = score[:, 0]
@@ -112,32 +118,79 @@ class Field:
             now = np.logaddexp(self.transition[:, 0] + ahead[:, :1], self.transition[:, 1] + ahead[:, 1:])
             backward[:, t] = np.where(mask[:, t + 1, None], now, 0.0)
         total = np.logaddexp(forward[:, -1, 0], forward[:, -1, 1])
-        share = np.exp(forward + backward - total[:, None, None]) * mask[:, :, None]
-        truth = np.eye(2)[labels] * mask[:, :, None]
+        one = np.exp(forward + backward - total[:, None, None]) * mask[:, :, None]
         pair = mask[:, 1:] & mask[:, :-1]
-        joint = np.exp(forward[:, :-1, :, None] + self.transition + (score + backward)[:, 1:, None, :] - total[:, None, None, None]) * pair[:, :, None, None]
-        seen = (truth[:, :-1, :, None] * truth[:, 1:, None, :]) * pair[:, :, None, None]
-        value = float((truth * score).sum() + (seen * self.transition).sum() - total.sum())
-        return value, np.einsum("ntf,ntl->fl", features, truth - share), (seen - joint).sum((0, 1))
+        two = np.exp(forward[:, :-1, :, None] + self.transition + (score + backward)[:, 1:, None, :] - total[:, None, None, None]) * pair[:, :, None, None]
+        return total, one, two
+
+    def likelihood(self, features: np.ndarray, one: np.ndarray, two: np.ndarray, mask: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Expected log-likelihood of padded sequences under label probabilities `one` of lines and `two` of neighbours (0 or 1 where
+        labels are known), and its gradients for emission and transition."""
+        score = features @ self.emission
+        total, share, joint = self.marginals(score, mask)
+        value = float((one * score).sum() + (two * self.transition).sum() - total.sum())
+        return value, np.einsum("ntf,ntl->fl", features, one - share), (two - joint).sum((0, 1))
+
+
+class Sequences:
+    """Documents cut into padded sequences of at most `segment` lines."""
+
+    def __init__(self, features: list[np.ndarray], labels: list[int], training: Training):
+        parts = [(d, x[i : i + training.segment]) for d, x in enumerate(features) for i in range(0, len(x), training.segment)]
+        steps = max(len(x) for _, x in parts)
+        self.document = np.array([d for d, _ in parts])
+        self.features = np.zeros((len(parts), steps, len(FEATURES)))
+        self.mask = np.zeros((len(parts), steps), bool)
+        for i, (_, x) in enumerate(parts):
+            self.features[i, : len(x)], self.mask[i, : len(x)] = x, True
+        self.labels = np.array(labels)
+        words = np.expm1(5 * self.features[:, :, FEATURES.index("words")]) * self.mask
+        total = np.bincount(self.document, words.sum(1), minlength=len(labels))
+        self.weight = words / np.maximum(total, 1)[self.document][:, None]  # each line's share of its document's words
+        repeated = self.features[:, :, FEATURES.index("repeated_line")] > 0
+        heavy = np.maximum(self.features[:, :, FEATURES.index("symbols")], self.features[:, :, FEATURES.index("bars")]) > 0.5
+        self.evidence = -training.weak * ((repeated | heavy) & self.mask)
+
+    def expected(self, field: Field, training: Training) -> tuple[np.ndarray, np.ndarray]:
+        """Label probabilities of lines and of neighbours, bent to the documents' labels."""
+        score = self.features @ field.emission
+        score[:, :, 1] += self.evidence
+        # How far each line moves with its document: long lines more, so that few of them can carry the share.
+        lean = self.weight * np.bincount(self.document, self.mask.sum(1), minlength=len(self.labels))[self.document][:, None]
+
+        def content(bend: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            bent = score.copy()
+            bent[:, :, 1] += lean * bend[self.document][:, None]
+            _, one, two = field.marginals(bent, self.mask)
+            return np.bincount(self.document, (one[:, :, 1] * self.weight).sum(1), minlength=len(self.labels)), one, two
+
+        good = self.labels == 1
+        share, one, two = content(np.zeros(len(self.labels)))
+        short = np.where(good, share < training.share, share > 1 - training.share)
+        low, high = np.where(good, 0.0, -30.0), np.where(good, 30.0, 0.0)
+        for _ in range(12):
+            middle = (low + high) / 2
+            share, one, two = content(np.where(short, middle, 0.0))
+            over = share > np.where(good, training.share, 1 - training.share)
+            low, high = np.where(over, low, middle), np.where(over, middle, high)
+        return one, two
 
 
 def fit(features: list[np.ndarray], labels: list[int], training: Training) -> Field:
-    """Gradient steps (with running means of the gradients and their squares) on documents whose lines share one label."""
-    steps = max(len(x) for x in features)
-    dense = np.zeros((len(features), steps, len(FEATURES)))
-    mask = np.zeros((len(features), steps), bool)
-    for i, x in enumerate(features):
-        dense[i, : len(x)], mask[i, : len(x)] = x, True
-    truth = np.repeat(np.array(labels)[:, None], steps, 1)
-    field = Field(np.zeros((len(FEATURES), 2)), np.zeros((2, 2)))
-    mean, square, count = np.zeros(len(FEATURES) * 2 + 4), np.zeros(len(FEATURES) * 2 + 4), mask.sum()
-    for step in range(1, training.steps + 1):
-        _, emission, transition = field.likelihood(dense, truth, mask)
-        weights = np.concatenate([field.emission.ravel(), field.transition.ravel()])
-        gradient = np.concatenate([emission.ravel(), transition.ravel()]) / count - training.penalty * weights
-        mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
-        weights += training.rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-        field = Field(weights[:-4].reshape(-1, 2), weights[-4:].reshape(2, 2))
+    """Rounds of expected line labels and of gradient steps (with running means of the gradients and their squares)."""
+    rows = Sequences(features, labels, training)
+    weights = np.zeros(len(FEATURES) * 2 + 4)
+    field = Field(weights[:-4].reshape(-1, 2), weights[-4:].reshape(2, 2))
+    count = rows.mask.sum()
+    for _ in range(training.rounds):
+        one, two = rows.expected(field, training)
+        mean, square = np.zeros_like(weights), np.zeros_like(weights)
+        for step in range(1, training.steps + 1):
+            _, emission, transition = field.likelihood(rows.features, one, two, rows.mask)
+            gradient = np.concatenate([emission.ravel(), transition.ravel()]) / count - training.penalty * weights
+            mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
+            weights = weights + training.rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+            field = Field(weights[:-4].reshape(-1, 2), weights[-4:].reshape(2, 2))
     return field
 
 
@@ -217,7 +270,7 @@ def trained(docs: DataFrame, labels: DataFrame, training: Training | None = None
         for batch in batches:
             for a, b, data, offsets in slices(batch.column("text")):
                 m = Measured(data, offsets)
-                lists = [m.features[i : min(j, i + training.lines)].ravel() for i, j in zip(m.first[:-1].tolist(), m.first[1:].tolist(), strict=True)]
+                lists = [m.features[i:j].ravel() for i, j in zip(m.first[:-1].tolist(), m.first[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("doc_id", "quality")), pa.array(lists, pa.list_(pa.float64()))], names=["doc_id", "quality", "features"])
 
     rows = sample.mapInArrow(measure, "doc_id long, quality int, features array<double>").where("size(features) > 0").collect()

@@ -56,7 +56,9 @@ def test_likelihood_and_gradient():
     x = rng.normal(size=(3, 4, len(quality.FEATURES)))
     mask = np.arange(4) < np.array([4, 2, 1])[:, None]
     labels = rng.integers(0, 2, (3, 4))
-    value, emission, transition = field.likelihood(x, labels, mask)
+    one = np.eye(2)[labels] * mask[:, :, None]
+    two = one[:, :-1, :, None] * one[:, 1:, None, :]
+    value, emission, transition = field.likelihood(x, one, two, mask)
     total = 0.0
     for d in range(3):
         n = int(mask[d].sum())
@@ -68,7 +70,7 @@ def test_likelihood_and_gradient():
         moved = getattr(field, name).copy()
         moved[1, 1] += 1e-6
         near = Field(**{"emission": field.emission, "transition": field.transition, name: moved})
-        assert (near.likelihood(x, labels, mask)[0] - value) / 1e-6 == pytest.approx(gradient[1, 1], abs=1e-3)
+        assert (near.likelihood(x, one, two, mask)[0] - value) / 1e-6 == pytest.approx(gradient[1, 1], abs=1e-3)
 
 
 def test_trained_field_tells_junk_from_prose(spark, frame):
@@ -86,6 +88,62 @@ def test_trained_field_tells_junk_from_prose(spark, frame):
     assert (quality.trained(docs, labels.limit(0)).emission == Field.untrained().emission).all()
 
 
+def test_marginals_are_sums_over_all_sequences():
+    rng = np.random.default_rng(4)
+    field = Field(np.zeros((len(quality.FEATURES), 2)), rng.normal(size=(2, 2)))
+    score, mask = rng.normal(size=(2, 4, 2)), np.arange(4) < np.array([4, 3])[:, None]
+    total, one, two = field.marginals(score, mask)
+    for d, n in enumerate((4, 3)):
+        weight = {y: np.exp(sum(score[d, i, v] for i, v in enumerate(y)) + sum(field.transition[p, q] for p, q in itertools.pairwise(y))) for y in itertools.product((0, 1), repeat=n)}
+        assert np.exp(total[d]) == pytest.approx(sum(weight.values()))
+        for i in range(n):
+            assert one[d, i, 1] == pytest.approx(sum(w for y, w in weight.items() if y[i]) / sum(weight.values()))
+        for i in range(n - 1):
+            assert two[d, i, 1, 0] == pytest.approx(sum(w for y, w in weight.items() if y[i : i + 2] == (1, 0)) / sum(weight.values()))
+    assert not one[1, 3].any() and not two[1, 2].any()
+
+
+def _lines(rng, junk):
+    word = lambda: "".join(rng.choice(list("aeinorst"), rng.integers(2, 9)))
+    if junk:
+        return " ".join(word() + str(rng.choice(["***", "###", "|"])) for _ in range(12))
+    return " ".join(word() for _ in range(12)).capitalize() + "."
+
+
+def _measured(texts):
+    import pyarrow as pa
+
+    (_, _, data, offsets), = slices(pa.array(texts), 10**9)
+    return Measured(data, offsets)
+
+
+def test_lines_of_a_mixed_document_are_told_apart():
+    """Documents carry one label, and none is of one kind; still every line gets its own, also past the first segment."""
+    rng = np.random.default_rng(5)
+    kinds = [[bool(rng.random() < (0.15 if good else 0.85)) for _ in range(20)] for good in (1, 0) * 40]
+    training = quality.Training(segment=8)
+    m = _measured(["\n".join(_lines(rng, j) for j in k) for k in kinds])
+    features = [m.features[a:b] for a, b in itertools.pairwise(m.first.tolist())]
+    field = quality.fit(features, [1, 0] * 40, training)
+    mixed = [[False] * 40 + [True] * 30 + [False] * 10, [True] * 9 + [False] * 3, [False] * 3 + [True]]
+    m = _measured(["\n".join(_lines(rng, j) for j in k) for k in mixed])
+    labels = field.viterbi(m.features, m.first)
+    assert (labels == ~np.concatenate(mixed)).mean() > 0.97
+    share = m.content_share(field)
+    assert share == pytest.approx([50 / 80, 3 / 12, 3 / 4], abs=0.05)
+
+
+def test_expected_labels_keep_to_the_document():
+    rng = np.random.default_rng(6)
+    m = _measured(["\n".join(_lines(rng, bool(rng.random() < 0.5)) for _ in range(30)) for _ in range(10)])
+    features = [m.features[a:b] for a, b in itertools.pairwise(m.first.tolist())]
+    training = quality.Training(segment=7)
+    rows = quality.Sequences(features, [1, 0] * 5, training)
+    one, _ = rows.expected(Field(rng.normal(size=(len(quality.FEATURES), 2)), rng.normal(size=(2, 2))), training)
+    share = np.bincount(rows.document, (one[:, :, 1] * rows.weight).sum(1))
+    assert (share[::2] > training.share - 0.01).all() and (share[1::2] < 1 - training.share + 0.01).all()
+
+
 def test_slices_do_not_change_counts():
     import pyarrow as pa
 
