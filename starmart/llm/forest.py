@@ -1,10 +1,10 @@
-"""N-gram Jaccard join by a MinHash LSH forest, with exact verification of every candidate.
+"""N-gram Jaccard join by banded MinHash, the fixed-depth form of an LSH forest, with exact verification of every candidate.
 
 Documents are sets of word shingles (`[^\\x20\\x09-\\x0D]+`, five words, unchanged; a document of fewer words, but not none,
 is one shingle). Two documents are linked if the Jaccard similarity of their sets is `threshold` or more. Documents with equal
-sets are one node. Every node has a signature per tree; a tree is the sorted trie of its signatures, and nodes that share a
-prefix are a bucket. Prefixes start at `depth` values and are shortened until the expected recall at the threshold,
-1 - (1 - threshold**k)**trees, reaches `recall`.
+sets are one node. Every node has a signature per tree. The depth at which a forest would stop shortening its prefixes follows from threshold, recall
+and number of trees alone: the longest k, from `depth` down, with 1 - (1 - threshold**k)**trees at `recall` or more. So no trie is
+built, and prefixes do not adapt to what they matched: nodes that share the first k values of a tree are a bucket.
 
 Buckets never emit pairs. Each points its members at its smallest node; sketches of the signatures tell how close they are.
 Members about as close as 0.4 join the centre's family, those about 0.6 or closer are done with this bucket (whatever they
