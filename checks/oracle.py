@@ -365,6 +365,12 @@ SELECT {fact} FROM factsalesperformance f WHERE opportunityid NOT IN (SELECT opp
 }
 #: However a change log is cut into runs, they end as one; so do both ways of trying rejects again.
 QUERIES |= {name: QUERIES["changelog_load"] for name in ("changelog_ties", "changelog_cuts", "stream_changelog")}
+QUERIES |= {"asof_merge_half_open": QUERIES["asof_half_open"], "asof_merge_closed": QUERIES["asof_closed"], "ranged_facts": QUERIES["initial_load"]}
+QUERIES["asof_many_versions"] = """
+SELECT f.opportunityid, f.productid % 7 AS productid, f.eventdate, v.productsk AS productkey FROM factsource f LEFT JOIN (
+  SELECT *, lead(lo) OVER (PARTITION BY k ORDER BY lo) AS nxt, CASE WHEN productsk % 3 = 0 THEN lo + 4 END AS hi
+  FROM (SELECT o_custkey % 5 AS k, CAST(o_orderdate AS DATE) AS lo, min(o_orderkey) AS productsk FROM orders GROUP BY ALL)) v
+  ON v.k = f.productid % 7 AND f.eventdate >= v.lo AND (v.nxt IS NULL OR f.eventdate < v.nxt) AND (v.hi IS NULL OR f.eventdate <= v.hi)"""
 QUERIES["rejects_replayed_all"] = QUERIES["rejects_replayed"]
 QUERIES["load_checks"] += "".join(f"""
   UNION ALL SELECT '{check}', '{table}', count(*) FROM (SELECT 1 FROM {table} GROUP BY {key} HAVING {test}) x""" for check, table, key, test in (

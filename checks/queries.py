@@ -22,6 +22,7 @@ from starmart.operators.resolve import (
     KEY_FLAGS,
     Dimensions,
     as_of_join,
+    as_of_merge,
     fact_columns,
     replay_rejects,
     resolve_keys,
@@ -207,6 +208,32 @@ def asof_closed(s: Sample) -> DataFrame:
     return _as_of(s, "closed")
 
 
+def _as_of_merge(s: Sample, bounds: str) -> DataFrame:
+    facts = s.factsource.select("opportunityid", "productid", "eventdate")
+    return as_of_merge(facts, _versions(s), bounds, how="inner")
+
+
+@query
+def asof_merge_half_open(s: Sample) -> DataFrame:
+    """Points in time by one ordered pass over facts and versions."""
+    return _as_of_merge(s, "half_open")
+
+
+@query
+def asof_merge_closed(s: Sample) -> DataFrame:
+    return _as_of_merge(s, "closed")
+
+
+@query
+def asof_many_versions(s: Sample) -> DataFrame:
+    """Orders as versions of their day's priority: keys with thousands of versions, met by the deals' event dates."""
+    day = F.col("o_orderdate").cast("date")
+    firsts = s.raw("orders").groupBy((F.col("o_custkey") % 5).alias("productid"), day.alias("validfrom")).agg(F.min("o_orderkey").alias("productsk"))
+    versions = firsts.select("productsk", "productid", "validfrom", F.when(F.col("productsk") % 3 == 0, F.date_add("validfrom", 4)).alias("validto"))
+    facts = s.factsource.select("opportunityid", (F.col("productid") % 7).alias("productid"), "eventdate")
+    return as_of_merge(facts, versions, "closed")
+
+
 @query
 def fact_resolved_as_of(s: Sample) -> DataFrame:
     """Incremental resolution with half-open bounds and the natural product key."""
@@ -693,6 +720,14 @@ def archive_then_incremental(s: Sample) -> DataFrame:
     return kept.unionByName(wh.table("factsarchive").select(*columns, F.lit("archived").alias("part")))
 
 
+@query
+def ranged_facts(s: Sample) -> DataFrame:
+    """The facts of a full load written in four ranges of the opportunity."""
+    wh = Warehouse(s.spark, shared_folder(s.spark))
+    initial_load(s.source(), wh, "2024-02-01T00:00:00", options=LoadOptions(fact_ranges=4))
+    return wh.table("factsalesperformance").drop("updated_at")
+
+
 @query
 def ranged_load(s: Sample) -> DataFrame:
     """Accounts loaded range by range; a later attempt writes only the ranges that no attempt with the same edges did."""

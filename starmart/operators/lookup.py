@@ -83,28 +83,43 @@ def hot_keys(df: DataFrame, key: str, slice_rows: int) -> DataFrame:
     )
 
 
-def _sliced_join(
-    probe: DataFrame,
-    table: DataFrame,
-    key: str,
-    table_key: str,
-    condition: Callable[[], Column] | None,
-    how: str,
-    hot: DataFrame,
-) -> DataFrame:
+def with_slices(probe: DataFrame, key: str, table: DataFrame, table_key: str, slice_rows: int, key_source: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column ``_slice``, so that (key, slice) deals hot keys to several tasks: each row of ``probe`` is in one slice of
+    its key, each of ``table`` in all of them."""
+    hot = hot_keys(probe if key_source is None else key_source, key, slice_rows)
+    return _probe_slices(probe, key, hot), _table_slices(table, table_key, hot)
+
+
+def _probe_slices(probe: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     row_hash = F.xxhash64(*[F.col(c) for c in probe.columns])
     # A NULL key matches nothing, so its rows may go to any slice.
     slices = F.when(F.col(key).isNull(), F.lit(1024)).otherwise(F.coalesce(F.col("_slices"), F.lit(1)))
-    left = (
+    return (
         probe.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
         .withColumn("_slice", F.pmod(row_hash, slices).cast("int"))
         .drop("_hot_key", "_slices")
     )
-    right = (
-        table.join(F.broadcast(hot), F.col(table_key) == F.col("_hot_key"), "left")
-        .withColumn("_table_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
+
+
+def _table_slices(table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    return (
+        table.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
         .drop("_hot_key", "_slices")
     )
+
+
+def _sliced_join(
+    probe: DataFrame,
+    table: DataFrame,
+    key: str,
+    table_key: str,
+    condition: Callable[[], Column] | None,
+    how: str,
+    hot: DataFrame,
+) -> DataFrame:
+    left = _probe_slices(probe, key, hot)
+    right = _table_slices(table, table_key, hot).withColumnRenamed("_slice", "_table_slice")
     on = (F.col(key) == F.col(table_key)) & (F.col("_slice") == F.col("_table_slice"))
     if condition is not None:
         on = on & condition()

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.operators.lookup import BROADCAST_BYTES, SLICE_ROWS, lookup, table_rows
+from starmart.operators.lookup import BROADCAST_BYTES, SLICE_ROWS, lookup, table_rows, with_slices
 from starmart.schemas import FACT_COLUMNS
 
 KEY_FLAGS = {
@@ -141,6 +141,35 @@ def as_of_join(
     ).drop("_p_from", "_p_until")
 
 
+def as_of_merge(
+    facts: DataFrame,
+    product: DataFrame,
+    bounds: str = "closed",
+    emit: str = "sk",
+    how: str = "left",
+    slice_rows: int = SLICE_ROWS,
+    key_source: DataFrame | None = None,
+) -> DataFrame:
+    """``as_of_join`` by one ordered pass, for dimensions with many versions of a key.
+
+    The equi-join compares every fact with every version of its product.  Here facts and versions are unioned, ordered
+    by product and day, and the last version is carried forward, so the cost is one sort of both, whatever the number of versions.  A
+    product with more than ``slice_rows`` facts is dealt to several tasks, each with all its versions.
+    """
+    ranges = version_ranges(product, bounds)
+    key = F.col("_p_sk") if emit == "sk" else F.col("_p_id")
+    versions = ranges.select(F.col("_p_id"), F.col("_p_from").alias("_day"), F.struct(key.alias("key"), F.col("_p_until").alias("until")).alias("_version"))
+    events, versions = with_slices(facts, "productid", versions, "_p_id", slice_rows, key_source)
+    both = events.select("*", F.col("eventdate").alias("_day"), F.lit(1).alias("_rank")).unionByName(
+        versions.withColumnRenamed("_p_id", "productid").withColumn("_rank", F.lit(0)), allowMissingColumns=True)
+    # On one day a version comes before the facts; facts without a day come before all versions.
+    ordered = Window.partitionBy("productid", "_slice").orderBy(F.asc_nulls_first("_day"), "_rank").rowsBetween(Window.unboundedPreceding, 0)
+    held = both.withColumn("_held", F.last("_version", ignorenulls=True).over(ordered)).filter("_rank = 1")
+    valid = F.col("productid").isNotNull() & (F.col("_held.until").isNull() | (F.col("eventdate") < F.col("_held.until")))
+    out = held.withColumn("productkey", F.when(valid, F.col("_held.key"))).select(*facts.columns, "productkey")
+    return out if how == "left" else out.filter(F.col("productkey").isNotNull())
+
+
 def resolve_keys(
     shaped: DataFrame,
     dims: Dimensions,

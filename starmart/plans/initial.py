@@ -17,6 +17,7 @@ from starmart.operators.resolve import Dimensions, Resolved, resolve_keys
 from starmart.operators.scd import scd2_initialize
 from starmart.plans.options import LoadOptions, batch_name, logged, utc
 from starmart.schemas import STORED_FACT, WAREHOUSE_DDL, schema_of
+from starmart.sources.readers import text_edges
 from starmart.sources.warehouse import MARKED_TABLES, NO_MARK, Entry, Warehouse
 
 FACT = "factsalesperformance"
@@ -95,10 +96,18 @@ def initial_load(
         # The pipeline is resolved once; facts and rejects are taken from the result.
         resolved = Resolved(wh.stage("resolved", flagged))
         first = first_per_key(resolved.facts, "opportunityid", first_order())
-        done |= wh.write_all({FACT: with_month(first.select(*STORED_FACT)), "factrejects": resolved.rejects}, batch)
-        done[FACT] = replace(done[FACT], rows_read=seen["rows"], rows_rejected=done["factrejects"].rows_written, message=left_out(seen["unusable"]))
+        facts = with_month(first.select(*STORED_FACT))
+        if options.fact_ranges > 1:
+            edges = text_edges(resolved.facts, "opportunityid", options.fact_ranges)
+            parts = wh.write_in_ranges(FACT, facts, batch, run_ts, "opportunityid", edges)
+            done["factrejects"] = wh.write("factrejects", resolved.rejects, batch)
+        else:
+            done |= wh.write_all({FACT: facts, "factrejects": resolved.rejects}, batch)
+            parts = [done.pop(FACT)]
+        # The first line carries the counts of the whole load.
+        parts[0] = replace(parts[0], rows_read=seen["rows"], rows_rejected=done["factrejects"].rows_written, message=left_out(seen["unusable"]))
         monthly = monthly_sales(
-            wh.read(FACT, [done[FACT]]),
+            wh.read(FACT, parts),
             loaded.date,
             loaded.agent,
             loaded.rows["agent"],
@@ -111,6 +120,6 @@ def initial_load(
         states = [Entry(t, "reset") for t in SIDE_TABLES if wh.live(t)]
         if wh.last_change("salespipeline") != NO_MARK:
             marks["changes:salespipeline"] = NO_MARK
-        wh.commit(batch, run_ts, [*done.values(), *states], marks)
+        wh.commit(batch, run_ts, [*done.values(), *parts, *states], marks)
         if options.validate:
             wh.note_checks(batch, run_ts, validate_warehouse(wh.tables(), options.max_broadcast, {n: wh.rows(n) for n in WAREHOUSE_DDL}))

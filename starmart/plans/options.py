@@ -22,6 +22,8 @@ class LoadOptions:
     first_version_from: start of the first version of a new product; ``run_date`` for the run's day
     marks_after_full: ``reset`` rereads everything in the next incremental run, ``run_ts`` does not
     overlap_seconds: read this much before the mark again, for rows committed late at the source
+    fact_ranges: write the facts of a full load in so many ranges of the opportunity, each noted in the log; a load that is cut
+        short and run again with the same ``run_ts`` writes only the ranges that are missing
     replay: rejects tried again in a run, ``arrived``: those that wait for a key which a dimension gained | ``all``
     validate: check the tables after each load and note the violations in the load log
     max_broadcast: most bytes of one broadcast; slice_rows: most rows of one key for a task
@@ -33,6 +35,7 @@ class LoadOptions:
     first_version_from: str = BEGINNING
     marks_after_full: str = "reset"
     overlap_seconds: int = 0
+    fact_ranges: int = 1
     replay: str = "arrived"
     validate: bool = True
     max_broadcast: int = BROADCAST_BYTES

@@ -70,6 +70,24 @@ def key_range(df: DataFrame, key: str, low: int | None, high: int | None) -> Dat
     return df
 
 
+#: Most keys that text ranges are cut by.
+SAMPLED_KEYS = 10_000
+
+
+def text_edges(df: DataFrame, key: str, ranges: int, sample: int = SAMPLED_KEYS) -> list[tuple[str | None, str | None]]:
+    """Split a text key into ``ranges`` consecutive ``(low, high]`` ranges of similar numbers of keys.
+
+    The cuts are quantiles of the ``sample`` keys whose hashes are lowest: a fair sample of the distinct keys, of
+    bounded size, and the same in every attempt.  The ends are open, so the ranges cover every key.
+    """
+    if ranges < 2:
+        return [(None, None)]
+    picked = df.filter(F.col(key).isNotNull()).select(key).distinct().orderBy(F.xxhash64(key), key).limit(sample)
+    keys = sorted((r[0] for r in picked.collect()), key=lambda k: k.encode())  # as Spark compares texts: byte by byte
+    inner = list(dict.fromkeys(keys[i * len(keys) // ranges - 1] for i in range(1, ranges) if i * len(keys) // ranges))
+    return list(zip([None, *inner], [*inner, None]))
+
+
 def range_edges(df: DataFrame, key: str, ranges: int) -> list[tuple[int | None, int | None]]:
     """Split a numeric key into ``ranges`` consecutive ``(low, high]`` ranges of similar row counts.
 

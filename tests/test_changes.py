@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -10,12 +11,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.operators.quality import validate_warehouse
-from starmart.operators.resolve import mark_retries
+from starmart.operators.resolve import as_of_join, as_of_merge, mark_retries
 from starmart.operators.scd import scd2_apply, scd2_changes
 from starmart.plans import LoadOptions, apply_dimension_changes, apply_pipeline_changes, archive_facts, fold_changes, incremental_load, initial_load
 from starmart.plans import incremental as incremental_plan
 from starmart.schemas import SOURCE_DDL, schema_of
-from starmart.sources.readers import read_source
+from starmart.sources.readers import key_range, read_source, text_edges
 from starmart.sources.warehouse import Warehouse
 from starmart.streaming.incremental import Dedup, file_stream, stream_changes
 
@@ -219,3 +220,54 @@ def test_dedup_leaves_columns_and_types(spark, tmp_path):
     found = []
     stream.writeStream.foreachBatch(lambda df, _: found.append(df.count())).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
     assert sum(found) == 1
+
+
+def test_a_full_load_in_ranges_goes_on_where_it_was_cut_short(spark, src, tmp_path, monkeypatch):
+    options = LoadOptions(fact_ranges=3, validate=False)
+    wh, wrote = Warehouse(spark, str(tmp_path / "ranged")), []
+    real = Warehouse.write
+
+    def write(self, name, df, batch, *a, **k):
+        if name == "factsalesperformance":
+            wrote.append(batch)
+            if len(wrote) == 2:
+                raise RuntimeError("cut short")
+        return real(self, name, df, batch, *a, **k)
+
+    monkeypatch.setattr(Warehouse, "write", write)
+    with pytest.raises(RuntimeError):
+        initial_load(src, wh, RUN1, options=options)
+    assert wh.table("factsalesperformance").count() == 0
+    initial_load(src, wh, RUN1, options=options)
+    assert values(wh) == {"A": "1.00", "B": "2.00"} and len(wrote) == len(set(wrote)) + 1 and wrote.count(wrote[0]) == 1
+
+
+def test_text_edges(spark):
+    keys = spark.createDataFrame([(f"{i % 50:03d}",) for i in range(200)] + [("é",), (None,)], "k STRING")
+    edges = text_edges(keys, "k", 4)
+    assert edges[0][0] is None and edges[-1][1] is None and [a[1] for a in edges[:-1]] == [b[0] for b in edges[1:]]
+    sizes = [key_range(keys, "k", low, high).count() for low, high in edges]
+    assert sum(sizes) == 202 and min(sizes) > 30
+    assert text_edges(keys.limit(0), "k", 4) == [(None, None)] == text_edges(keys, "k", 1)
+    assert len(text_edges(keys, "k", 4, sample=5)) == 4
+
+
+@pytest.mark.parametrize("bounds", ["closed", "half_open"])
+@pytest.mark.parametrize("slice_rows", [3, 10**6])
+def test_the_merge_finds_what_the_join_finds(spark, bounds, slice_rows):
+    rng = random.Random(7)
+    start = date(2020, 1, 1)
+    versions, sk = [], 0
+    for product in range(4):
+        for day in sorted(rng.sample(range(600), 200)):
+            sk += 1
+            end = start + timedelta(day + rng.randrange(4)) if rng.random() < 0.7 else None
+            versions.append((sk, product, start + timedelta(day), end))
+    dim = spark.createDataFrame(versions, "productsk BIGINT, productid BIGINT, validfrom DATE, validto DATE")
+    facts = [(str(i), rng.choice([0, 0, 0, 1, 2, 3, 9, None]), start + timedelta(rng.randrange(-5, 610)) if rng.random() < 0.95 else None) for i in range(400)]
+    deals = spark.createDataFrame(facts, "opportunityid STRING, productid BIGINT, eventdate DATE")
+    for emit in ("sk", "natural"):
+        for how in ("left", "inner"):
+            joined = as_of_join(deals, dim, len(versions), bounds, emit, how)
+            merged = as_of_merge(deals, dim, bounds, emit, how, slice_rows)
+            assert merged.columns == joined.columns and sorted(map(str, merged.collect())) == sorted(map(str, joined.collect()))
