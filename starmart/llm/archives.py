@@ -1,7 +1,7 @@
 """WARC: a converter of legacy ARC archives, with writers and readers of both forms.
 
 All archives are written by Spark's text writer and read by its binary-file reader, so they lie wherever Spark can
-write; nothing opens a path by itself. A file is a gzip stream of records packed up to PACK_CHARS characters, so no file grows
+write; nothing opens a path by itself. A file is a gzip stream of records packed up to PACK_BYTES bytes, so no file grows
 with the table; a longer record stands alone. Records are found by their headers' declared lengths, never by searching.
 
 ARC, versions 1 and 2, as published: each file starts with a `filedesc:` record whose block declares the version and
@@ -12,7 +12,9 @@ WARC-Payload-Digest and WARC-Block-Digest as base32 SHA-1, and the HTTP header w
 Of records with equal payloads the one with the largest page id stays a response; the others become revisits
 without payload, which keep the digest, the full payload's length and the response they refer to.
 
-Payloads are UTF-8, as the text writer's values are; an archive with other bytes is refused with an error, never altered.
+Payloads and HTTP headers are bytes all the way: columns of them are BINARY, and the text writer gets them as a cast, which copies bytes as they
+are. So images and pages in old encodings keep every byte; block and payload digests are checked when a WARC file is read. In a
+header line, bytes that are no UTF-8 are percent-encoded, as a target URI wants them.
 
 Defined results: a null html is an empty payload; a null URL is written as `urn:page:<id>`; blanks and controls in a URL are
 percent-encoded; repeated page ids with equal payloads: all rows that hold the largest id are responses; a null
@@ -22,6 +24,7 @@ page id is written and read as null, and counts as smaller than any other.
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import uuid
 import zlib
@@ -34,8 +37,8 @@ from pyspark.sql import types as T
 
 from starmart.llm.storage import new_path, stored
 
-#: Characters from which a packed archive is closed; one longer page makes one longer file.
-PACK_CHARS = 8_000_000
+#: Bytes from which a packed archive is closed; one longer page makes one longer file.
+PACK_BYTES = 8_000_000
 #: The archives' compression. Its fastest level takes a third of the time of the usual one and gives files a fifth larger.
 GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
@@ -47,11 +50,19 @@ ARC_FIELDS = {
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:arc")
 _ARC_ROW = T.StructType([
     T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("archive_date", T.StringType()), T.StructField("content_type", T.StringType()),
-    T.StructField("ip", T.StringType()), T.StructField("header_line", T.StringType()), T.StructField("http_header", T.StringType()), T.StructField("payload", T.StringType()),
+    T.StructField("ip", T.StringType()), T.StructField("header_line", T.StringType()), T.StructField("http_header", T.BinaryType()), T.StructField("payload", T.BinaryType()),
     T.StructField("payload_bytes", T.LongType()), T.StructField("payload_digest", T.StringType()), T.StructField("block_digest", T.StringType()),
 ])
 
 
+def _percent(error: UnicodeError) -> tuple[str, int]:
+    """Bytes that are no UTF-8, percent-encoded."""
+    return "".join(f"%{b:02X}" for b in error.object[error.start : error.end]), error.end
+
+
+codecs.register_error("percent", _percent)
+
+
 def base32_sha1(raw: bytes) -> str:
     return base64.b32encode(hashlib.sha1(raw).digest()).decode()
 
@@ -59,19 +70,17 @@ def base32_sha1(raw: bytes) -> str:
 # --- ARC
 
 
-def _arc_record(version: str, url: str, date: str, page_id: int | None, html: str) -> str:
+def _arc_record(version: str, url: str, date: str, page_id: int | None, body: bytes) -> bytes:
     """One ARC record: header line, HTTP response, no line end."""
-    body = html.encode()
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n" + (f"X-Page-Id: {page_id}\r\n" if page_id is not None else "") + "\r\n"
-    length = len(http) + len(body)
     more = f" 200 {base32_sha1(body)} - 0 pages.arc" if version == "2" else ""
-    return f"{url} 192.0.2.1 {date} text/html{more} {length}\n{http}{html}"
+    return f"{url} 192.0.2.1 {date} text/html{more} {len(http) + len(body)}\n{http}".encode() + body
 
 
-def _filedesc(version: str, date: str) -> str:
+def _filedesc(version: str, date: str) -> bytes:
     block = f"{version} 0 starmart\n{ARC_FIELDS[version]}\n"
     more = " 200 - - 0 pages.arc" if version == "2" else ""
-    return f"filedesc://pages.arc 0.0.0.0 {date} text/plain{more} {len(block)}\n{block}"
+    return f"filedesc://pages.arc 0.0.0.0 {date} text/plain{more} {len(block)}\n{block}".encode()
 
 
 def _safe_url(url: str | None, page_id: int | None) -> str:
@@ -81,23 +90,31 @@ def _safe_url(url: str | None, page_id: int | None) -> str:
 
 
 def write_arc(pages: DataFrame, path: str, version: str = "1", date: str = "20240229120000") -> None:
-    """Write page rows (page_id, url, html) as gzipped ARC files below `path`. Each file starts with its filedesc record,
+    """Write page rows (page_id, url, html as text or bytes) as gzipped ARC files below `path`. Each file starts with its filedesc record,
     because the rows of a file are first packed into one value per file."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             records, size = [_filedesc(version, date)], 0
             for page_id, url, html in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                records.append(_arc_record(version, _safe_url(url, page_id), date, page_id, html or ""))
+                records.append(_arc_record(version, _safe_url(url, page_id), date, page_id, html.encode() if isinstance(html, str) else html or b""))
                 size += len(records[-1])
-                if size > PACK_CHARS:
-                    yield pa.RecordBatch.from_arrays([pa.array(["\n".join(records)])], names=["value"])
+                if size > PACK_BYTES:
+                    yield _value(records)
                     records, size = [_filedesc(version, date)], 0
             if len(records) > 1:
-                yield pa.RecordBatch.from_arrays([pa.array(["\n".join(records)])], names=["value"])
+                yield _value(records)
+
+    _write(pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(pack, "value binary"), path)
+
+
+def _value(records: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([b"\n".join(records)], pa.binary())], names=["value"])
+
 
-    packed = pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(pack, "value string")
-    packed.write.options(maxRecordsPerFile=1, **GZIP).text(path)
+def _write(packed: DataFrame, path: str) -> None:
+    """A file for each value, with a line end after it. The cast copies the bytes, valid as text or not."""
+    packed.select(F.col("value").cast("string")).write.options(maxRecordsPerFile=1, lineSep="\n", **GZIP).text(path)
 
 
 def _inflated(raw: bytes) -> bytes:
@@ -124,7 +141,7 @@ def arc_records(raw: bytes) -> Iterator[tuple[dict[str, str], str, bytes]]:
         end = raw.find(b"\n", at)
         if end < 0:
             raise ValueError(f"header line without end at byte {at}")
-        line = raw[at:end].rstrip(b"\r").decode("utf-8", "replace")
+        line = raw[at:end].rstrip(b"\r").decode("utf-8", "percent")
         parts = line.split(" ")
         if not parts[-1].isdigit():
             raise ValueError(f"header line without a length at byte {at}: {line[:200]!r}")
@@ -173,8 +190,8 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
             for fields, line, block in arc_records(_inflated(raw)):
                 http, body = _split_http(block)
                 rows.append((
-                    _number(_header(http, "X-Page-Id")), fields["URL"], fields["Archive-date"], fields["Content-type"], fields["IP-address"], line, http.decode("utf-8", "replace"),
-                    body.decode(), len(body), base32_sha1(body), base32_sha1(block)))
+                    _number(_header(http, "X-Page-Id")), fields["URL"], fields["Archive-date"], fields["Content-type"], fields["IP-address"], line, http,
+                    body, len(body), base32_sha1(body), base32_sha1(block)))
                 if len(rows) == 500:
                     yield _batch(rows, _ARC_ROW)
                     rows = []
@@ -189,7 +206,7 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
-    kinds = {"bigint": pa.int64(), "string": pa.string()}
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array(x, kinds[f.dataType.simpleString()]) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], names=schema.names)
 
 
@@ -230,22 +247,22 @@ def write_warc(records: DataFrame, path: str) -> None:
                 head = [
                     "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Target-URI: {r['url']}", f"WARC-Date: {_warc_date(r['archive_date'])}",
                     f"WARC-Record-ID: <{_record_id(line, r['payload_digest'])}>", f"WARC-IP-Address: {r['ip']}",
-                    f"WARC-Payload-Digest: sha1:{r['payload_digest']}", f"WARC-Block-Digest: sha1:{base32_sha1(block.encode()) if revisit else r['block_digest']}",
+                    f"WARC-Payload-Digest: sha1:{r['payload_digest']}", f"WARC-Block-Digest: sha1:{base32_sha1(block) if revisit else r['block_digest']}",
                     f"Content-Type: {'application/http; msgtype=response' if http else r['content_type']}",
                 ]
                 if revisit:
                     head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <{_record_id(r['winner_line'], r['payload_digest'])}>", f"WARC-Refers-To-Page: {r['winner']}"]
-                head.append(f"Content-Length: {len(block.encode())}")
-                out.append("\r\n".join(head) + "\r\n\r\n" + block + "\r\n\r")
+                head.append(f"Content-Length: {len(block)}")
+                out.append("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r")
                 size += len(out[-1])
-                if size > PACK_CHARS:
-                    yield pa.RecordBatch.from_arrays([pa.array(["\n".join(out)])], names=["value"])
+                if size > PACK_BYTES:
+                    yield _value(out)
                     out, size = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(["\n".join(out)])], names=["value"])
+                yield _value(out)
 
-    made = records.select("page_id", "winner", "winner_line", "url", "archive_date", "ip", "content_type", "header_line", "http_header", "payload", "payload_digest", "block_digest").mapInArrow(convert, "value string")
-    made.write.options(maxRecordsPerFile=1, lineSep="\n", **GZIP).text(path)
+    made = records.select("page_id", "winner", "winner_line", "url", "archive_date", "ip", "content_type", "header_line", "http_header", "payload", "payload_digest", "block_digest").mapInArrow(convert, "value binary")
+    _write(made, path)
 
 
 def warc_records(raw: bytes) -> Iterator[tuple[str, bytes]]:
@@ -282,6 +299,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 kind, digest = _header(head, "WARC-Type"), _header(head, "WARC-Payload-Digest").removeprefix("sha1:")
                 if kind != "revisit" and base32_sha1(body) != digest:
                     raise ValueError(f"payload of {_header(head, 'WARC-Record-ID')} does not have its digest")
+                if base32_sha1(block) != (_header(head, "WARC-Block-Digest") or "").removeprefix("sha1:"):
+                    raise ValueError(f"block of {_header(head, 'WARC-Record-ID')} does not have its digest")
                 size = int(_header(http, "Content-Length") or 0) if kind == "revisit" else len(body)
                 rows.append((
                     _number(_header(http, "X-Page-Id")), size, digest, kind, _number(_header(head, "WARC-Refers-To-Page")),

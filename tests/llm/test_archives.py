@@ -80,3 +80,25 @@ def test_both_versions_and_many_members():
     assert (fields["Result-code"], fields["Archive-length"], block) == ("200", "3", b"abc")
     with pytest.raises(ValueError, match="declares"):
         list(archives.arc_records(body[:-3]))
+
+
+def test_bytes_that_are_no_text_stay_as_they_are(spark, monkeypatch):
+    """A legacy archive with an image, a page in an old encoding, odd headers and a URL of raw bytes; and pages longer than a file."""
+    importable(spark)
+    monkeypatch.setattr(archives, "PACK_BYTES", 1000)
+    image, latin = bytes(range(256)) * 9, "<p>caf\xe9</p>".encode("latin-1")
+    rows = [(1, "http://a", image), (2, "http://b", latin), (3, "http://c", image), (4, "http://d", b"\n\r\n\x00\xff")]
+    arc, warc = new_path(spark, "arc"), new_path(spark, "warc")
+    archives.write_arc(spark.createDataFrame([(i, u, bytearray(b)) for i, u, b in rows], "page_id long, url string, html binary").coalesce(1), arc, "1")
+    block = b"HTTP/1.0 200 OK\r\nX-Page-Id: 7\r\nX-Odd: \xe9\r\n\r\n" + latin + b"!"
+    odd = b"http://e/\xe9 1.2.3.4 20010101000000 image/gif %d\n" % len(block) + block + b"\n"
+    spark.createDataFrame([(bytearray(odd),)], "value binary").selectExpr("cast(value as string)").write.mode("append").text(arc)
+    got = {r.page_id: r for r in archives.read_arc(spark, arc).collect()}
+    assert {i: bytes(got[i].payload) for i, _, _ in rows} == {i: b for i, _, b in rows}
+    assert bytes(got[7].http_header) + bytes(got[7].payload) == block and got[7].url == "http://e/%E9"
+    archives.convert(spark, arc, warc)
+    told = {r.page_id: r for r in archives.read_warc(spark, warc).collect()}
+    assert {i: (r.payload_bytes, r.record_type, r.refers_to) for i, r in told.items()} == {
+        1: (len(image), "revisit", 3), 2: (len(latin), "response", None), 3: (len(image), "response", None), 4: (5, "response", None), 7: (len(latin) + 1, "response", None)}
+    raw = [archives._inflated(r.content) for r in spark.read.format("binaryFile").load(warc).collect()]
+    assert block in {b for x in raw for _, b in archives.warc_records(x)}
