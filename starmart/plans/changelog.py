@@ -17,6 +17,7 @@ from starmart.operators.resolve import KEY_FLAGS, Resolved, resolve_keys
 from starmart.operators.scd import scd1_upsert, scd2_apply, scd2_changes
 from starmart.plans.incremental import FACT, MONTHLY, months_of, note_arrivals, refresh_aggregate, rewrite_months
 from starmart.plans.initial import dimensions_of
+from starmart.plans import summaries
 from starmart.plans.options import LoadOptions, batch_name, loaded_before, logged, utc
 from starmart.sources.warehouse import Entry, Warehouse
 
@@ -77,14 +78,15 @@ def apply_pipeline_changes(
         resolved = Resolved(wh.stage("resolved", resolve_keys(shaped, dimensions_of(wh, {}), **how).flagged))
         waiting = wh.table("factrejects").join(side, "opportunityid", "left_anti")
         rejects = wh.write("factrejects", waiting.unionByName(resolved.rejects), batch)
-        entry = rewrite_months(wh, wh.table(FACT), keys, n, with_month(resolved.facts), batch, options)
+        entry, change = rewrite_months(wh, wh.table(FACT), keys, n, with_month(resolved.facts), batch, options)
         said = {
             "changes with an unknown op": bad, "changes without an instant": nulls, "changes without an opportunity": nameless, "changes older than the mark": older}
         entry = replace(entry, rows_read=n, rows_rejected=bad + nulls + nameless, message=", ".join(f"{x} {why}" for why, x in said.items() if x) or None)
         done: dict[str, Entry] = {FACT: entry, "factrejects": rejects}
+        made = summaries.advanced(wh, done, change, batch)
         if entry.months:
-            done[MONTHLY] = refresh_aggregate(wh, done, list(entry.months), batch, options)
-        wh.commit(batch, run_ts, [*done.values(), state], {"changes:salespipeline": until} if until else {})
+            done[MONTHLY] = refresh_aggregate(wh, done, summaries.sales(wh, made), list(entry.months), batch, options)
+        wh.commit(batch, run_ts, [*done.values(), *made.values(), state], {"changes:salespipeline": until} if until else {})
 
 
 def _applied(
@@ -178,7 +180,13 @@ def archive_facts(wh: Warehouse, before_month: int, run_ts: str, batch_id: str |
         if months:
             moved = wh.write("factsarchive", old, batch, action="append")
             emptied = wh.write(FACT, old.filter(F.lit(False)), batch, action="append", months=months)
-            wh.commit(batch, run_ts, [moved, emptied], {})
+            made = {}
+            if summaries.current(wh):
+                keys = facts.join(old.select("opportunityid").distinct(), "opportunityid", "left_semi")
+                stay = keys.filter(F.col("year") * 100 + F.col("month") >= before_month)
+                change = summaries.Change(removed=old, before=keys, after=stay, archived=True)
+                made = summaries.advanced(wh, {FACT: emptied, "factsarchive": moved}, change, batch)
+            wh.commit(batch, run_ts, [moved, emptied, *made.values()], {})
 
 
 def compact(wh: Warehouse, name: str, run_ts: str, batch_id: str | None = None) -> None:
@@ -189,4 +197,7 @@ def compact(wh: Warehouse, name: str, run_ts: str, batch_id: str | None = None)
     run_ts = utc(run_ts)
     batch = wh.fresh_batch(batch_id or f"compact{name}{batch_name(run_ts)}")
     with logged(wh, batch, run_ts):
-        wh.commit(batch, run_ts, [wh.write(name, wh.table(name), batch)], {})
+        known = name in (FACT, "factsarchive") and summaries.current(wh)
+        entry = wh.write(name, wh.table(name), batch)
+        made = summaries.advanced(wh, {name: entry}, summaries.Change(), batch) if known else {}
+        wh.commit(batch, run_ts, [entry, *made.values()], {})

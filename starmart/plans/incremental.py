@@ -10,18 +10,19 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from starmart.functions import change_window
-from starmart.operators.aggregates import in_months, monthly_sales, refresh_months
+from starmart.operators.aggregates import in_months, refresh_months
 from starmart.operators.dates import extended_dates, seen_dates
 from starmart.operators.dedup import first_per_key, latest_per_key
 from starmart.operators.dims import account_rows, agent_rows, product_rows, stage_rows
 from starmart.operators.facts import incomplete, new_facts, newer_only, newest_order, shape_pipeline, with_month
 from starmart.operators.lookup import fits, table_rows
-from starmart.operators.quality import validate_warehouse
 from starmart.operators.resolve import KEY_FLAGS, Resolved, mark_retries, resolve_keys
 from starmart.operators.scd import scd1_upsert, scd2_apply, scd2_changes
+from starmart.operators.summaries import monthly_from_lines
+from starmart.plans import summaries
 from starmart.plans.initial import FACT, MONTHLY, dimensions_of, left_out
 from starmart.plans.options import LoadOptions, batch_name, loaded_before, logged, utc
-from starmart.schemas import STORED_FACT, WAREHOUSE_DDL
+from starmart.schemas import STORED_FACT
 from starmart.sources.warehouse import MARKED_TABLES, Entry, Warehouse
 
 #: Of each dimension: the flag of a reject that misses it, its own key, and the source key that a reject holds.
@@ -74,15 +75,17 @@ def incremental_load(
         if _outside(wh, seen):
             span = wh.spark.range(1).select(F.lit(seen["lo"]).alias("lo"), F.lit(seen["hi"]).alias("hi"))
             done["dimdate"] = wh.write("dimdate", extended_dates(wh.table("dimdate"), span), batch)
-        done, months = _load_facts(src, wh, facts, seen, done, batch, options)
-        months = sorted({*months, *_months_of_moved_agents(wh, done)})
+        done, months, change = _load_facts(src, wh, facts, seen, done, batch, options)
+        made = summaries.advanced(wh, done, change, batch)
+        lines = summaries.sales(wh, made)
+        months = sorted({*months, *_months_of_moved_agents(wh, done, lines)})
         if months:
-            done[MONTHLY] = refresh_aggregate(wh, done, months, batch, options)
+            done[MONTHLY] = refresh_aggregate(wh, done, lines, months, batch, options)
         moved = MARKED_TABLES if fact_batch is None else [t for t in MARKED_TABLES if t != "salespipeline"]
         used = [Entry(ARRIVALS, "reset")] if wh.live(ARRIVALS) else []
-        wh.commit(batch, run_ts, [*done.values(), *used], {t: run_ts for t in moved})
+        wh.commit(batch, run_ts, [*done.values(), *made.values(), *used], {t: run_ts for t in moved})
         if options.validate:
-            wh.note_checks(batch, run_ts, validate_warehouse(wh.tables(), options.max_broadcast, {n: wh.rows(n) for n in WAREHOUSE_DDL}))
+            wh.note_checks(batch, run_ts, summaries.checks(wh, options))
 
 
 def _load_dimensions(
@@ -175,14 +178,14 @@ def _load_facts(
     done: dict[str, Entry],
     batch: str,
     options: LoadOptions,
-) -> tuple[dict[str, Entry], list[int]]:
-    """Facts of the window and of rejects whose keys arrived, the remaining rejects, and the months touched."""
+) -> tuple[dict[str, Entry], list[int], summaries.Change]:
+    """Facts of the window and of rejects whose keys arrived, the remaining rejects, the months touched, and the facts put in and taken out."""
     if options.replay not in ("arrived", "all"):
         raise ValueError(f"replay must be 'arrived' or 'all', not {options.replay!r}")
     waiting = wh.rows("factrejects")
     arrived = _arrived(wh, done) if waiting else {}
     if not seen["rows"] and not (waiting and (arrived or options.replay == "all")):
-        return done, []
+        return done, [], summaries.Change()
     n = seen["rows"] + waiting
     rejects = wh.table("factrejects")
     source = [c for c in rejects.columns if c not in KEY_FLAGS.values()]
@@ -201,7 +204,7 @@ def _load_facts(
     final = wh.table("factsarchive").select("opportunityid")
     if options.fact_mode == "upsert":
         written = wh.write_all(writes, batch)
-        entry = _upsert(wh, existing, final, resolved.facts, n, batch, options)
+        entry, change = _upsert(wh, existing, final, resolved.facts, n, batch, options)
     else:
         present = existing.select("opportunityid").unionByName(final)
         added = new_facts(present, resolved.facts, options.fact_mode, n, options.max_broadcast, STORED_FACT)
@@ -209,9 +212,16 @@ def _load_facts(
             added = added.join(final.distinct(), "opportunityid", "left_anti")
         written = wh.write_all({**writes, FACT: with_month(added)}, batch, {FACT: "append"})
         entry = written[FACT]
+        added = wh.read(FACT, [entry])
+        change = summaries.Change(added)
+        if options.fact_mode == "insert_only":
+            keys = added.select("opportunityid").distinct()
+            side = F.broadcast(keys) if fits(keys, entry.rows_written, options.max_broadcast) else keys
+            held = existing.select("opportunityid").join(side, "opportunityid", "left_semi")
+            change = summaries.Change(added, before=held, after=held.unionByName(added.select("opportunityid")))
     entry = replace(entry, rows_read=seen["rows"], rows_rejected=written["factrejects"].rows_written, message=left_out(seen["unusable"]))
     months = entry.months or months_of(wh.read(FACT, [entry]))
-    return {**done, FACT: entry, "factrejects": written["factrejects"]}, list(months)
+    return {**done, FACT: entry, "factrejects": written["factrejects"]}, list(months), change
 
 
 def months_of(facts: DataFrame) -> list[int]:
@@ -222,7 +232,7 @@ def months_of(facts: DataFrame) -> list[int]:
 
 def _upsert(
     wh: Warehouse, existing: DataFrame, final: DataFrame, resolved: DataFrame, n: int, batch: str, options: LoadOptions
-) -> Entry:
+) -> tuple[Entry, summaries.Change]:
     """The newest row of each opportunity, where the facts hold no newer one and the archive none."""
     newest = first_per_key(resolved, "opportunityid", newest_order()).join(final, "opportunityid", "left_anti")
     winners = wh.stage("winners", with_month(newer_only(newest.select(*STORED_FACT), existing, n, options.max_broadcast)))
@@ -237,21 +247,21 @@ def rewrite_months(
     added: DataFrame,
     batch: str,
     options: LoadOptions,
-) -> Entry:
+) -> tuple[Entry, summaries.Change]:
     """Take the opportunities ``keys`` (at most ``n``) out of the facts and put ``added`` in.
 
     Only months that lose or gain a row are written again; the others keep their files.
     """
+    columns = [*STORED_FACT, "year", "month"]
     keys = F.broadcast(keys) if fits(keys, n, options.max_broadcast) else keys
-    losing = existing.join(keys, "opportunityid", "left_semi")
+    losing = wh.stage("losing", existing.join(keys, "opportunityid", "left_semi").select(*columns))
     months = months_of(losing.select("year", "month").unionByName(added.select("year", "month")))
     rest = existing.filter(in_months(F.col("year"), F.col("month"), months)).join(keys, "opportunityid", "left_anti")
-    columns = [*STORED_FACT, "year", "month"]
     content = rest.select(*columns).unionByName(added.select(*columns))
-    return wh.write(FACT, content, batch, action="append", months=months)
+    return wh.write(FACT, content, batch, action="append", months=months), summaries.Change(added.select(*columns), losing)
 
 
-def _months_of_moved_agents(wh: Warehouse, done: Mapping[str, Entry]) -> list[int]:
+def _months_of_moved_agents(wh: Warehouse, done: Mapping[str, Entry], lines: DataFrame) -> list[int]:
     """Months whose totals shift because an agent now belongs to another region."""
     if "dimsalesagent" not in done:
         return []
@@ -264,22 +274,14 @@ def _months_of_moved_agents(wh: Warehouse, done: Mapping[str, Entry]) -> list[in
     )
     if moved.isEmpty():
         return []
-    # An agent's months are few, however many facts they have.
-    active = facts_after(wh, done).select("salesagentkey", "year", "month").distinct()
-    return months_of(active.join(moved, "salesagentkey", "left_semi"))
-
-
-def facts_after(wh: Warehouse, done: Mapping[str, Entry]) -> DataFrame:
-    """Facts as a running load leaves them, archived ones included."""
-    live = wh.read(FACT, [*wh.live(FACT), *([done[FACT]] if FACT in done else [])])
-    archive = [*wh.live("factsarchive"), *([done["factsarchive"]] if "factsarchive" in done else [])]
-    return live.unionByName(wh.read("factsarchive", archive))
+    return months_of(lines.filter("year is not null").join(moved, "salesagentkey", "left_semi"))
 
 
 def refresh_aggregate(
-    wh: Warehouse, done: Mapping[str, Entry], months: list[int], batch: str, options: LoadOptions
+    wh: Warehouse, done: Mapping[str, Entry], lines: DataFrame, months: list[int], batch: str, options: LoadOptions
 ) -> Entry:
+    """The aggregate with ``months`` made anew from sales lines; no fact is read."""
     dims = dimensions_of(wh, done)
-    touched = facts_after(wh, done).filter(in_months(F.col("year"), F.col("month"), months)).drop("year", "month")
-    again = monthly_sales(touched, dims.date, dims.agent, dims.rows["agent"], max_broadcast=options.max_broadcast)
+    touched = lines.filter(in_months(F.col("year"), F.col("month"), months))
+    again = monthly_from_lines(touched, dims.agent, dims.rows["agent"], options.max_broadcast)
     return wh.write(MONTHLY, refresh_months(wh.table(MONTHLY), again, months), batch)

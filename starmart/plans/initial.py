@@ -7,16 +7,16 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
-from starmart.operators.aggregates import monthly_sales
 from starmart.operators.dates import date_dimension, known_bounds, seen_dates
 from starmart.operators.dims import account_rows, agent_rows, product_rows, stage_rows
 from starmart.operators.facts import first_order, incomplete, shape_pipeline, with_month
 from starmart.operators.dedup import first_per_key, latest_per_key
-from starmart.operators.quality import validate_warehouse
 from starmart.operators.resolve import Dimensions, Resolved, resolve_keys
 from starmart.operators.scd import scd2_initialize
+from starmart.operators.summaries import monthly_from_lines
+from starmart.plans import summaries
 from starmart.plans.options import LoadOptions, batch_name, logged, utc
-from starmart.schemas import STORED_FACT, WAREHOUSE_DDL, schema_of
+from starmart.schemas import STORED_FACT, schema_of
 from starmart.sources.readers import text_edges
 from starmart.sources.warehouse import MARKED_TABLES, NO_MARK, Entry, Warehouse
 
@@ -106,13 +106,8 @@ def initial_load(
             parts = [done.pop(FACT)]
         # The first line carries the counts of the whole load.
         parts[0] = replace(parts[0], rows_read=seen["rows"], rows_rejected=done["factrejects"].rows_written, message=left_out(seen["unusable"]))
-        monthly = monthly_sales(
-            wh.read(FACT, parts),
-            loaded.date,
-            loaded.agent,
-            loaded.rows["agent"],
-            max_broadcast=options.max_broadcast,
-        )
+        made = summaries.whole(wh, {FACT: parts, "factsarchive": [done["factsarchive"]]}, batch)
+        monthly = monthly_from_lines(summaries.sales(wh, made), loaded.agent, loaded.rows["agent"], options.max_broadcast)
         done[MONTHLY] = wh.write(MONTHLY, monthly, batch)
         mark = run_ts if options.marks_after_full == "run_ts" else NO_MARK
         marks = {t: mark for t in MARKED_TABLES}
@@ -120,6 +115,6 @@ def initial_load(
         states = [Entry(t, "reset") for t in SIDE_TABLES if wh.live(t)]
         if wh.last_change("salespipeline") != NO_MARK:
             marks["changes:salespipeline"] = NO_MARK
-        wh.commit(batch, run_ts, [*done.values(), *parts, *states], marks)
+        wh.commit(batch, run_ts, [*done.values(), *parts, *made.values(), *states], marks)
         if options.validate:
-            wh.note_checks(batch, run_ts, validate_warehouse(wh.tables(), options.max_broadcast, {n: wh.rows(n) for n in WAREHOUSE_DDL}))
+            wh.note_checks(batch, run_ts, summaries.checks(wh, options))

@@ -25,7 +25,8 @@ class LoadOptions:
     fact_ranges: write the facts of a full load in so many ranges of the opportunity, each noted in the log; a load that is cut
         short and run again with the same ``run_ts`` writes only the ranges that are missing
     replay: rejects tried again in a run, ``arrived``: those that wait for a key which a dimension gained | ``all``
-    validate: check the tables after each load and note the violations in the load log
+    validate: check the tables after each load and note the violations in the load log; facts by the summaries that loads
+        keep of them, or with ``full`` by reading them all
     max_broadcast: most bytes of one broadcast; slice_rows: most rows of one key for a task
     """
 
@@ -37,7 +38,7 @@ class LoadOptions:
     overlap_seconds: int = 0
     fact_ranges: int = 1
     replay: str = "arrived"
-    validate: bool = True
+    validate: bool | str = True
     max_broadcast: int = BROADCAST_BYTES
     slice_rows: int = SLICE_ROWS
 
