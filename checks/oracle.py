@@ -381,6 +381,11 @@ _DIM_VERSIONS = """(SELECT iscurrent AS cur, validfrom AS vf, validto AS vt, row
 QUERIES["load_checks"] += "".join(f"""
   UNION ALL {_count('dimproduct', check, _DIM_VERSIONS, test)}""" for check, test in _VERSION_TESTS)
 
+QUERIES["monthly_moved"] = QUERIES["monthly_touched"].replace("sa.region", "CASE WHEN sa.salesagentid % 3 = 0 THEN sa.region || ' (moved)' ELSE sa.region END")
+QUERIES["incremental_checks"] = QUERIES["load_checks"]
+for _table, _after in (("factsalesperformance", "incremental_facts"), ("monthly", f"({QUERIES['monthly_touched']}) monthly"), ("dimproduct", f"({QUERIES['incremental_products']}) dimproduct")):
+    QUERIES["incremental_checks"] = QUERIES["incremental_checks"].replace(f"FROM {_table}", f"FROM {_after}")
+
 
 def _fill(text: str) -> str:
     for name, value in FRAGMENTS.items():

@@ -554,6 +554,29 @@ def monthly_touched(s: Sample) -> DataFrame:
     return _two_runs(s).table("factsalesmonthlyaggregate")
 
 
+@query
+def monthly_moved(s: Sample) -> DataFrame:
+    """The aggregate after a third run that brings no deal: every third agent moves to a renamed office, whose lines move along."""
+    wh = _two_runs(s)
+    now = s.source()
+    moved = F.col("salesagentid") % 3 == 0
+    renamed = now["locations"].select((F.col("locationid") + 1_000_000).alias("locationid"), F.concat("locationname", F.lit(" (moved)")).alias("locationname"))
+    now["locations"] = now["locations"].unionByName(renamed)
+    now["salesagents"] = now["salesagents"].withColumns({
+        "regionalofficeid": F.when(moved, F.col("regionalofficeid") + 1_000_000).otherwise(F.col("regionalofficeid")),
+        "updated_at": F.when(moved, F.lit("2024-02-02T00:00:00").cast("timestamp_ntz")).otherwise(F.col("updated_at")),
+    })
+    incremental_load(now, wh, "2024-02-03T00:00:00")
+    return wh.table("factsalesmonthlyaggregate")
+
+
+@query
+def incremental_checks(s: Sample) -> DataFrame:
+    """What the validation after the second of two runs noted: facts by the summaries that both runs kept."""
+    found = _two_runs(s).checks()
+    return found.filter("run_ts = '2024-02-01T00:00:00'").select("check_name", "table_name", "violations")
+
+
 def _pipeline_log(s: Sample) -> DataFrame:
     """Every pipeline row as a change: lost deals are deleted, all others won."""
     changes = s.salespipeline.withColumn("op", F.when(F.col("dealstageid") == 3, "D").otherwise("U"))

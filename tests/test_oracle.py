@@ -16,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 WHOLE_LOADS = ["initial_load", "load_metadata", "refresh_monthly", "incremental_load", "incremental_products", "monthly_touched",
                "stream_incremental", "changelog_load", "archive_load", "ranged_load", "offset_run_ts", "compacted_facts", "load_checks",
                "archive_then_incremental", "stream_second_checkpoint", "lineage", "ranged_facts", "changelog_monthly", "changelog_rejects",
-               "rejects_replayed_all", "stream_batches"]
+               "rejects_replayed_all", "stream_batches", "incremental_checks"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="given tables not present")
 
