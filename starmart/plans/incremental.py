@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from starmart.functions import change_window
@@ -16,11 +16,11 @@ from starmart.operators.dedup import first_per_key, latest_per_key
 from starmart.operators.dims import account_rows, agent_rows, product_rows, stage_rows
 from starmart.operators.facts import incomplete, new_facts, newer_only, newest_order, shape_pipeline, with_month
 from starmart.operators.lookup import fits, table_rows
-from starmart.operators.resolve import KEY_FLAGS, Resolved, mark_retries, resolve_keys
+from starmart.operators.resolve import KEY_FLAGS, mark_retries, resolve_keys
 from starmart.operators.scd import scd1_upsert, scd2_apply, scd2_changes
 from starmart.operators.summaries import monthly_from_lines
 from starmart.plans import summaries
-from starmart.plans.initial import FACT, MONTHLY, dimensions_of, left_out
+from starmart.plans.initial import FACT, MONTHLY, dimensions_of, left_out, stage_resolved
 from starmart.plans.options import LoadOptions, batch_name, loaded_before, logged, utc
 from starmart.schemas import STORED_FACT
 from starmart.sources.warehouse import MARKED_TABLES, Entry, Warehouse
@@ -76,9 +76,9 @@ def incremental_load(
             span = wh.spark.range(1).select(F.lit(seen["lo"]).alias("lo"), F.lit(seen["hi"]).alias("hi"))
             done["dimdate"] = wh.write("dimdate", extended_dates(wh.table("dimdate"), span), batch)
         done, months, change = _load_facts(src, wh, facts, seen, done, batch, options)
-        made = summaries.advanced(wh, done, change, batch)
+        made = summaries.advanced(wh, done, change, batch, options)
         lines = summaries.sales(wh, made)
-        months = sorted({*months, *_months_of_moved_agents(wh, done, lines)})
+        months = sorted({*months, *_months_of_moved_agents(wh, done, options)})
         if months:
             done[MONTHLY] = refresh_aggregate(wh, done, lines, months, batch, options)
         moved = MARKED_TABLES if fact_batch is None else [t for t in MARKED_TABLES if t != "salespipeline"]
@@ -167,10 +167,20 @@ def _kept_back(wh: Warehouse, shaped: DataFrame, arrived: Mapping[str, tuple[Dat
     keys = rejects.select("opportunityid")
     if fits(keys, wh.rows("factrejects"), options.max_broadcast):
         shaped = shaped.join(F.broadcast(keys.distinct()), "opportunityid", "left_semi")
-    # One shuffle of each side, by all that is compared.
-    again = shaped.select("opportunityid", F.struct(*[c for c in source if c != "opportunityid"]).alias("_again")).withColumnRenamed("opportunityid", "_of")
-    mine = F.struct(*[marked[c] for c in source if c != "opportunityid"])
-    return marked.join(again, (marked["opportunityid"] == F.col("_of")) & (mine == F.col("_again")), "left_anti")
+    # The window is shuffled as digests, the rejects with theirs.
+    again = shaped.select(row_digest(source).alias("_again"))
+    mine = marked.withColumn("_mine", row_digest(source))
+    return mine.join(again, F.col("_mine") == F.col("_again"), "left_anti").drop("_mine")
+
+
+def row_digest(columns: Sequence[str]) -> Column:
+    """The first 16 bytes of the SHA-256 of a pipeline row: equal for equal rows, null for a row without an opportunity."""
+    # The opportunity, the only text, comes last: no other value has the separator or the mark of a null.
+    rest = [c for c in columns if c != "opportunityid"]
+    # Equal numbers read alike, whatever their type's scale or the sign of a zero.
+    values = [F.col(c).cast("decimal(38,10)") if c in ("closevalue", "expectedsuccessrate") else F.col(c) for c in rest]
+    text = F.concat_ws("|", *[F.coalesce(v.cast("string"), F.lit("?")) for v in values], "opportunityid")
+    return F.when(F.col("opportunityid").isNotNull(), F.unhex(F.substring(F.sha2(text, 256), 1, 32)))
 
 
 def _load_facts(
@@ -201,7 +211,7 @@ def _load_facts(
     how = {"product": "as_of", "bounds": options.bounds, "emit": options.emit, **options.sizes}
     flagged = resolve_keys(rows_now, dimensions_of(wh, done), **how).flagged
     # The batch is resolved once; facts, rejects and months are all taken from the result.
-    resolved = Resolved(wh.stage("resolved", flagged))
+    resolved = stage_resolved(wh, flagged)
     writes = {"factrejects": resolved.rejects if left is None else resolved.rejects.unionByName(left)}
     existing = wh.table(FACT)
     final = wh.table("factsarchive").select("opportunityid")
@@ -271,7 +281,7 @@ def rewrite_months(
     return wh.write(FACT, content, batch, action="append", months=months), summaries.Change(added.select(*columns), losing)
 
 
-def _months_of_moved_agents(wh: Warehouse, done: Mapping[str, Entry], lines: DataFrame) -> list[int]:
+def _months_of_moved_agents(wh: Warehouse, done: Mapping[str, Entry], options: LoadOptions) -> list[int]:
     """Months whose totals shift because an agent now belongs to another region."""
     if "dimsalesagent" not in done:
         return []
@@ -284,7 +294,9 @@ def _months_of_moved_agents(wh: Warehouse, done: Mapping[str, Entry], lines: Dat
     )
     if moved.isEmpty():
         return []
-    return months_of(lines.filter("year is not null").join(moved, "salesagentkey", "left_semi"))
+    side = F.broadcast(moved) if fits(moved, wh.rows("dimsalesagent"), options.max_broadcast) else moved
+    facts = wh.table(FACT).unionByName(wh.table("factsarchive")).select("year", "month", "salesagentkey")
+    return months_of(facts.filter("year is not null").join(side, "salesagentkey", "left_semi"))
 
 
 def refresh_aggregate(

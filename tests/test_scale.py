@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import os
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import queries
 from checks.sample_source import Sample
-from starmart.operators.resolve import KEY_FLAGS
+from starmart.operators.resolve import KEY_FLAGS, packed, unpacked
+from starmart.operators.summaries import merged_sales, monthly_from_lines, moved_agents, region_lines, regions, sales_lines, signed
 from starmart.plans import LoadOptions
-from starmart.plans.incremental import _kept_back, rewrite_months
+from starmart.plans.incremental import _kept_back, rewrite_months, row_digest
 from starmart.schemas import STORED_FACT, empty_table, schema_of
 from starmart.sources.warehouse import Warehouse
 
@@ -111,3 +114,62 @@ def test_facts_meet_many_keys_once(spark, tmp_path):
         rows = wh.read("factsalesperformance", [entry]).select("opportunityid", "datekey").collect()
         got.append((entry.months, sorted(map(str, rows)), sorted(str(r.datekey) for r in change.removed.collect())))
     assert got[0] == got[1] and got[0][2] == ["20230101", "20230201"] and len(got[0][1]) == 3
+
+
+def test_the_window_is_shuffled_as_digests(spark):
+    schema = schema_of("factrejects")
+    source = [c for c in schema.fieldNames() if c not in KEY_FLAGS.values()]
+    kept = [reject("A", 1) | {"updated_at": datetime(2024, 1, 1, 0, 0, 0, us)} for us in (1, 2)] + [
+        reject("A", None) | {"productid": 1}, reject("A", 1, None), reject("A?", 1, None), reject("A", 1, "0.00"), reject("A", 1, "-0.00"), reject(None, 1)]
+    rows = spark.createDataFrame([tuple(r[c] for c in schema.fieldNames()) for r in kept], schema)
+    found = [r[0] and bytes(r[0]) for r in rows.select(row_digest(source)).collect()]
+    assert found[-1] is None and found[5] == found[6] and {len(x) for x in found[:-1]} == {16}
+    assert len(set(found[:6])) == 6
+    # A source with another scale of the same value.
+    finer = rows.withColumn("closevalue", rows["closevalue"].cast("decimal(20,4)"))
+    assert [r[0] and bytes(r[0]) for r in finer.select(row_digest(source)).collect()] == found
+    window = rows.drop(*KEY_FLAGS.values())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = _kept_back(Rejects(rows, 9), window, {}, LoadOptions(replay="all", max_broadcast=0))
+        moves = re.findall(r"Exchange hashpartitioning\((\w+)#", plan(out))
+        assert sorted(moves) == ["_again", "_mine"]
+        assert [r.opportunityid for r in out.collect()] == [None]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stored_rows_hold_a_key_once(spark):
+    ddl = "opportunityid STRING, accountid BIGINT, salesagentid BIGINT, dealstageid BIGINT, datekey INT, accountkey BIGINT, productkey BIGINT, salesagentkey BIGINT, dealstagekey BIGINT"
+    rows = [("A", 1, 2, 3, 4, 1, 5, 2, 3), ("B", 0, 2, 3, None, 0, None, None, None), ("C", None, None, None, None, None, None, None, None)]
+    flagged = spark.createDataFrame(rows, ddl)
+    stored = packed(flagged)
+    assert dict(stored.dtypes)["accountkey"] == "boolean"
+    back = unpacked(stored, flagged)
+    assert back.schema == flagged.schema and sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_sales_lines_are_by_region(spark):
+    """Agents by the hundred make no line each, and only lines by region are shuffled."""
+    facts = spark.range(1000).selectExpr("concat('o', id) AS opportunityid", "20240105 AS datekey", "id AS salesagentkey", "4L AS dealstagekey", "1.50BD AS closevalue", "3 AS durationdays", "100.0D AS expectedsuccessrate", "2024 AS year", "1 AS month")
+    agents = spark.range(900).selectExpr("id AS salesagentid", "CASE WHEN id % 3 > 0 THEN concat('r', id % 3) END AS region")
+    rows = signed(facts, None, facts)
+    for limit in (0, 100_000_000):
+        lines = region_lines(rows, regions(agents), 900, limit)
+        assert sorted((r.region, r.deals) for r in lines.collect()) == [("Unknown", 300), ("r1", 300), ("r2", 300)]
+        assert sorted(map(str, monthly_from_lines(lines, agents, 900).collect())) == sorted(map(str, monthly_from_lines(sales_lines(rows), agents, 900, limit).collect()))
+    text = plan(lines)
+    assert re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text) and "hashpartitioning(salesagentkey" not in text
+    now = agents.withColumn("region", F.when(F.col("salesagentid") == 1, "r9").otherwise(F.col("region"))).filter("salesagentid <> 2")
+    moved = moved_agents(regions(agents), regions(now))
+    assert sorted(map(tuple, moved.collect())) == [(1, "r1", -1), (1, "r9", 1), (2, "r2", -1)]
+    for limit in (0, 100_000_000):
+        both = merged_sales(lines.unionByName(region_lines(facts, moved, 3, limit)))
+        assert sorted((r.region, r.deals) for r in both.collect()) == [("Unknown", 300), ("r1", 299), ("r2", 299), ("r9", 1)]
+
+
+def test_versions_are_counted(spark):
+    """The bound that decides a broadcast is that of the versions there are, not three times the products."""
+    s = Sample(spark, SF)
+    versions = queries._versions(s).count()
+    assert versions <= queries._version_rows(s) < 1.3 * s.rows["product"]
