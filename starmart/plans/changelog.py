@@ -13,10 +13,10 @@ from starmart.operators.dedup import latest_per_key
 from starmart.operators.dims import account_rows, agent_rows, product_rows
 from starmart.operators.facts import shape_pipeline, with_month
 from starmart.operators.lookup import fits
-from starmart.operators.resolve import KEY_FLAGS, Resolved, resolve_keys
+from starmart.operators.resolve import KEY_FLAGS, resolve_keys
 from starmart.operators.scd import scd1_upsert, scd2_apply, scd2_changes
 from starmart.plans.incremental import FACT, MONTHLY, months_of, note_arrivals, refresh_aggregate, rewrite_months
-from starmart.plans.initial import dimensions_of
+from starmart.plans.initial import dimensions_of, stage_resolved
 from starmart.plans import summaries
 from starmart.plans.options import LoadOptions, batch_name, loaded_before, logged, utc
 from starmart.sources.warehouse import Entry, Warehouse
@@ -65,50 +65,70 @@ def apply_pipeline_changes(
         text = F.date_format(newest_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         n, bad, nulls, nameless, until = changes.agg(
             F.count(F.lit(1)), F.count_if(~known_op()), F.count_if(known_op() & ~timed), F.count_if(known_op() & timed & ~named), text).first()
-        newest = latest_per_key(changes.filter(known_op() & timed & named), "opportunityid", newest_by)
-        state, winners = _applied(wh, newest, n, newest_by, batch, options)
+        state, winners = _applied(wh, changes.filter(known_op() & timed & named), n, newest_by, batch, options)
         keys = winners.select("opportunityid")
         side = F.broadcast(keys) if fits(keys, n, options.max_broadcast) else keys
-        final = wh.table("factsarchive").select("opportunityid").join(side, "opportunityid", "left_semi").distinct()
+        final = archived_keys(wh, side, options)
         kept = wh.table("factrejects").drop(*KEY_FLAGS.values())
         stages = latest_per_key(src["dealstages"], "dealstageid", ())
         alive = winners.filter("op <> 'D'").join(final, "opportunityid", "left_anti")
         shaped = shape_pipeline(alive.drop("op"), stages, complete=False).select(*kept.columns)
         how = {"product": "as_of", "bounds": options.bounds, "emit": options.emit, **options.sizes}
-        resolved = Resolved(wh.stage("resolved", resolve_keys(shaped, dimensions_of(wh, {}), **how).flagged))
-        waiting = wh.table("factrejects").join(side, "opportunityid", "left_anti")
+        resolved = stage_resolved(wh, resolve_keys(shaped, dimensions_of(wh, {}), **how).flagged)
+        waiting = _untouched(wh, side, options)
         rejects = wh.write("factrejects", waiting.unionByName(resolved.rejects), batch)
         entry, change = rewrite_months(wh, wh.table(FACT), keys, n, with_month(resolved.facts), batch, options)
         said = {
             "changes with an unknown op": bad, "changes without an instant": nulls, "changes without an opportunity": nameless, "changes older than the mark": older}
         entry = replace(entry, rows_read=n, rows_rejected=bad + nulls + nameless, message=", ".join(f"{x} {why}" for why, x in said.items() if x) or None)
         done: dict[str, Entry] = {FACT: entry, "factrejects": rejects}
-        made = summaries.advanced(wh, done, change, batch)
+        made = summaries.advanced(wh, done, change, batch, options)
         if entry.months:
             done[MONTHLY] = refresh_aggregate(wh, done, summaries.sales(wh, made), list(entry.months), batch, options)
         wh.commit(batch, run_ts, [*done.values(), *made.values(), state], {"changes:salespipeline": until} if until else {})
 
 
 def _applied(
-    wh: Warehouse, newest: DataFrame, n: int, newest_by: Sequence[str], batch: str, options: LoadOptions
+    wh: Warehouse, changes: DataFrame, n: int, newest_by: Sequence[str], batch: str, options: LoadOptions
 ) -> tuple[Entry, DataFrame]:
-    """The changes of ``newest`` (one for each opportunity) that beat the state, written as the state's next directory."""
+    """The newest change of each opportunity where it beats the state, written as the state's next directory."""
     order = ",".join(newest_by)
     held = wh.live(STATE)
     for entry in held:
         if entry.message != order:
             raise ValueError(f"the change log was ordered by {entry.message!r} before, not by {order!r}")
-    beats = newest
-    if held:
-        newest = wh.stage("changes", newest)
-        keys = newest.select("opportunityid")
-        side = F.broadcast(keys) if fits(keys, n, options.max_broadcast) else keys
-        before = wh.side(held, newest.schema).join(side, "opportunityid", "left_semi")
-        # Of equal changes the one applied before sorts first.
-        both = newest.withColumn("_new", F.lit(True)).unionByName(before.withColumn("_new", F.lit(False)))
+    if not held:
+        beats = latest_per_key(changes, "opportunityid", newest_by)
+    else:
+        before, batch_rows = wh.side(held, changes.schema), changes
+        keys = changes.select("opportunityid")
+        if fits(keys, n, options.max_broadcast):
+            # Few changes: only what the state has of their opportunities is shuffled.
+            batch_rows = wh.stage("changes", latest_per_key(changes, "opportunityid", newest_by))
+            before = before.join(F.broadcast(batch_rows.select("opportunityid")), "opportunityid", "left_semi")
+        # Changes and state compete in one shuffle.  Of equal changes the one applied before sorts first.
+        both = batch_rows.withColumn("_new", F.lit(True)).unionByName(before.withColumn("_new", F.lit(False)))
         beats = latest_per_key(both, "opportunityid", newest_by).filter("_new").drop("_new")
     entry = wh.write_side(STATE, beats, batch, message=order)
-    return entry, wh.side([entry], newest.schema)
+    return entry, wh.side([entry], changes.schema)
+
+
+def _untouched(wh: Warehouse, side: DataFrame, options: LoadOptions) -> DataFrame:
+    """Kept rejects of opportunities that ``side`` does not have."""
+    rejects = wh.table("factrejects")
+    keys = rejects.select("opportunityid")
+    if fits(keys, wh.rows("factrejects"), options.max_broadcast):
+        # Few rejects: of the changes only the keys that meet them are shuffled.
+        side = side.join(F.broadcast(keys.distinct()), "opportunityid", "left_semi")
+    return rejects.join(side, "opportunityid", "left_anti")
+
+
+def archived_keys(wh: Warehouse, side: DataFrame, options: LoadOptions) -> DataFrame:
+    """Archived opportunities among those of ``side``, to be left out of a load."""
+    keys = wh.table("factsarchive").select("opportunityid")
+    if fits(keys, wh.rows("factsarchive"), options.max_broadcast):
+        return F.broadcast(keys.distinct())
+    return keys.join(side, "opportunityid", "left_semi").distinct()
 
 
 def fold_changes(wh: Warehouse, run_ts: str, batch_id: str | None = None) -> None:
