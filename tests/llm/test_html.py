@@ -2,12 +2,14 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from starmart.llm import html
 from starmart.llm.html import blocks, extracted
 from starmart.llm.storage import importable
+from starmart.llm.words import pack_bits, unpack_bits
 
 CASES = [
     ("<p>a &amp; b&nbsp;c<br>d</p>tail", ["a & b c d", "tail"]), ("<p>a<b", ["a"]), ("<article><header><h1>T</h1></header><p>x &am", ["T", "x &am"]),
@@ -145,3 +147,31 @@ def test_host_repeats_come_from_a_sorted_array(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert extracted(pages(spark, [])).collect() == []
+
+
+def test_pages_with_a_main_element_are_in_the_array_too(spark):
+    """One page without a main element: what it shares with the others of its host goes, theirs stays whole."""
+    own = lambda i, n=20: " ".join(f"{i}own{k}" for k in range(n))
+    rows = [(i, "http://h.org/", f"<div>{BANNER}</div><article><p>{own(i)}</p><p>{own('same')}</p></article>") for i in range(6)]
+    rows += [(10, "http://h.org/", f"<div>{BANNER}</div><p>{own(10)}</p><p>{own('same')} end</p>"), (11, "http://other.org/", f"<div>{BANNER}</div><p>{own(11)}</p>")]
+    want = {i: f"{own(i)}\n{own('same')}" for i in range(6)} | {10: f"{own(10)}\nend", 11: f"{BANNER}\n{own(11)}"}
+    for size in ({}, {"slice_bytes": 300, "per_bucket": 20}):
+        assert {r.page_id: r.text for r in extracted(pages(spark, rows), **size).collect()} == want
+
+
+def test_a_stream_of_many_copies_is_dealt_to_several_slices(spark, monkeypatch):
+    own = " ".join(f"own{k}" for k in range(20))
+    rows = [(1, "http://h.org/", f"<p>{own}</p>")] * 30 + [(2, "http://h.org/", f"<p>{own}</p>")] * 30 + [(3, "http://h.org/", f"<p>{BANNER}</p><p>x {BANNER}</p>"), (4, "http://i.org/", f"<p>{BANNER}</p>")]
+    got = extracted(pages(spark, rows), slice_bytes=2000).collect()
+    assert sorted(r.text for r in got) == sorted([own] * 60 + [f"{BANNER}\nx {BANNER}", BANNER])
+    cut = html._unique_runs
+    monkeypatch.setattr(html, "_unique_runs", lambda *how: lambda key, table, answers: pa.table({c: cut(*how)(key, table, answers).column(c) for c in ("page_id", "url")} | {"text": pa.array([f"{key[0].as_py()}"] * len(table))}))
+    seen = {r.text for r in extracted(pages(spark, rows), slice_bytes=2000).collect() if r.page_id in (1, 2)}
+    assert len(seen) > 2
+
+
+def test_sorted_numbers_come_back_from_their_bits():
+    made = np.random.default_rng(7)
+    for n, top in ((0, 1), (1, 10), (2, 3), (1000, 1001), (20_000, 2**43), (5, 2**62)):
+        x = np.unique(made.integers(0, top, n).astype(np.uint64))
+        assert unpack_bits(pack_bits(x)).tolist() == x.tolist()
