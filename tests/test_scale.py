@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from checks.sample_source import Sample
-from starmart.operators.resolve import KEY_FLAGS, packed, unpacked
-from starmart.operators.summaries import merged_sales, monthly_from_lines, moved_agents, region_lines, regions, sales_lines, signed
-from starmart.plans import LoadOptions
+from starmart.operators.lookup import has_bit, key_bits, key_block
+from starmart.operators.resolve import KEY_FLAGS, packed, resolve_keys, unpacked
+from starmart.operators.summaries import merged_sales, monthly_from_lines, moved_agents, region_lines, regions, sales_lines, signed, use_lines
+from starmart.plans import LoadOptions, incremental_load
 from starmart.plans.incremental import _kept_back, rewrite_months, row_digest
 from starmart.schemas import STORED_FACT, empty_table, schema_of
 from starmart.sources.warehouse import Warehouse
@@ -173,3 +174,56 @@ def test_versions_are_counted(spark):
     s = Sample(spark, SF)
     versions = queries._versions(s).count()
     assert versions <= queries._version_rows(s) < 1.3 * s.rows["product"]
+
+
+def test_a_large_dimension_of_close_keys_is_looked_up_by_bits(spark):
+    own = [-65, -64, -1, 0, 1, 63, 64, 127, 128, None, 7, 7]
+    table = spark.createDataFrame([(k,) for k in own], "id long")
+    probe = spark.createDataFrame([(k,) for k in [*own, 2, 62, 65, -2, -63, 10**12]], "k long")
+    found = probe.join(F.broadcast(key_bits(table, "id")), key_block("k") == F.col("_block"), "left").withColumn("hit", has_bit("k"))
+    assert all(bool(r.hit) == (r.k in own and r.k is not None) for r in found.collect())
+    assert key_bits(table, "id").count() == 5
+    far = spark.range(0, 64 * 1000, 64)
+    assert key_bits(far, "id", 10_000) is None and key_bits(spark.range(6400), "id", 10_000) is not None
+    assert key_bits(spark.createDataFrame([("a",)], "id string"), "id") is None
+
+
+def test_keys_by_bits_resolve_as_keys_by_rows(spark):
+    s = Sample(spark, "/root/testdata/sf0.001")
+    small = resolve_keys(s.factsource, s.dimensions(), max_broadcast=200).flagged
+    bits = resolve_keys(s.factsource, s.dimensions(), max_broadcast=400).flagged
+    plain = resolve_keys(s.factsource, s.dimensions()).flagged
+    assert "_bits" in plan(bits) and "_bits" not in plan(plain)
+    assert bits.dtypes == plain.dtypes and bits.columns == plain.columns
+    want = sorted(map(str, plain.collect()))
+    assert sorted(map(str, bits.collect())) == want and sorted(map(str, small.collect())) == want
+
+
+def test_validate_joins_and_resolves_the_pipeline_once(spark):
+    found = queries.REGISTERED["validate"](spark, "/root/testdata/sf0.001")
+    assert "lineitem" not in plan(found) and found.count() == 6
+
+
+def test_appending_loads_look_a_small_archive_up(spark, tmp_path, monkeypatch):
+    """The facts of an appending load are not shuffled to meet an archive that may be broadcast."""
+    seen = {}
+    write = Warehouse.write_all
+
+    def kept(self, frames, *args):
+        seen.update({k: plan(v) for k, v in frames.items()})
+        return write(self, frames, *args)
+
+    monkeypatch.setattr(Warehouse, "write_all", kept)
+    s, wh = Sample(spark, "/root/testdata/sf0.001"), Warehouse(spark, str(tmp_path / "w"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        incremental_load(s.source(), wh, "2024-02-01T00:00:00", options=LoadOptions(fact_mode="insert_only", validate=False))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" in seen["factsalesperformance"] and "SortMergeJoin" not in seen["factsalesperformance"]
+
+
+def test_uses_are_grouped_by_a_number(spark):
+    like = empty_table(spark, "factsalesperformance").select(*STORED_FACT).withColumns({"year": F.lit(1), "month": F.lit(1)})
+    lines = use_lines(signed(like, None, like))
+    assert "struct(kind, 0" in plan(lines) and lines.dtypes[:2] == [("kind", "string"), ("key", "bigint")]
