@@ -15,7 +15,7 @@ from starmart.operators.facts import shape_pipeline, with_month
 from starmart.operators.lookup import fits
 from starmart.operators.resolve import KEY_FLAGS, resolve_keys
 from starmart.operators.scd import scd1_upsert, scd2_apply, scd2_changes
-from starmart.plans.incremental import FACT, MONTHLY, months_of, note_arrivals, refresh_aggregate, rewrite_months
+from starmart.plans.incremental import FACT, MONTHLY, archived_keys, months_of, note_arrivals, refresh_aggregate, rewrite_months
 from starmart.plans.initial import dimensions_of, stage_resolved
 from starmart.plans import summaries
 from starmart.plans.options import LoadOptions, batch_name, loaded_before, logged, utc
@@ -123,14 +123,6 @@ def _untouched(wh: Warehouse, side: DataFrame, options: LoadOptions) -> DataFram
     return rejects.join(side, "opportunityid", "left_anti")
 
 
-def archived_keys(wh: Warehouse, side: DataFrame, options: LoadOptions) -> DataFrame:
-    """Archived opportunities among those of ``side``, to be left out of a load."""
-    keys = wh.table("factsarchive").select("opportunityid")
-    if fits(keys, wh.rows("factsarchive"), options.max_broadcast):
-        return F.broadcast(keys.distinct())
-    return keys.join(side, "opportunityid", "left_semi").distinct()
-
-
 def fold_changes(wh: Warehouse, run_ts: str, batch_id: str | None = None) -> None:
     """Write the state of the change log as one directory with one change for each opportunity."""
     run_ts = utc(run_ts)

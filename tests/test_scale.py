@@ -14,7 +14,7 @@ from checks import queries
 from checks.sample_source import Sample
 from starmart.operators.lookup import has_bit, key_bits, key_block
 from starmart.operators.resolve import KEY_FLAGS, packed, resolve_keys, unpacked
-from starmart.operators.summaries import merged_sales, monthly_from_lines, moved_agents, region_lines, regions, sales_lines, signed, use_lines
+from starmart.operators.summaries import FACT_KEYS, merged_sales, monthly_from_lines, moved_agents, region_lines, regions, sales_lines, signed, use_lines
 from starmart.plans import LoadOptions, incremental_load
 from starmart.plans.incremental import _kept_back, rewrite_months, row_digest
 from starmart.schemas import STORED_FACT, empty_table, schema_of
@@ -223,7 +223,24 @@ def test_appending_loads_look_a_small_archive_up(spark, tmp_path, monkeypatch):
     assert "LeftAnti" in seen["factsalesperformance"] and "SortMergeJoin" not in seen["factsalesperformance"]
 
 
-def test_uses_are_grouped_by_a_number(spark):
+def test_uses_are_summed_without_a_line_for_each_key(spark):
     like = empty_table(spark, "factsalesperformance").select(*STORED_FACT).withColumns({"year": F.lit(1), "month": F.lit(1)})
     lines = use_lines(signed(like, None, like))
-    assert "struct(kind, 0" in plan(lines) and lines.dtypes[:2] == [("kind", "string"), ("key", "bigint")]
+    # Lines are made of sums: the rows themselves are not multiplied.
+    made = plan(lines)
+    assert made.count("Generate") == 1 and re.search(r"Generate(?s:.)*HashAggregate", made) and lines.dtypes == [("kind", "string"), ("key", "bigint"), ("n", "bigint")]
+
+
+def test_uses_are_those_of_every_row_and_key(spark):
+    columns = ["opportunityid", "datekey", "accountkey", "productkey", "salesagentkey", "dealstagekey", "year", "month", "_sign"]
+    rows = [("a", 19980101, 1, 2, 3, 4, 1998, 1, 1), ("b", 19980101, 1, None, 3, 4, 1998, 1, 1), (None, 19980203, 5, 2, 3, 1, 1998, 2, 1),
+            ("a", 19980101, 1, 2, 3, 4, 1998, 1, -1), ("c", None, None, None, None, None, None, None, 1), ("d", 19980203, 5, 2, 3, 4, 1998, 2, -1)]
+    frame = spark.createDataFrame(rows, "opportunityid string, datekey int, accountkey long, productkey long, salesagentkey long, dealstagekey long, year int, month int, _sign int")
+    want = {}
+    for r in (dict(zip(columns, x, strict=True)) for x in rows):
+        keys = {label: r[key] for label, (key, _, _) in FACT_KEYS.items()} | {"month": None if r["year"] is None else r["year"] * 100 + r["month"]}
+        for kind in keys:
+            want[kind, keys[kind]] = want.get((kind, keys[kind]), 0) + r["_sign"]
+        if any(r[c] is None for c in columns[:6]):
+            want["null", None] = want.get(("null", None), 0) + r["_sign"]
+    assert {(r.kind, r.key): r.n for r in use_lines(frame).collect()} == want
